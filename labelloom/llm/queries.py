@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("sharding", "licenses")
+MODULES = ("sharding", "licenses", "pii")
 
 
 def _modules() -> list:
