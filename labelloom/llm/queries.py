@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("sharding", "licenses", "pii", "token_files", "packing")
+MODULES = ("sharding", "licenses", "pii", "token_files", "packing", "decontaminate")
 
 
 def _modules() -> list:
