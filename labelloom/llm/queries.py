@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("sharding", "licenses", "pii", "token_files", "packing", "decontaminate", "media", "quality")
+MODULES = ("minhash", "licenses", "packing", "token_files", "pii", "quality", "decontaminate", "sharding", "media")
 
 
 def _modules() -> list:
