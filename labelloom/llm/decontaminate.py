@@ -333,7 +333,10 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     The columns stay as they are; ``n_chars``, if there, follows the new text. A row of whose text nothing but
     separators is left is dropped; rows without a hit stay untouched.
     """
-    found = scan(docs, benchmark, text_col, keep=tuple(docs.columns), **options)
+    # names of our own: the columns of docs may be called anything
+    own = [f"__{i}" for i in range(len(docs.columns))]
+    text = own[docs.columns.index(text_col)]
+    found = scan(docs.toDF(*own), benchmark, text, keep=tuple(own), **options)
 
     def cut(text: pd.Series, cuts: pd.Series) -> pd.Series:
         def one(t, spans):
@@ -350,11 +353,12 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
     cutter = F.pandas_udf(cut, "string")
     hit = F.size("cuts") > 0
-    out = found.withColumn("__new", F.when(hit, cutter(F.col(text_col), F.col("cuts"))).otherwise(F.col(text_col)))
-    out = out.filter(~hit | F.col("__new").isNotNull()).withColumn(text_col, F.col("__new"))
+    out = found.withColumn("__new", F.when(hit, cutter(F.col(text), F.col("cuts"))).otherwise(F.col(text)))
+    out = out.filter(~hit | F.col("__new").isNotNull()).withColumn(text, F.col("__new"))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(hit, F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        size = own[docs.columns.index("n_chars")]
+        out = out.withColumn(size, F.when(hit, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col(size)))
+    return out.select(*own).toDF(*docs.columns)
 
 
 def op8_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -123,21 +123,8 @@ def pooled(docs: DataFrame, vectors: np.ndarray, id_col: str = "doc_id", text_co
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = shared.value
         for b in batches:
-            raw, off = column_bytes(b.column(1))
-            out = np.zeros((b.num_rows, 2 * DIMS + 1), np.float32)
-            for lo, hi in row_blocks(off, CHUNK):
-                rows, bounds = token_rows(raw[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
-                n = np.diff(bounds)
-                for i in np.flatnonzero(n):
-                    counts = np.bincount(rows[bounds[i] : bounds[i + 1]]) if n[i] > 4096 else None
-                    if counts is not None:
-                        used = np.flatnonzero(counts)
-                        out[lo + i, :-1] = (counts[used] / n[i]).astype(np.float32) @ both[used]
-                    else:
-                        out[lo + i, :-1] = both[rows[bounds[i] : bounds[i + 1]]].mean(axis=0)
-                out[lo:hi, -1] = np.log1p(n) / 10
+            out = pool_texts(b.column(1), shared.value)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([v.tobytes() for v in out], pa.binary())], names=[id_col, "features"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"{id_col} {kind}, features binary")
@@ -193,6 +180,25 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def pool_texts(column: pa.Array, both: np.ndarray) -> np.ndarray:
+    """Pooled features of every row of a string column."""
+    raw, off = column_bytes(column)
+    out = np.zeros((len(column), 2 * DIMS + 1), np.float32)
+    for lo, hi in row_blocks(off, CHUNK):
+        rows, bounds = token_rows(raw[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
+        n = np.diff(bounds)
+        for i in np.flatnonzero(n):
+            mine = rows[bounds[i] : bounds[i + 1]]
+            if n[i] > 4096:  # a long text by its counts
+                counts = np.bincount(mine)
+                used = np.flatnonzero(counts)
+                out[lo + i, :-1] = (counts[used] / n[i]).astype(np.float32) @ both[used]
+            else:
+                out[lo + i, :-1] = both[mine].mean(axis=0)
+        out[lo:hi, -1] = np.log1p(n) / 10
+    return out
+
+
 def features_of(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, 2 * DIMS + 1).astype(np.float64)
 
@@ -231,6 +237,24 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     return scored(features, train(features, labels, id_col), id_col)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score reaches ``threshold``, with all their columns.
+
+    Scores are worked out beside the text in a last pass: texts are not shuffled.
+    """
+    vectors = word_vectors(context_vectors(docs, text_col))
+    network = train(written(pooled(docs, vectors, id_col, text_col), "pooled"), labels, id_col)
+    shared = docs.sparkSession.sparkContext.broadcast(np.concatenate([vectors, vectors**2], axis=1))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = network.probabilities(pool_texts(b.column(at), shared.value).astype(np.float64)) >= threshold
+            yield b.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
