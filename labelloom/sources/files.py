@@ -135,7 +135,7 @@ def class_names(files: DataFrame, content_col: str = "content") -> dict[str, lis
 def parse_names(text: str) -> list[str]:
     import re
 
-    m = re.search(r"^names\s*:\s*(.*)$", text, re.M)
+    m = re.search(r"^names[ \t]*:[ \t]*(.*)$", text, re.M)
     if not m:
         raise ValueError("no names entry")
     bare = lambda s: s.strip().strip("'\"")
