@@ -19,11 +19,11 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelloom.session import checkpointed, small_batches, table
+from labelloom.session import checkpointed, small_batches, table, written
 
 #: JSON types a schema may ask for.
 TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
@@ -60,24 +60,41 @@ def violations(arguments: str | None, schema: dict | None) -> tuple[object, str
 def levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level): 0 without known dependencies, else one more than the highest of them.
 
-    Each round settles the calls all of whose dependencies are settled; rounds are as many as the longest
-    chain. Calls on a cycle get no row.
+    Chains (calls with one dependency) are halved every round by pointer doubling, so a conversation of
+    thousands of calls in a row takes a dozen rounds; what is left, calls with several dependencies, is settled
+    one such step a round. Calls on or behind a cycle get no row.
     """
-    nodes = checkpointed(calls.select(*KEY).distinct())
+    nodes = calls.select(*KEY).distinct()
     wants = calls.select(*KEY, F.explode("depends_on").alias("parent")).distinct()
-    wants = checkpointed(wants.join(nodes.withColumnRenamed("call_id", "parent"), ["conv_id", "parent"]))
-    settled = checkpointed(nodes.join(wants, KEY, "left_anti").withColumn("level", F.lit(0)))
-    level = 0
+    wants = checkpointed(wants.join(nodes.withColumnRenamed("call_id", "parent"), ["conv_id", "parent"], "left_semi"))
+    parents = wants.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.min("parent").alias("parent"))
+    chain = checkpointed(parents.filter("n = 1").select(*KEY, F.col("parent").alias("top"), F.lit(1).alias("up")))
+    # tops that are themselves in a chain still move; when their number stays the same they are on a cycle
+    before = -1
     while True:
-        level += 1
-        ready = settled.filter(F.col("level") == level - 1).select("conv_id", F.col("call_id").alias("parent"))
-        touched = wants.join(ready, ["conv_id", "parent"], "left_semi").select(*KEY).distinct()
-        done = settled.select("conv_id", F.col("call_id").alias("parent"), F.lit(True).alias("done"))
-        state = wants.join(touched, KEY, "left_semi").join(done, ["conv_id", "parent"], "left").groupBy(*KEY).agg(F.bool_and(F.coalesce("done", F.lit(False))).alias("all"))
-        fresh = checkpointed(state.filter("all").select(*KEY, F.lit(level).alias("level")))
+        step = chain.select("conv_id", F.col("call_id").alias("top"), F.col("top").alias("next"), F.col("up").alias("more"))
+        chain = checkpointed(chain.join(step, ["conv_id", "top"], "left").select(*KEY, F.coalesce("next", "top").alias("top"), (F.col("up") + F.coalesce("more", F.lit(0))).alias("up"), F.col("next").isNotNull().alias("moved")))
+        now = chain.filter("moved").count()
+        chain = chain.drop("moved")
+        if now == 0 or now == before:
+            break
+        before = now
+    roots = nodes.join(wants.select(*KEY).distinct(), KEY, "left_anti").withColumn("level", F.lit(0))
+    settled = checkpointed(roots)
+    several = parents.filter("n > 1").select(*KEY)
+    edges = wants.join(several, KEY, "left_semi").join(chain.select("conv_id", F.col("call_id").alias("parent"), "top", "up"), ["conv_id", "parent"], "left")
+    edges = checkpointed(edges.select(*KEY, F.coalesce("top", "parent").alias("top"), (F.coalesce("up", F.lit(0)) + 1).alias("up")))
+    while not edges.isEmpty():
+        known = settled.select("conv_id", F.col("call_id").alias("top"), "level")
+        state = edges.join(known, ["conv_id", "top"], "left").groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"), F.count("level").alias("k"), F.max(F.col("level") + F.col("up")).alias("level"))
+        fresh = checkpointed(state.filter("n = k").select(*KEY, F.col("level").cast("int").alias("level")))
         if fresh.isEmpty():
-            return settled
+            break
         settled = checkpointed(settled.union(fresh))
+        edges = checkpointed(edges.join(fresh, KEY, "left_anti"))
+    tops = settled.select("conv_id", F.col("call_id").alias("top"), "level")
+    hung = chain.join(tops, ["conv_id", "top"]).select(*KEY, (F.col("level") + F.col("up")).cast("int").alias("level"))
+    return settled.union(hung)
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -86,61 +103,53 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     calls: conv_id, turn, call_id, name, arguments (JSON), depends_on (array of ids). results: conv_id, turn,
     call_id, content. schemas: tool -> {field: (type, required)}; a list of tools, not a table of the corpus.
     Returns conv_id, turn, kind, call_id, status, level, valid, error, missing, json.
+
+    Calls and results are rows of one table, so that one shuffle by identifier finds the first call and result
+    of each, and one hash join brings them, with the level, to every row.
     """
     small_batches(calls.sparkSession)
-    calls = checkpointed(calls.select("conv_id", "turn", "call_id", "name", "arguments", F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on")).distinct())
-    results = results.select("conv_id", "turn", "call_id", "content").distinct()
-    first_call = calls.groupBy(*KEY).agg(F.min(F.struct("turn", "name", "arguments", "depends_on")).alias("c"))
-    first_result = results.groupBy(*KEY).agg(F.min(F.struct("turn", "content")).alias("r"))
-    level = levels(calls)
-    known = calls.select("conv_id", F.col("call_id").alias("parent")).distinct()
-    missing = calls.select("conv_id", "turn", "call_id", F.explode("depends_on").alias("parent")).join(known, ["conv_id", "parent"], "left_anti")
-    missing = missing.groupBy("conv_id", "turn", "call_id").agg(F.array_join(F.array_sort(F.collect_set("parent")), ",").alias("missing"))
-
-    c = calls.join(first_call, KEY, "left").join(first_result.select(*KEY, F.lit(True).alias("answered")), KEY, "left").join(level, KEY, "left").join(missing, ["conv_id", "turn", "call_id"], "left")
-    own = F.struct("turn", "name", "arguments", "depends_on")
-    status: Column = F.when(F.col("call_id").isNull(), "no_result").when(~own.eqNullSafe(F.col("c")), "repeated").when(F.col("level").isNull(), "cycle").when(F.col("answered"), "linked").otherwise("no_result")
-    c = c.select("conv_id", "turn", F.lit("call").alias("kind"), "call_id", status.alias("status"), "level", "missing", "name", "arguments", F.lit(None).cast("string").alias("content"))
-    r = results.join(first_result, KEY, "left").join(first_call.select(*KEY, F.col("c.name").alias("name")), KEY, "left").join(level, KEY, "left")
-    same = F.struct("turn", "content").eqNullSafe(F.col("r"))
-    called = r.withColumn("known", F.col("name").isNotNull())
-    status = F.when(F.col("call_id").isNull() | ~F.col("known"), "no_call").when(~same, "repeated").otherwise("linked")
-    r = called.select("conv_id", "turn", F.lit("result").alias("kind"), "call_id", status.alias("status"), "level", F.lit(None).cast("string").alias("missing"), "name", F.lit(None).cast("string").alias("arguments"), "content")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    null = lambda kind: F.lit(None).cast(kind)
+    calls = calls.select("conv_id", F.col("turn").cast("long").alias("turn"), F.lit("call").alias("kind"), "call_id", "name", "arguments", F.coalesce("depends_on", F.array().cast("array<string>")).alias("depends_on"), null("string").alias("content"))
+    results = results.select("conv_id", F.col("turn").cast("long").alias("turn"), F.lit("result").alias("kind"), "call_id", null("string").alias("name"), null("string").alias("arguments"), null("array<string>").alias("depends_on"), "content")
+    rows = written(calls.union(results).distinct(), "messages")
+    # a row's place among those of its identifier: its turn, then the hash of what it says
+    own = F.struct("turn", F.xxhash64("name", "arguments", "depends_on", "content").alias("said"))
+    is_call = F.col("kind") == "call"
+    level = levels(rows.filter(is_call & F.col("call_id").isNotNull()))
+    firsts = rows.groupBy(*KEY).agg(F.min(F.when(is_call, own)).alias("c"), F.min_by("name", F.when(is_call, own)).alias("tool"), F.min(F.when(~is_call, own)).alias("r")).join(level, KEY, "left")
+    known = rows.filter(is_call).select("conv_id", F.col("call_id").alias("parent"))
+    lost = rows.filter(is_call).select("conv_id", "turn", "call_id", F.explode("depends_on").alias("parent")).join(known, ["conv_id", "parent"], "left_anti")
+    lost = lost.groupBy("conv_id", "turn", "call_id").agg(F.array_join(F.array_sort(F.collect_set("parent")), ",").alias("missing"))
+    every = rows.join(firsts, KEY, "left").join(lost, ["conv_id", "turn", "call_id"], "left")
+    status: Column = (
+        F.when(F.col("call_id").isNull(), F.when(is_call, "no_result").otherwise("no_call"))
+        .when(~is_call & F.col("c").isNull(), "no_call")
+        .when(~own.eqNullSafe(F.when(is_call, F.col("c")).otherwise(F.col("r"))), "repeated")
+        .when(F.col("level").isNull(), "cycle")
+        .when(is_call & F.col("r").isNull(), "no_result")
+        .otherwise("linked")
+    )
+    every = every.select("conv_id", "turn", "kind", "call_id", status.alias("status"), "level", F.when(is_call, F.col("missing")).alias("missing"), F.coalesce("name", "tool").alias("name"), "arguments", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             valid, errors, texts = [], [], []
-            for kind, call_id, name, arguments, content in zip(b.kind, b.call_id, b.name, b.arguments, b.content, strict=True):
+            for kind, call_id, name, arguments, content in zip(*(b.column(k).to_pylist() for k in ("kind", "call_id", "name", "arguments", "content")), strict=True):
+                error = None
                 if kind == "call":
                     value, error = violations(arguments, schemas.get(name))
-                    valid.append(error is None)
-                    errors.append(error)
-                    texts.append(canonical({"role": "assistant", "tool_calls": [{"id": call_id, "type": "function", "function": {"name": name, "arguments": value if value is not None else arguments}}]}))
+                    shown = {"name": name, "arguments": arguments if value is None else value}
+                    message = {"role": "assistant", "tool_calls": [{"id": call_id, "type": "function", "function": shown}]}
                 else:
-                    valid.append(True)
-                    errors.append(None)
-                    texts.append(canonical({"role": "tool", "tool_call_id": call_id, "name": name, "content": content}))
-            yield b[["conv_id", "turn", "kind", "call_id", "status", "level", "missing"]].assign(valid=valid, error=errors, json=texts)
-
-    both = c.union(r)
-    conv = both.schema["conv_id"].dataType.simpleString()
-    plain = both.withColumn("name", F.col("name")).withColumn("level", F.col("level").cast("double")).withColumn("turn", F.col("turn").cast("long"))
-    out = plain.mapInPandas(_nulls(run), f"conv_id {conv}, turn long, kind string, call_id string, status string, level double, missing string, valid boolean, error string, json string")
-    return out.withColumn("level", F.when(~F.isnan("level"), F.col("level")).cast("int"))
-
-
-def _nulls(run):
-    """Pandas marks nulls of text columns in several ways; the formatter sees None."""
-
-    def clean(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def fixed() -> Iterator[pd.DataFrame]:
-            for b in batches:
-                text = ["kind", "call_id", "name", "arguments", "content", "missing", "status"]
-                yield b.assign(**{k: b[k].astype(object).where(b[k].notna(), None) for k in text})
-
-        yield from run(fixed())
-
-    return clean
+                    message = {"role": "tool", "tool_call_id": call_id, "name": name, "content": content}
+                valid.append(error is None)
+                errors.append(error)
+                texts.append(canonical(message))
+            kept = [b.column(k) for k in ("conv_id", "turn", "kind", "call_id", "status", "level", "missing")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(valid, pa.bool_()), pa.array(errors, pa.string()), pa.array(texts, pa.string())], names=["conv_id", "turn", "kind", "call_id", "status", "level", "missing", "valid", "error", "json"])
+
+    conv = rows.schema["conv_id"].dataType.simpleString()
+    return every.mapInArrow(run, f"conv_id {conv}, turn long, kind string, call_id string, status string, level int, missing string, valid boolean, error string, json string")
 
 
 #: The tool that stands for an assistant's turn in the registered query.
