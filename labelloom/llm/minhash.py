@@ -10,9 +10,13 @@ Estimate: the share of equal registers, corrected for the registers that two unr
 threshold: by more than five standard deviations.
 Verification: what is left is compared on the full shingle sets.
 
-A group of near copies is not expanded into pairs. First each band's members are compared with its smallest
-one only (a star); then, for bands that still hold more than one component, all pairs across components are
-compared. Pairs inside a component need no check, and no other pair is left out.
+A group of near copies is not expanded into pairs. First each band's members are compared with its leader only
+(a star; the leader is the member that meets the most others). Bands that still hold more than one component
+may hide links across them. Every representative has a home, the most central leader it meets; two members of
+a band that share a home with many others are compared through their differences from it, an inverted index
+that misses no link (see ``by_differences``), and so are the members of a large band with several homes, from
+the band's leader. All other pairs of small bands are compared directly. Pairs inside a component need no
+check, and no other pair is left out.
 
 Cases: null text, or text without words, has an empty set and is linked with nothing; a text of fewer words
 than a shingle has one shingle, its whole sequence; rows that share an id count as one document; rows with a
@@ -26,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelloom.llm.text import byte_class, column_bytes, lower_table, mix, row_blocks, shingle_hashes, span_hashes, word_spans
@@ -39,6 +44,8 @@ PERCENT = 80
 MARGIN = 0.18
 #: Members of a star that one leader's text travels with.
 FAN = 64
+#: Groups of at most so many members are compared pair by pair; larger ones by their differences. Both are exact.
+FEW = 8
 WORD_BYTES = ~byte_class(r"[\x20\x09-\x0D]")
 LOWER = lower_table()
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, registers binary"
@@ -96,18 +103,18 @@ def signatures(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str =
 
 
 def bands(reps: DataFrame) -> DataFrame:
-    """(bucket, rep, n): a row for each band of each representative."""
+    """(bucket, rep): a row for each band of each representative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = mix(np.arange(1, REGISTERS // ROWS + 1, dtype=np.uint64))
         for b in batches:
             if b.num_rows:
-                keys = np.frombuffer(b"".join(b.column(2).to_pylist()), "<u8").reshape(b.num_rows, -1)
+                keys = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u8").reshape(b.num_rows, -1)
                 bucket = mix(mix(keys.copy()) ^ seeds).astype(np.int64).reshape(-1)
                 each = np.repeat(np.arange(b.num_rows), keys.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), b.column(0).take(pa.array(each)), b.column(1).take(pa.array(each))], names=["bucket", "rep", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), b.column(0).take(pa.array(each))], names=["bucket", "rep"])
 
-    return reps.select("rep", "n", "registers").mapInArrow(run, "bucket long, rep long, n long")
+    return reps.select("rep", "registers").mapInArrow(run, "bucket long, rep long")
 
 
 def similar_size(x: str, y: str) -> str:
@@ -132,8 +139,8 @@ def estimated(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """The ``pairs`` (a, b) linked by their full shingle sets.
+def compared(pairs: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str, compare, schema: str) -> DataFrame:
+    """Rows that ``compare(a, set of a, b, set of b)`` yields for each of the ``pairs`` (a, b).
 
     The texts of an ``a`` and of its ``b`` meet in a sorted stream, the ``a`` in front of every FAN or so of
     its ``b``; a task holds one set of an ``a`` and one text at a time.
@@ -150,19 +157,66 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = np.zeros(0, np.uint64)
         for batch in batches:
-            out_a, out_b = [], []
+            out = []
             for a, role, i, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), shingle_sets(batch.column(4), k), strict=True):
                 if role == 0:
                     head = s
-                    continue
-                at = np.searchsorted(head, s)
-                same = int((head[np.minimum(at, len(head) - 1)] == s).sum()) if len(head) else 0
-                if same and 100 * same >= PERCENT * (len(head) + len(s) - same):
-                    out_a.append(a)
-                    out_b.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
+                else:
+                    out += compare(a, head, i, s)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), ARROW[schema], strict=True)], names=[x.split()[0] for x in schema.split(", ")])
+
+    return rows.mapInArrow(run, schema)
+
+
+LINKS, DIFFERENCES = "a long, b long", "c long, x long, n_c long, weight long, items array<long>"
+ARROW = {LINKS: [pa.int64()] * 2, DIFFERENCES: [pa.int64()] * 4 + [pa.list_(pa.int64())]}
+
+
+def members_of(s: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which elements of the sorted set ``s`` are in ``other``."""
+    if not len(other):
+        return np.zeros(len(s), bool)
+    return other[np.minimum(np.searchsorted(other, s), len(other) - 1)] == s
+
+
+def verified(pairs: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """The ``pairs`` (a, b) linked by their full shingle sets."""
+
+    def linked(a: int, head: np.ndarray, b: int, s: np.ndarray) -> list[tuple]:
+        same = int(members_of(s, head).sum())
+        return [(a, b)] if same and 100 * same >= PERCENT * (len(head) + len(s) - same) else []
+
+    return checkpointed(compared(pairs, docs, k, id_col, text_col, linked, LINKS))
+
+
+def by_differences(stars: DataFrame, docs: DataFrame, component: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """(a, b) of different components that can be linked, for all members of each star (c, x) of ``stars``.
+
+    Members are described by how they differ from the centre c: the shingles they add and those they lack.
+    With the weight H = 5 * lacking + 4 * added, x and y are linked if and only if nine times the number of
+    differences they share reaches H(x) + H(y) - |c|, and x is linked with c if and only if H(x) <= |c|. So a
+    link to an x that is not linked with c needs more than H(y) / 9 shared differences, and x must hold one of
+    the first |differences of y| - floor(H(y) / 9) differences of y in any fixed order: rarest first, they are
+    shared by few. Differences of one member alone are shared with nobody and leave first.
+    """
+
+    def differences(c: int, head: np.ndarray, x: int, s: np.ndarray) -> list[tuple]:
+        added, lacking = s[~members_of(s, head)], head[~members_of(head, s)]
+        return [(c, x, len(head), 5 * len(lacking) + 4 * len(added), np.concatenate([added, lacking]).astype(np.int64).tolist())]
 
-    return checkpointed(rows.mapInArrow(run, "a long, b long"))
+    found = written(compared(stars, docs, k, id_col, text_col, differences, DIFFERENCES), "differences")
+    rows = found.select("c", "x", "n_c", "weight", F.explode("items").alias("item"))
+    shared = rows.groupBy("c", "item").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    rows = rows.join(shared, ["c", "item"])
+    mine = W.partitionBy("c", "x")
+    rows = rows.withColumn("left", F.count(F.lit(1)).over(mine)).withColumn("place", F.row_number().over(mine.orderBy("df", "item")))
+    rows = rows.join(component.withColumnRenamed("id", "x"), "x", "left").withColumn("component", F.coalesce("component", "x"))
+    rows = written(rows.drop("df"), "shared-differences")
+    probe = rows.filter("weight > n_c").select("c", "item", "x", "component")
+    index = rows.filter("place <= left - (weight DIV 9)").select("c", "item", F.col("x").alias("y"), F.col("component").alias("component_y"))
+    pairs = probe.join(index, ["c", "item"]).filter("component <> component_y")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -174,28 +228,39 @@ def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_co
     reps = linked.join(sets.withColumnRenamed("n_shingles", "n"), (F.col("doc_id") == F.col("rep")) & (linked["set_a"] == sets["set_a"]) & (linked["set_b"] == sets["set_b"]), "left_semi")
     reps = written(reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "registers").dropDuplicates(["rep"]), "representatives")
     every = bands(reps)
-    leaders = every.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("leader"), F.count(F.lit(1)).alias("members")).filter("members > 1")
-    shared = every.join(leaders.select("bucket", "leader"), "bucket").select("bucket", "rep", "n", F.col("leader.rep").alias("leader"), F.col("leader.n").alias("leader_n"))
-    shared = written(shared, "shared-bands")
+    sizes = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    shared = written(every.join(sizes, "bucket").join(reps.select("rep", "n"), "rep"), "shared-bands")
+    # the member that meets the most others leads a band: it lies in the middle of its group
+    central = shared.groupBy("rep").agg(F.sum("members").alias("meets"))
+    first_of = F.min(F.struct((-F.col("meets")).alias("order"), "rep", "n"))
+    leaders = shared.join(central, "rep").groupBy("bucket").agg(first_of.alias("leader"))
+    shared = shared.join(leaders, "bucket").select("bucket", "rep", "n", "members", F.col("leader.rep").alias("leader"), F.col("leader.n").alias("leader_n"), F.col("leader.order").alias("order"))
+    shared = written(shared, "led-bands")
 
     star = shared.filter("rep <> leader").filter(similar_size("n", "leader_n")).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     star = written(estimated(star, reps), "star-pairs")
     first = verified(star, docs, k, id_col, text_col)
     component = connected_components(first)
 
-    # bands that hold more than one component: every pair across them
-    placed = shared.select("bucket", "rep", "n").join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    held = placed.groupBy("bucket", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    mixed = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
-    held = written(held.join(mixed, "bucket"), "band-components")
-    other = held.select("bucket", F.col("component").alias("component_b"), F.col("low").alias("low_b"), F.col("high").alias("high_b"))
-    across = held.join(other, "bucket").filter("component < component_b").filter(f"100 * high >= {PERCENT} * low_b AND 100 * high_b >= {PERCENT} * low").select("bucket", "component", "component_b")
-    members = placed.join(mixed, "bucket", "left_semi")
-    left = across.join(members.select("bucket", "component", F.col("rep").alias("x"), F.col("n").alias("n_x")), ["bucket", "component"])
-    right = members.select("bucket", F.col("component").alias("component_b"), F.col("rep").alias("y"), F.col("n").alias("n_y"))
-    crossing = left.join(right, ["bucket", "component_b"]).filter(similar_size("n_x", "n_y"))
+    # bands that hold more than one component: links across them
+    home = shared.groupBy("rep").agg(F.min(F.struct("order", "leader")).alias("h")).select("rep", F.col("h.leader").alias("home"))
+    home = home.join(home.groupBy("home").agg(F.count(F.lit(1)).alias("household")), "home")
+    placed = shared.join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
+    placed = written(placed.join(mixed, "bucket").join(home, "rep"), "mixed-bands")
+    few = placed.filter(F.col("members") <= FEW)
+    other = few.select("bucket", F.col("rep").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("component_y"), F.col("home").alias("home_y"))
+    apart = F.col("home") != F.col("home_y")
+    crossing = few.join(other, "bucket").filter("rep < y AND component <> component_y").filter(apart | (F.col("household") <= FEW)).filter(similar_size("n", "n_y")).select(F.col("rep").alias("a"), F.col("y").alias("b"))
+    # members of one large household meet in it; those of several, in the band's own star
+    several = placed.groupBy("bucket").agg(F.min("home").alias("low"), F.max("home").alias("high")).filter("low <> high").select("bucket")
+    stars = placed.filter(F.col("household") > FEW).select(F.col("home").alias("a"), F.col("rep").alias("b"))
+    stars = stars.union(placed.filter(F.col("members") > FEW).join(several, "bucket", "left_semi").select(F.col("leader").alias("a"), F.col("rep").alias("b")))
+    stars = written(stars.filter("a <> b").distinct(), "stars")
+    crossing = crossing.union(by_differences(stars, docs, component, k, id_col, text_col)).distinct()
     # pairs compared in the star are settled
-    crossing = crossing.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(star, ["a", "b"], "left_anti")
+    settled = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    crossing = crossing.join(settled, ["a", "b"], "left_anti")
     second = verified(written(estimated(crossing, reps), "crossing-pairs"), docs, k, id_col, text_col)
 
     component = checkpointed(connected_components(first.union(second)))
