@@ -118,7 +118,7 @@ class Coder:
             x = self.f[s] * (x >> np.uint64(SLOT_BITS)) + slot - self.start[s]
             need = x < low
             at_word = place + np.cumsum(need, axis=1)
-            x = np.where(need, (x << np.uint64(32)) | stream[at_word], x)
+            x = np.where(need, (x << np.uint64(32)) | stream.take(at_word, mode="clip"), x)  # a broken stream may point anywhere
             place = at_word[:, -1:]
         ids = out.transpose(1, 0, 2).reshape(-1)[:n]
         if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
