@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.functions.labels import dedup_boxes
+from labelloom.functions.labels import micro
 
 
 def file_counts(parsed: DataFrame, keys: tuple[str, ...] = ("image_id",)) -> DataFrame:
     """Per label file: boxes kept, errors, repeated lines, out-of-scope lines, clipped, box and polygon lines."""
-    counts = parsed.groupBy(*keys).agg(
+    # distinct boxes count in the same pass; rows without a box have nulls and do not count
+    cell = ["class_id", *[micro(F.col(c)) for c in ("x", "y", "w", "h")]]
+    out = parsed.groupBy(*keys).agg(
         F.count("class_id").alias("n_parsed"),
+        F.countDistinct(*cell).alias("n_boxes"),
         F.count("error_code").alias("n_errors"),
         F.count_if(F.col("out_of_scope")).alias("n_out_of_scope"),
         F.count_if(F.col("source_type").endswith("_clipped")).alias("n_clipped"),
         F.count_if(F.col("source_type").startswith("bbox")).alias("n_bbox"),
         F.count_if(F.col("source_type").startswith("polygon")).alias("n_polygon"),
     )
-    kept = dedup_boxes(parsed, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_boxes"))
-    out = counts.join(kept, list(keys), "left").withColumn("n_boxes", F.coalesce("n_boxes", F.lit(0).cast("long")))
     return out.withColumn("n_duplicates", F.col("n_parsed") - F.col("n_boxes")).drop("n_parsed")
 
 
