@@ -12,8 +12,8 @@ Verification: what is left is compared on the full shingle sets.
 
 A group of near copies is not expanded into pairs. First each band's members are compared with its leader only
 (a star; the leader is the member that meets the most others). Bands that still hold more than one component
-may hide links across them. Every representative has a home, the most central leader it meets; two members of
-a band that share a home with many others are compared through their differences from it, an inverted index
+may hide links across them. A representative's home is the most central leader among those it resembles (by
+the estimate), or itself; two members of a band that share a home with many others are compared through their differences from it, an inverted index
 that misses no link (see ``by_differences``), and so are the members of a large band with several homes, from
 the band's leader. All other pairs of small bands are compared directly. Pairs inside a component need no
 check, and no other pair is left out.
@@ -206,12 +206,13 @@ def by_differences(stars: DataFrame, docs: DataFrame, component: DataFrame, k: i
         return [(c, x, len(head), 5 * len(lacking) + 4 * len(added), np.concatenate([added, lacking]).astype(np.int64).tolist())]
 
     found = written(compared(stars, docs, k, id_col, text_col, differences, DIFFERENCES), "differences")
-    rows = found.select("c", "x", "n_c", "weight", F.explode("items").alias("item"))
+    # the component joins before a member's differences become rows of their own
+    placed = found.join(component.withColumnRenamed("id", "x"), "x", "left").withColumn("component", F.coalesce("component", "x"))
+    rows = placed.select("c", "x", "n_c", "weight", "component", F.explode("items").alias("item"))
     shared = rows.groupBy("c", "item").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     rows = rows.join(shared, ["c", "item"])
     mine = W.partitionBy("c", "x")
     rows = rows.withColumn("left", F.count(F.lit(1)).over(mine)).withColumn("place", F.row_number().over(mine.orderBy("df", "item")))
-    rows = rows.join(component.withColumnRenamed("id", "x"), "x", "left").withColumn("component", F.coalesce("component", "x"))
     rows = written(rows.drop("df"), "shared-differences")
     probe = rows.filter("weight > n_c").select("c", "item", "x", "component")
     index = rows.filter("place <= left - (weight DIV 9)").select("c", "item", F.col("x").alias("y"), F.col("component").alias("component_y"))
@@ -234,7 +235,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_co
     central = shared.groupBy("rep").agg(F.sum("members").alias("meets"))
     first_of = F.min(F.struct((-F.col("meets")).alias("order"), "rep", "n"))
     leaders = shared.join(central, "rep").groupBy("bucket").agg(first_of.alias("leader"))
-    shared = shared.join(leaders, "bucket").select("bucket", "rep", "n", "members", F.col("leader.rep").alias("leader"), F.col("leader.n").alias("leader_n"), F.col("leader.order").alias("order"))
+    shared = shared.join(leaders, "bucket").select("bucket", "rep", "n", "members", F.col("leader.rep").alias("leader"), F.col("leader.n").alias("leader_n"))
     shared = written(shared, "led-bands")
 
     star = shared.filter("rep <> leader").filter(similar_size("n", "leader_n")).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
@@ -243,11 +244,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_co
     component = connected_components(first)
 
     # bands that hold more than one component: links across them
-    home = shared.groupBy("rep").agg(F.min(F.struct("order", "leader")).alias("h")).select("rep", F.col("h.leader").alias("home"))
+    near = star.select("a", "b").union(star.select("a", F.col("a").alias("b"))).distinct()
+    home = near.join(central.withColumnRenamed("rep", "a"), "a").groupBy("b").agg(F.min(F.struct((-F.col("meets")).alias("order"), "a")).alias("h")).select(F.col("b").alias("rep"), F.col("h.a").alias("home"))
     home = home.join(home.groupBy("home").agg(F.count(F.lit(1)).alias("household")), "home")
     placed = shared.join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
-    placed = written(placed.join(mixed, "bucket").join(home, "rep"), "mixed-bands")
+    placed = placed.join(mixed, "bucket").join(home, "rep", "left").withColumn("home", F.coalesce("home", "rep")).withColumn("household", F.coalesce("household", F.lit(1)))
+    placed = written(placed, "mixed-bands")
     few = placed.filter(F.col("members") <= FEW)
     other = few.select("bucket", F.col("rep").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("component_y"), F.col("home").alias("home_y"))
     apart = F.col("home") != F.col("home_y")
