@@ -170,7 +170,8 @@ def read_features(store: DataFrame) -> DataFrame:
     names = [c for c in rows.columns if c != "digest"]
     # equal digests have equal rows: any one will do, and it is chosen before the shuffle
     one = rows.groupBy("digest").agg(F.first(F.struct(*names)).alias("f"))
-    return one.select("digest", *[F.col(f"f.{c}").alias(c) for c in names])
+    # written, so that a join on it is a plain shuffle of both sides, whose hot digests Spark can split
+    return written(one.select("digest", *[F.col(f"f.{c}").alias(c) for c in names]), "media-features")
 
 
 def resolve(sequence: DataFrame, features: DataFrame) -> DataFrame:
