@@ -42,11 +42,14 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PLAN = "length long, rank_from long, rank_to long, sequence_from long, place long"
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32): every document's ids and end id, cut after ``capacity``."""
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", memory: int = tokens.MEMORY) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32): every document's ids and end id, cut after ``capacity``.
+
+    memory: words that a worker's encoder remembers.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = tokens.encoder(tokenizer)
+        enc = tokens.encoder(tokenizer, memory)
         for b in batches:
             ids, off = tokens.with_end(*enc.batch(tokens.texts_of(b.column(1))))
             sizes = np.diff(off)
@@ -171,10 +174,10 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return joined.select("doc_id", "piece", "start", out["length"], "ids_crc32", (F.col("sequence_from") + F.col("rank") - F.col("rank_from")).alias("sequence_id"), F.col("place").alias("offset"))
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", memory: int = tokens.MEMORY) -> DataFrame:
     """Encode, cut and pack all rows of ``docs``."""
     small_batches(docs.sparkSession)
-    return pack(written(pieces(docs, tokenizer, capacity, id_col, text_col), "pieces"), capacity)
+    return pack(written(pieces(docs, tokenizer, capacity, id_col, text_col, memory), "pieces"), capacity)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelloom.llm import tokens
 from labelloom.llm.text import byte_class, column_bytes, lower_table, mix, row_blocks, span_hashes
 from labelloom.session import small_batches, table, written
 
@@ -71,11 +72,12 @@ def context_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     schema = "bucket int, vector binary"
 
     def nearby(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.release()
         place, sign = index_vectors()
         total = np.zeros(BUCKETS * DIMS, np.int64)
         for b in batches:
             raw, off = column_bytes(b.column(0))
-            for lo, hi in row_blocks(off, 4 * CHUNK):
+            for lo, hi in row_blocks(off, 2 * CHUNK):
                 rows, bounds = token_rows(raw[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
                 text = np.repeat(np.arange(hi - lo), np.diff(bounds))
                 more, less = [], []

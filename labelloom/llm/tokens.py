@@ -120,14 +120,19 @@ class WordEncoder:
         return out, ends[np.array(bounds)]
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    """One encoder per Python worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, memory: int = MEMORY) -> WordEncoder:
+    """One encoder per Python worker, file and memory."""
+    if (path, memory) not in _ENCODERS:
+        _ENCODERS[path, memory] = WordEncoder(path, memory)
+    return _ENCODERS[path, memory]
+
+
+def release() -> None:
+    """Drop the worker's encoders: a worker that goes on with other work need not keep their words."""
+    _ENCODERS.clear()
 
 
 def with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
