@@ -14,6 +14,10 @@ from labelloom.llm import decontaminate, minhash, packing, pii, quality, tokens
 from labelloom.session import table, written
 
 
+#: Words an encoder remembers here: workers go from stage to stage and share an executor's memory.
+ENCODER_MEMORY = 200_000
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -36,7 +40,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents are encoded and packed into sequences of 4,096 ids."""
-    return packing.pack_documents(docs, tokens.default_path())
+    return packing.pack_documents(docs, tokens.default_path(), memory=ENCODER_MEMORY)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
