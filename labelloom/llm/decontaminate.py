@@ -20,7 +20,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -338,23 +337,14 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     text = own[docs.columns.index(text_col)]
     found = scan(docs.toDF(*own), benchmark, text, keep=tuple(own), **options)
 
-    def cut(text: pd.Series, cuts: pd.Series) -> pd.Series:
-        def one(t, spans):
-            if t is None or not len(spans):
-                return t
-            raw, at, out = t.encode(), 0, []
-            for a, b in spans:
-                out.append(raw[at:a])
-                at = b
-            left = b"".join([*out, raw[at:]])
-            return left.decode() if WORD_BYTES[np.frombuffer(left, np.uint8)].any() else None
-
-        return pd.Series([one(t, s) for t, s in zip(text, cuts, strict=True)], dtype=object)
-
-    cutter = F.pandas_udf(cut, "string")
+    raw = F.col(text).cast("binary")
+    piece = lambda lo, n: F.substring(raw, lo.cast("int") + 1, n.cast("int"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.unhex(F.lit("")).alias("out"))
+    step = lambda s, c: F.struct(c[1].alias("at"), F.concat(s["out"], piece(s["at"], c[0] - s["at"])).alias("out"))
+    left = F.decode(F.aggregate("cuts", start, step, lambda s: F.concat(s["out"], piece(s["at"], F.octet_length(raw)))), "UTF-8")
     hit = F.size("cuts") > 0
-    out = found.withColumn("__new", F.when(hit, cutter(F.col(text), F.col("cuts"))).otherwise(F.col(text)))
-    out = out.filter(~hit | F.col("__new").isNotNull()).withColumn(text, F.col("__new"))
+    out = found.withColumn("__new", F.when(hit, left).otherwise(F.col(text)))
+    out = out.filter(~hit | F.col("__new").rlike("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]")).withColumn(text, F.col("__new"))
     if "n_chars" in docs.columns:
         size = own[docs.columns.index("n_chars")]
         out = out.withColumn(size, F.when(hit, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col(size)))
