@@ -44,6 +44,8 @@ PERCENT = 80
 MARGIN = 0.18
 #: Members of a star that one leader's text travels with.
 FAN = 64
+#: Ids (8 bytes each) that are broadcast at most.
+FEW_IDS = 1_000_000
 #: Groups of at most so many members are compared pair by pair; larger ones by their differences. Both are exact.
 FEW = 8
 WORD_BYTES = ~byte_class(r"[\x20\x09-\x0D]")
@@ -145,7 +147,9 @@ def compared(pairs: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: s
     The texts of an ``a`` and of its ``b`` meet in a sorted stream, the ``a`` in front of every FAN or so of
     its ``b``; a task holds one set of an ``a`` and one text at a time.
     """
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "candidate-ids")
+    if ids.count() <= FEW_IDS:  # a bounded list of ids goes to the texts; a longer one meets them in a shuffle
+        ids = F.broadcast(ids)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ids, "id", "left_semi").dropDuplicates(["id"])
     texts = written(texts, "candidate-texts")
     fans = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / FAN).cast("int").alias("fans"))
