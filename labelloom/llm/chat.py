@@ -6,7 +6,8 @@ as canonical JSON (keys sorted, no spaces, UTF-8 as is). The result has a row pe
 is its order inside the conversation, so a conversation is never gathered into one row or task.
 
 Statuses: ``linked``, ``no_result`` (call without result), ``no_call`` (result without call), ``repeated``
-(a later call or result of an identifier that has one), ``cycle`` (a call that waits for itself).
+(a later call or result of an identifier that has one), ``cycle`` (a call that waits for itself), ``message``
+(a turn that is neither call nor result; it stands at the highest level of the calls before its turn).
 
 Cases: identical repeated rows count as one; a null identifier links with nothing; null or broken arguments
 are invalid (``not an object``); a tool without schema is invalid (``unknown tool``); a dependency that does
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelloom.session import checkpointed, small_batches, table, written
@@ -28,6 +30,8 @@ from labelloom.session import checkpointed, small_batches, table, written
 #: JSON types a schema may ask for.
 TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
 KEY = ["conv_id", "call_id"]
+#: Turns that one window sorts; over longer conversations, windows go over the blocks of so many turns.
+BLOCK = 1024
 
 
 def canonical(value: object) -> str:
@@ -97,11 +101,24 @@ def levels(calls: DataFrame) -> DataFrame:
     return settled.union(hung)
 
 
-def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
-    """Messages of tool calls.
+def levels_before(marks: DataFrame, places: DataFrame) -> DataFrame:
+    """(conv_id, turn, level) of the turns in ``places``: the highest level in ``marks`` at an earlier turn of the
+    conversation, 0 without any. A window holds at most BLOCK turns, or a row for each block of a conversation."""
+    points = places.select("conv_id", "turn", F.lit(None).cast("int").alias("level"), F.lit(True).alias("place")).union(marks.select("conv_id", "turn", "level", F.lit(False)))
+    points = points.groupBy("conv_id", "turn").agg(F.max("level").alias("level"), F.max("place").alias("place"), F.floor(F.col("turn") / BLOCK).alias("block"))
+    earlier = lambda keys, order: W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    near = points.withColumn("near", F.max("level").over(earlier(["conv_id", "block"], "turn"))).filter("place")
+    tops = points.groupBy("conv_id", "block").agg(F.max("level").alias("top"))
+    tops = tops.select("conv_id", "block", F.max("top").over(earlier(["conv_id"], "block")).alias("far"))
+    return near.join(tops, ["conv_id", "block"]).select("conv_id", "turn", F.coalesce(F.greatest("near", "far"), F.lit(0)).alias("level"))
+
+
+def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], others: DataFrame | None = None) -> DataFrame:
+    """Messages of tool calls, and the plain messages ``others`` of the same conversations.
 
     calls: conv_id, turn, call_id, name, arguments (JSON), depends_on (array of ids). results: conv_id, turn,
     call_id, content. schemas: tool -> {field: (type, required)}; a list of tools, not a table of the corpus.
+    others: conv_id, turn, role, content; roles may be null or any, and are written as they are.
     Returns conv_id, turn, kind, call_id, status, level, valid, error, missing, json.
 
     Calls and results are rows of one table, so that one shuffle by identifier finds the first call and result
@@ -129,17 +146,25 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
         .when(is_call & F.col("r").isNull(), "no_result")
         .otherwise("linked")
     )
-    every = every.select("conv_id", "turn", "kind", "call_id", status.alias("status"), "level", F.when(is_call, F.col("missing")).alias("missing"), F.coalesce("name", "tool").alias("name"), "arguments", "content")
+    every = every.select("conv_id", "turn", "kind", "call_id", status.alias("status"), "level", F.when(is_call, F.col("missing")).alias("missing"), F.coalesce("name", "tool").alias("name"), "arguments", "content", null("string").alias("role"))
+    if others is not None:
+        others = others.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "content").distinct()
+        marks = firsts.filter("level IS NOT NULL").select("conv_id", "c.turn", "level")
+        plain = others.join(levels_before(marks, others), ["conv_id", "turn"], "left")
+        plain = plain.select("conv_id", "turn", F.lit("message").alias("kind"), null("string").alias("call_id"), F.lit("message").alias("status"), F.coalesce("level", F.lit(0)).alias("level"), null("string").alias("missing"), null("string").alias("name"), null("string").alias("arguments"), "content", "role")
+        every = every.union(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             valid, errors, texts = [], [], []
-            for kind, call_id, name, arguments, content in zip(*(b.column(k).to_pylist() for k in ("kind", "call_id", "name", "arguments", "content")), strict=True):
+            for kind, call_id, name, arguments, content, role in zip(*(b.column(k).to_pylist() for k in ("kind", "call_id", "name", "arguments", "content", "role")), strict=True):
                 error = None
                 if kind == "call":
                     value, error = violations(arguments, schemas.get(name))
                     shown = {"name": name, "arguments": arguments if value is None else value}
                     message = {"role": "assistant", "tool_calls": [{"id": call_id, "type": "function", "function": shown}]}
+                elif kind == "message":
+                    message = {"role": role, "content": content}
                 else:
                     message = {"role": "tool", "tool_call_id": call_id, "name": name, "content": content}
                 valid.append(error is None)
@@ -167,9 +192,16 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     return calls, results
 
 
+def plain_turns(conversations: DataFrame) -> DataFrame:
+    """The turns of every other role, null and unknown ones included."""
+    dealt = F.coalesce(F.col("role").isin("user", "assistant"), F.lit(False))
+    return conversations.filter(~dealt).select("conv_id", "turn", "role", F.col("text").alias("content"))
+
+
 def op5_tool_call_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = turns_as_calls(table(spark, sf_dir, "conversations"))
-    return link(calls, results, REPLY)
+    conversations = table(spark, sf_dir, "conversations")
+    calls, results = turns_as_calls(conversations)
+    return link(calls, results, REPLY, plain_turns(conversations))
 
 
 QUERIES = {"op5_tool_call_chat": op5_tool_call_chat}

@@ -75,3 +75,26 @@ def test_query_keeps_every_turn(spark, sf_dir):
     n = spark.read.parquet(f"{sf_dir}/conversations.parquet").filter("role IN ('user', 'assistant')").distinct().count()
     out = chat.op5_tool_call_chat(spark, sf_dir)
     assert out.count() == n and out.filter("NOT valid").count() == 0
+
+
+def test_query_returns_every_row_of_conversations(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").distinct()
+    out = chat.op5_tool_call_chat(spark, sf_dir)
+    assert out.count() == table.count()
+    said = [json.loads(r.json) for r in out.filter("kind = 'message'").collect()]
+    want = [(r.role, r.text) for r in table.filter("role IS NULL OR role NOT IN ('user', 'assistant')").collect()]
+    assert sorted((m["role"], m["content"]) for m in said) == sorted(want) and want
+
+
+def test_other_roles_stay_in_place(spark, tmp_path):
+    rows = [(1, 0, "system", "Be brief."), (1, 1, "user", "a"), (1, 2, "assistant", "b"), (1, 3, None, "note"), (1, 4, "narrator", None), (1, 5, "user", "c"), (1, 6, "assistant", "d"), (1, 7, "system", "end"), (2, 0, "system", "alone"), (2, 0, "system", "alone")]
+    rows += [(3, i, "user", "x") for i in range(0, 3000, 2)] + [(3, 2501, "system", "far"), (3, 2047, "system", "edge")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    out = chat.op5_tool_call_chat(spark, str(tmp_path)).collect()
+    assert len(out) == len(set(rows))
+    first = sorted((r for r in out if r.conv_id == 1), key=lambda r: (r.level, r.turn, r.kind))
+    assert [r.turn for r in first] == list(range(8))
+    plain = {(r.conv_id, r.turn): r for r in out if r.kind == "message"}
+    assert all(r.call_id is None and r.status == "message" and r.valid and r.error is None for r in plain.values())
+    assert plain[1, 3].json == '{"content":"note","role":null}' and plain[1, 4].json == '{"content":null,"role":"narrator"}'
+    assert (plain[2, 0].level, plain[3, 2501].level, plain[3, 2047].level) == (0, 1250, 1023)
