@@ -17,8 +17,10 @@ MEMORY = 700_000
 
 # A chunk is a run without ASCII white space. The tokenizer drops white space, and no normaliser or pattern of
 # it looks across, so a text's ids are its chunks' ids. Letters of ASCII and Latin-1 with only marks after
-# them (no apostrophe, which starts contractions) split further: the letters are one word of the model.
+# them (no apostrophe, which starts contractions) split further: the letters are one word of the model. Added
+# tokens are found in the raw text, in the case they have; all begin with ADDED and have letters after it.
 WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([^\w\s'\x80-\U0010ffff]|_)*", re.ASCII)
+ADDED = b"<|"
 
 
 def byte_level_table() -> dict[int, str]:
@@ -36,7 +38,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.memory = Tokenizer.from_file(path), memory
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(not t.content.encode().startswith(ADDED) or WORD.fullmatch(t.content) or t.content.split() != [t.content] or t.normalized or t.single_word for t in added):
+            raise ValueError("added tokens of another form than <|...|>")
         self.model, self.table = self.tokenizer.model, byte_level_table()
         self.reset()
 
@@ -94,8 +98,8 @@ class WordEncoder:
     def some(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         known, before, words, bounds = self.known, len(self.known), [], [0]
         for text in texts:
-            # ASCII capitals may go first where no combining mark could compose with them
-            words += (text if b"\xcc" in text or b"\xcd" in text else text.lower()).split()
+            # ASCII capitals may go first where no combining mark could compose with them and no added token arise
+            words += (text if b"\xcc" in text or b"\xcd" in text or ADDED in text else text.lower()).split()
             bounds.append(len(words))
         at = list(map(known.get, words))
         for k in [k for k, i in enumerate(at) if i is None]:

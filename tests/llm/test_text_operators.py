@@ -46,6 +46,32 @@ def test_encoder_equals_the_library():
         assert [ids[off[i] : off[i + 1]].tolist() for i in range(len(part))] == [w.ids for w in want]
 
 
+MARKED = ["a <|endoftext|> b", "A<|endoftext|>B", "<|startoftext|>", "<|ENDOFTEXT|> X", "<|EndOfText|>", "<|endoftext| >", "e<|endoftext|>\u0301 É", "é.<|endoftext|>__", "<|endoftext|><|startoftext|>'s", "<|endóftext|>", "<|"]
+
+
+def test_added_tokens_as_an_untouched_tokenizer_has_them(spark, tmp_path):
+    import random
+
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokens.default_path())
+    rng = random.Random(8)
+    pieces = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "endoftext", "A", "é", "Σ", "'s", ".", "_", " ", "\n", "\x1c", "\xa0", "\u0301", "7"]
+    texts = MARKED + ["".join(rng.choice(pieces) for _ in range(rng.randrange(12))) for _ in range(2000)]
+    assert plain.encode(texts[0], add_special_tokens=False).ids == [320, 49407, 321]
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    for memory in (50, 5000):
+        ids, off = tokens.WordEncoder(tokens.default_path(), memory).batch([t.encode() for t in texts])
+        assert [ids[off[i] : off[i + 1]].tolist() for i in range(len(texts))] == want
+    path, at = f"file://{tmp_path}/t", 0
+    token_files.write_tokens(docs(spark, MARKED), path, tokens.default_path())
+    back = {r.doc_id: (r.start, r.ids) for r in token_files.read_tokens(spark, path).collect()}
+    packed = {r.doc_id: r for r in packing.pack_documents(docs(spark, MARKED), tokens.default_path()).collect()}
+    for i in range(len(MARKED)):
+        assert back[i] == (at, [*want[i], 1]) and packed[i].ids_crc32 == crc([*want[i], 1])
+        at += len(want[i]) + 1
+
+
 def test_packing(spark):
     rows = packing.pack_documents(docs(spark), tokens.default_path(), capacity=512).collect()
     ids = encoded()
