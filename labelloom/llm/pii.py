@@ -4,9 +4,9 @@ High-recall generators propose spans that may overlap: the four base kinds (e-ma
 with its own validity check) and three loose ones (``contact``: written-out e-mail, ``number``: long digit
 groups, ``secret``: long mixed tokens). Each candidate gets format features (length, digits, letters,
 separators, Luhn, dots) and context features (cue words and characters before and after). Gradient boosted
-trees, trained on a bounded sample of weakly labelled candidates, score them; per kind, the lowest score at
-which the held-out part of the sample reaches the wanted precision is the threshold. Spans that pass are
-added to the base spans, which always stay.
+trees, trained on a bounded sample of weakly labelled candidates with a fair share for each kind, score them;
+per kind, the lowest score at which all candidates of the table reach the wanted precision is the threshold.
+Spans that pass are added to the base spans, which always stay.
 
 Positions count code points, ends are exclusive. Spans are found inside a row: no join, no shuffle.
 
@@ -16,6 +16,8 @@ without both labels, gives base spans only; other columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,9 +28,11 @@ from labelloom.session import table, written
 BASE = ("email", "ip", "card", "phone")
 LOOSE = ("contact", "number", "secret")
 KINDS = BASE + LOOSE
-#: At most so many candidates train and calibrate the trees; scoring covers all.
+#: At most so many candidates train the trees; thresholds and scoring cover all.
 SAMPLE = 6000
 PRECISION = 0.95
+#: Thresholds are multiples of one over so many; a kind has at most so many counts.
+STEPS = 10_000
 
 # The patterns match what the plain forms match (greedy, leftmost, non-overlapping); possessive repeats and
 # the look at the character before only keep a scan of long runs linear. \G: where the last match ended.
@@ -184,35 +188,47 @@ class PiiModel:
         return self.score(features(c)) >= least
 
 
+def shares(counts: dict[str, int], sample: int) -> dict[str, int]:
+    """How many of ``sample`` places each kind gets: equal parts, and what small kinds leave goes to the others."""
+    out: dict[str, int] = {}
+    for i, (kind, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[kind] = min(n, (sample - sum(out.values())) // (len(counts) - i))
+    return out
+
+
 def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, precision: float = PRECISION) -> PiiModel:
-    """Fit on at most ``sample`` candidates: the smallest by hash, so any rerun takes the same ones."""
+    """Fit on at most ``sample`` candidates: the smallest of each kind by hash, so any rerun takes the same ones.
+
+    Thresholds come from all candidates, those of the sample among them: a histogram of scores for each kind.
+    """
     spans = with_candidates(docs.select(text_col), text_col)
     spans = spans.select("__base", F.explode(F.concat("__base", "__more")).alias("c"))
     rows = spans.select("c", weak_label(F.col("c"), F.col("__base")).alias("label"))
     rows = rows.select(F.col("c.kind").alias("kind"), "label", F.xxhash64("c").alias("h"), *[v.alias(k) for k, v in features(F.col("c")).items()])
     # a span that repeats in many copies of a text counts once
-    rows = written(rows.dropDuplicates(["h"]).orderBy("h").limit(sample).coalesce(1), "pii-sample")
-    held = F.pmod("h", F.lit(5)) == 0
-    seen = {r["label"]: r["n"] for r in rows.filter(~held).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(seen) < 2:
+    rows = written(rows.dropDuplicates(["h"]), "pii-candidates")
+    counts = {r["kind"]: r["n"] for r in rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = [rows.filter(F.col("kind") == k).orderBy("h").limit(n) for k, n in sorted(shares(counts, sample).items()) if n]
+    if not parts:
+        return PiiModel([], [], {})
+    picked = written(reduce(DataFrame.union, parts).coalesce(1), "pii-sample")
+    if picked.select("label").distinct().count() < 2:
         return PiiModel([], [], {})
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=10, maxDepth=3, stepSize=0.3, seed=7, maxBins=32)
-    model = gbt.fit(assembler.transform(rows.filter(~held)))
-    out = PiiModel([t._call_java("rootNode") for t in model.trees], list(model.treeWeights), {})
-    scored = rows.filter(held).select("kind", "label", F.round(out.score({k: F.col(k) for k in FEATURES}), 6).alias("p"))
-    by_score: dict[str, list[tuple[float, int]]] = {}
-    for r in scored.collect():  # at most a fifth of the sample
-        by_score.setdefault(r["kind"], []).append((r["p"], r["label"]))
-    for kind, pairs in by_score.items():
-        hits, threshold = 0, 2.0
-        pairs.sort(reverse=True)
-        for i, (p, label) in enumerate(pairs):
-            hits += label
-            last = i + 1 == len(pairs) or pairs[i + 1][0] < p
-            if last and p >= 0.5 and hits >= precision * (i + 1):
-                threshold = p - 1e-6
-        out.thresholds[kind] = threshold
+    model = gbt.fit(assembler.transform(picked))
+    out = PiiModel([t._call_java("rootNode") for t in model.trees], list(model.treeWeights), dict.fromkeys(counts, 2.0))
+    step = F.floor(out.score({k: F.col(k) for k in FEATURES}) * STEPS).cast("int")
+    steps = rows.select("kind", "label", step.alias("step")).filter(F.col("step") >= STEPS // 2)
+    by_kind: dict[str, list[tuple[int, int, int]]] = {}
+    for r in steps.groupBy("kind", "step").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits")).collect():
+        by_kind.setdefault(r["kind"], []).append((r["step"], r["n"], r["hits"]))
+    for kind, bins in by_kind.items():
+        seen, right = 0, 0
+        for at, n, hits in sorted(bins, reverse=True):
+            seen, right = seen + n, right + hits
+            if right >= precision * seen:
+                out.thresholds[kind] = at / STEPS - 1e-9
     return out
 
 

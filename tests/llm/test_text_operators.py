@@ -175,6 +175,18 @@ def test_training_and_redaction(spark):
     assert pii.redact(docs(spark, []), pii.train(docs(spark, []))).count() == 0
 
 
+def test_rare_kinds_have_thresholds_on_tables_of_any_size(spark):
+    rare = [f"write to person{i} [at] host{i} [dot] com please" for i in range(3)]
+    for n in (40, 600):
+        texts = rare + [f"call +1 (555) 000-{1000 + i} or n{i}@mail.example.com" for i in range(n)] + [f"plain number {10**9 + i * 7919} in text" for i in range(n)]
+        model = pii.train(docs(spark, texts), sample=100)
+        assert set(model.thresholds) == {"email", "phone", "number", "contact"} and model.thresholds["contact"] < 1
+        out = {r.doc_id: r.text for r in pii.redact(docs(spark, texts), model).collect()}
+        assert [out[i] for i in range(3)] == ["write to [CONTACT] please"] * 3 and out[len(texts) - 1] == texts[-1]
+    assert pii.shares({"a": 2, "b": 50, "c": 9}, 30) == {"a": 2, "c": 9, "b": 19}
+    assert pii.shares({"a": 5, "b": 5}, 1) == {"a": 0, "b": 1}
+
+
 # -- decontamination ----------------------------------------------------------------------------------------
 
 
