@@ -10,13 +10,13 @@ Estimate: the share of equal registers, corrected for the registers that two unr
 threshold: by more than five standard deviations.
 Verification: what is left is compared on the full shingle sets.
 
-A group of near copies is not expanded into pairs. First each band's members are compared with its leader only
+A group of near copies is never expanded into pairs. First each band's members are compared with its leader only
 (a star; the leader is the member that meets the most others). Bands that still hold more than one component
-may hide links across them. A representative's home is the most central leader among those it resembles (by
-the estimate), or itself; two members of a band that share a home with many others are compared through their differences from it, an inverted index
-that misses no link (see ``by_differences``), and so are the members of a large band with several homes, from
-the band's leader. All other pairs of small bands are compared directly. Pairs inside a component need no
-check, and no other pair is left out.
+may hide links across them: their members are described by how they differ from a centre, and an inverted index
+of the differences finds and decides all links between them (see ``by_differences``). The centre is the most
+central leader of a member's bands, its home, which members of a band mostly share; where they don't, the
+band's own leader is a centre too. So two members of a band always meet in some star. Pairs inside a component
+need no check, and no other pair is left out.
 
 Cases: null text, or text without words, has an empty set and is linked with nothing; a text of fewer words
 than a shingle has one shingle, its whole sequence; rows that share an id count as one document; rows with a
@@ -46,8 +46,6 @@ MARGIN = 0.18
 FAN = 64
 #: Ids (8 bytes each) that are broadcast at most.
 FEW_IDS = 1_000_000
-#: Groups of at most so many members are compared pair by pair; larger ones by their differences. Both are exact.
-FEW = 8
 WORD_BYTES = ~byte_class(r"[\x20\x09-\x0D]")
 LOWER = lower_table()
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, registers binary"
@@ -195,14 +193,16 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: s
 
 
 def by_differences(stars: DataFrame, docs: DataFrame, component: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(a, b) of different components that can be linked, for all members of each star (c, x) of ``stars``.
+    """Links (a, b) between different components, among the members of each star (c, x) of ``stars``: all of them.
 
     Members are described by how they differ from the centre c: the shingles they add and those they lack.
     With the weight H = 5 * lacking + 4 * added, x and y are linked if and only if nine times the number of
-    differences they share reaches H(x) + H(y) - |c|, and x is linked with c if and only if H(x) <= |c|. So a
-    link to an x that is not linked with c needs more than H(y) / 9 shared differences, and x must hold one of
-    the first |differences of y| - floor(H(y) / 9) differences of y in any fixed order: rarest first, they are
-    shared by few. Differences of one member alone are shared with nobody and leave first.
+    differences they share reaches H(x) + H(y) - |c|, and x is linked with c if and only if H(x) <= |c|. So the
+    lists decide, no text is read again. Two members of different components are not both linked with c; let x
+    be one that is not. Then y shares more than H(y) / 9 differences with it, and x at least (H(x) - |c|) / 9
+    with y. In any fixed order of the differences, rarest first here, their first common one lies so far in
+    front in either list that enough can follow it: only such meetings become pairs. Differences of one member
+    alone are shared with nobody and leave first.
     """
 
     def differences(c: int, head: np.ndarray, x: int, s: np.ndarray) -> list[tuple]:
@@ -216,12 +216,16 @@ def by_differences(stars: DataFrame, docs: DataFrame, component: DataFrame, k: i
     shared = rows.groupBy("c", "item").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     rows = rows.join(shared, ["c", "item"])
     mine = W.partitionBy("c", "x")
-    rows = rows.withColumn("left", F.count(F.lit(1)).over(mine)).withColumn("place", F.row_number().over(mine.orderBy("df", "item")))
-    rows = written(rows.drop("df"), "shared-differences")
-    probe = rows.filter("weight > n_c").select("c", "item", "x", "component")
-    index = rows.filter("place <= left - (weight DIV 9)").select("c", "item", F.col("x").alias("y"), F.col("component").alias("component_y"))
-    pairs = probe.join(index, ["c", "item"]).filter("component <> component_y")
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    # follow: how many differences of the member stand at this one or behind it
+    rows = rows.withColumn("follow", F.count(F.lit(1)).over(mine) - F.row_number().over(mine.orderBy("df", "item")) + 1)
+    rows = written(rows.filter("9 * follow >= weight - n_c").drop("df"), "shared-differences")
+    probe = rows.filter("weight > n_c AND 9 * follow >= weight - n_c").select("c", "item", "n_c", "x", "weight", "component", "follow")
+    index = rows.filter("9 * follow > weight").select("c", "item", F.col("x").alias("y"), F.col("weight").alias("weight_y"), F.col("component").alias("component_y"), F.col("follow").alias("follow_y"))
+    met = probe.join(index, ["c", "item"]).filter("component <> component_y AND 9 * least(follow, follow_y) >= weight + weight_y - n_c")
+    met = written(met.select("c", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "crossing-pairs")
+    side = lambda x: found.select("c", F.col("x").alias(x), "n_c", F.col("weight").alias(f"weight_{x}"), F.col("items").alias(f"items_{x}"))
+    both = met.join(side("a"), ["c", "a"]).join(side("b").drop("n_c"), ["c", "b"])
+    return both.filter(9 * F.size(F.array_intersect("items_a", "items_b")) >= F.col("weight_a") + F.col("weight_b") - F.col("n_c")).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,27 +252,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_co
     component = connected_components(first)
 
     # bands that hold more than one component: links across them
-    near = star.select("a", "b").union(star.select("a", F.col("a").alias("b"))).distinct()
-    home = near.join(central.withColumnRenamed("rep", "a"), "a").groupBy("b").agg(F.min(F.struct((-F.col("meets")).alias("order"), "a")).alias("h")).select(F.col("b").alias("rep"), F.col("h.a").alias("home"))
-    home = home.join(home.groupBy("home").agg(F.count(F.lit(1)).alias("household")), "home")
     placed = shared.join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("bucket")
-    placed = placed.join(mixed, "bucket").join(home, "rep", "left").withColumn("home", F.coalesce("home", "rep")).withColumn("household", F.coalesce("household", F.lit(1)))
-    placed = written(placed, "mixed-bands")
-    few = placed.filter(F.col("members") <= FEW)
-    other = few.select("bucket", F.col("rep").alias("y"), F.col("n").alias("n_y"), F.col("component").alias("component_y"), F.col("home").alias("home_y"))
-    apart = F.col("home") != F.col("home_y")
-    crossing = few.join(other, "bucket").filter("rep < y AND component <> component_y").filter(apart | (F.col("household") <= FEW)).filter(similar_size("n", "n_y")).select(F.col("rep").alias("a"), F.col("y").alias("b"))
-    # members of one large household meet in it; those of several, in the band's own star
-    several = placed.groupBy("bucket").agg(F.min("home").alias("low"), F.max("home").alias("high")).filter("low <> high").select("bucket")
-    stars = placed.filter(F.col("household") > FEW).select(F.col("home").alias("a"), F.col("rep").alias("b"))
-    stars = stars.union(placed.filter(F.col("members") > FEW).join(several, "bucket", "left_semi").select(F.col("leader").alias("a"), F.col("rep").alias("b")))
+    # two members: the star has settled the only pair
+    placed = written(placed.join(mixed, "bucket", "left_semi").filter("members > 2"), "mixed-bands")
+    # a representative's home is the most central leader of its bands; members of one band mostly share it
+    order = central.select(F.col("rep").alias("leader"), "meets")
+    home = placed.select("rep", "leader").distinct().join(order, "leader").groupBy("rep").agg(F.min(F.struct((-F.col("meets")).alias("order"), F.col("leader").alias("home"))).alias("h")).select("rep", "h.home")
+    placed = placed.join(home, "rep")
+    homes = placed.groupBy("bucket").agg(F.min("home").alias("low"), F.max("home").alias("high")).filter("low <> high").select("bucket", F.lit(True).alias("several"))
+    placed = written(placed.join(homes, "bucket", "left"), "homes")
+    # members of one home meet in its star; those of a band with several homes in the band's own star
+    households = placed.select("home", "rep").distinct().groupBy("home").agg(F.count(F.lit(1)).alias("household")).filter("household > 1")
+    stars = placed.join(households, "home", "left_semi").select(F.col("home").alias("a"), F.col("rep").alias("b"))
+    stars = stars.union(placed.filter("several").select(F.col("leader").alias("a"), F.col("rep").alias("b")))
     stars = written(stars.filter("a <> b").distinct(), "stars")
-    crossing = crossing.union(by_differences(stars, docs, component, k, id_col, text_col)).distinct()
-    # pairs compared in the star are settled
-    settled = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    crossing = crossing.join(settled, ["a", "b"], "left_anti")
-    second = verified(written(estimated(crossing, reps), "crossing-pairs"), docs, k, id_col, text_col)
+    second = by_differences(stars, docs, component, k, id_col, text_col)
 
     component = checkpointed(connected_components(first.union(second)))
     by_set = sets.join(component.withColumnRenamed("id", "rep"), "rep", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
@@ -289,4 +288,20 @@ def op1_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_hyperminhash": op1_hyperminhash}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op1_hyperminhash": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) END AS s FROM words),
+classes AS (SELECT s, min(doc_id) AS rep, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s),
+items AS (SELECT rep, n, unnest(s) AS item FROM classes),
+links AS (
+  SELECT x.rep AS a, y.rep AS b FROM items x JOIN items y ON x.item = y.item AND x.rep <> y.rep
+  GROUP BY x.rep, y.rep, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach AS (SELECT rep AS a, rep AS b FROM classes UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_of AS (SELECT a, min(b) AS low FROM reach GROUP BY a)
+SELECT t.doc_id, CAST(len(t.s) AS BIGINT) AS n_shingles, coalesce(l.low, t.doc_id) AS component_id, coalesce(l.low, t.doc_id) = t.doc_id AS kept
+FROM sets t LEFT JOIN classes c ON t.s = c.s LEFT JOIN least_of l ON l.a = c.rep""",
+}

@@ -78,3 +78,21 @@ def test_registers_estimate_similarity():
     assert abs(same - 1800 / 2200) < 0.12
     z = rng.integers(0, 2**63, 2000, dtype=np.uint64)
     assert (minhash.registers_of(x, a, b) == minhash.registers_of(z, a, b)).mean() < 0.03
+
+
+def test_a_thousand_near_copies(spark):
+    """Most of them too far from any centre to be linked with it: links come from differences, and stay few."""
+    rng = random.Random(9)
+    texts = near_copies(rng, 1000, 80, 8) + [" ".join(f"u{rng.randrange(10**6)}" for _ in range(30)) for _ in range(100)]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df, 4).collect()}
+    assert got == brute(docs, 4)
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(120_000)]
+    docs = [(0, " ".join(words)), (1, " ".join(words[:110_000])), (2, " ".join(words[:40_000])), (3, "x" * 1_000_000)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 4).collect()}
+    assert got == brute(docs, 4)
