@@ -10,7 +10,8 @@ Statuses: ``linked``, ``no_result`` (call without result), ``no_call`` (result w
 (a turn that is neither call nor result; it stands at the highest level of the calls before its turn).
 
 Cases: identical repeated rows count as one; a null identifier links with nothing; null or broken arguments
-are invalid (``not an object``); a tool without schema is invalid (``unknown tool``); a dependency that does
+(NaN, infinities and nesting beyond the parser's depth among them) are invalid (``not an object``) and stay as the
+text they are; lone surrogates are written as escapes; a tool without schema is invalid (``unknown tool``); a dependency that does
 not exist is ignored for the order and reported in ``missing``; empty tables give no rows; other columns are
 ignored.
 """
@@ -18,6 +19,7 @@ ignored.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,21 +31,44 @@ from labelloom.session import checkpointed, small_batches, table, written
 
 #: JSON types a schema may ask for.
 TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list}
+SURROGATE = re.compile("[\ud800-\udfff]")
 KEY = ["conv_id", "call_id"]
 #: Turns that one window sorts; over longer conversations, windows go over the blocks of so many turns.
 BLOCK = 1024
 
 
 def canonical(value: object) -> str:
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """Canonical JSON, with lone surrogates (which UTF-8 has not) as escapes."""
+    out = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return SURROGATE.sub(lambda m: f"\\u{ord(m[0]):04x}", out)
+
+
+def finite(text: str) -> float:
+    x = float(text)
+    if x - x:  # infinite
+        raise ValueError(text)
+    return x
+
+
+def no_constant(text: str) -> None:
+    raise ValueError(text)
+
+
+def parsed(text: str | None) -> object:
+    """The value of a JSON text; None if it is none (NaN, infinities and nesting beyond the parser's depth included)."""
+    if text is None:
+        return None
+    try:
+        value = json.loads(text, parse_float=finite, parse_constant=no_constant)
+        canonical(value)
+        return value
+    except (ValueError, RecursionError):
+        return None
 
 
 def violations(arguments: str | None, schema: dict | None) -> tuple[object, str | None]:
     """(parsed arguments or None, first violation or None) of a schema {field: (type, required)}."""
-    try:
-        value = json.loads(arguments) if arguments is not None else None
-    except ValueError:
-        value = None
+    value = parsed(arguments)
     if not isinstance(value, dict):
         return None, "not an object"
     if schema is None:
@@ -58,7 +83,7 @@ def violations(arguments: str | None, schema: dict | None) -> tuple[object, str
         if not isinstance(x, TYPES[kind]) or (isinstance(x, bool) and kind in ("integer", "number")):
             return value, f"{field} is not {kind}"
     extra = sorted(set(value) - set(schema))
-    return value, f"unexpected {extra[0]}" if extra else None
+    return value, SURROGATE.sub("\ufffd", f"unexpected {extra[0]}") if extra else None
 
 
 def levels(calls: DataFrame) -> DataFrame:
@@ -183,11 +208,13 @@ REPLY = {"reply": {"prompt": ("string", True), "turn": ("integer", True), "lengt
 
 def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations as tool use: a user's turn calls ``reply``, the assistant's next turn is its result, and a
-    call depends on the call two turns before."""
+    call depends on the call two turns before, that of turn 4 or 5 on the one four turns before too."""
     name = lambda back: F.concat(F.lit("call_"), (F.col("turn") - back).cast("string"))
     asked = conversations.filter(F.col("role") == "user")
-    arguments = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("prompt"), F.col("turn").alias("turn"), F.length(F.coalesce("text", F.lit(""))).alias("length")))
-    calls = asked.select("conv_id", "turn", name(0).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"), F.when(F.col("turn") >= 2, F.array(name(2))).otherwise(F.array().cast("array<string>")).alias("depends_on"))
+    # a null text leaves the prompt out, which the schema refuses
+    arguments = F.to_json(F.struct(F.col("text").alias("prompt"), F.col("turn").alias("turn"), F.length("text").alias("length")))
+    depends = F.array_compact(F.array(F.when(F.col("turn") >= 2, name(2)), F.when(F.col("turn").isin(4, 5), name(4))))
+    calls = asked.select("conv_id", "turn", name(0).alias("call_id"), F.lit("reply").alias("name"), arguments.alias("arguments"), depends.alias("depends_on"))
     results = conversations.filter(F.col("role") == "assistant").select("conv_id", "turn", name(1).alias("call_id"), F.col("text").alias("content"))
     return calls, results
 
@@ -205,4 +232,25 @@ def op5_tool_call_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op5_tool_call_chat": op5_tool_call_chat}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op5_tool_call_chat": """
+WITH RECURSIVE rows AS (SELECT DISTINCT conv_id, CAST(turn AS BIGINT) AS turn, role, text FROM conversations),
+calls AS (SELECT conv_id, turn, text, concat('call_', turn) AS call_id FROM rows WHERE role = 'user'),
+wants AS (SELECT c.conv_id, c.turn, c.turn - b AS parent FROM calls c, (VALUES (2), (4)) v(b) WHERE c.turn >= b AND (b = 2 OR c.turn IN (4, 5))),
+known AS (SELECT w.* FROM wants w JOIN calls p ON p.conv_id = w.conv_id AND p.turn = w.parent),
+lost AS (SELECT w.conv_id, w.turn, string_agg(concat('call_', parent), ',' ORDER BY concat('call_', parent)) AS missing FROM wants w
+  WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = w.conv_id AND p.turn = w.parent) GROUP BY 1, 2),
+paths AS (SELECT conv_id, turn, 0 AS level FROM calls UNION SELECT k.conv_id, k.turn, p.level + 1 FROM paths p JOIN known k ON k.conv_id = p.conv_id AND k.parent = p.turn),
+levels AS (SELECT conv_id, turn, max(level) AS level FROM paths GROUP BY 1, 2),
+answers AS (SELECT conv_id, turn, concat('call_', turn - 1) AS call_id, text FROM rows WHERE role = 'assistant'),
+others AS (SELECT conv_id, turn, role, text FROM rows WHERE role IS NULL OR role NOT IN ('user', 'assistant'))
+SELECT c.conv_id, c.turn, 'call' AS kind, c.call_id, CASE WHEN a.turn IS NULL THEN 'no_result' ELSE 'linked' END AS status, l.level, o.missing,
+  c.text IS NOT NULL AS valid, CASE WHEN c.text IS NULL THEN 'missing prompt' END AS error,
+  concat('{"role":"assistant","tool_calls":[{"function":{"arguments":{', CASE WHEN c.text IS NOT NULL THEN concat('"length":', length(c.text), ',"prompt":', to_json(c.text), ',') END, '"turn":', c.turn, '},"name":"reply"},"id":"', c.call_id, '","type":"function"}]}') AS json
+FROM calls c JOIN levels l ON l.conv_id = c.conv_id AND l.turn = c.turn LEFT JOIN answers a ON a.conv_id = c.conv_id AND a.call_id = c.call_id LEFT JOIN lost o ON o.conv_id = c.conv_id AND o.turn = c.turn
+UNION ALL SELECT a.conv_id, a.turn, 'result', a.call_id, CASE WHEN c.turn IS NULL THEN 'no_call' ELSE 'linked' END, l.level, NULL, TRUE, NULL,
+  concat('{"content":', coalesce(to_json(a.text), 'null'), ',"name":', CASE WHEN c.turn IS NULL THEN 'null' ELSE '"reply"' END, ',"role":"tool","tool_call_id":"', a.call_id, '"}')
+FROM answers a LEFT JOIN calls c ON c.conv_id = a.conv_id AND c.call_id = a.call_id LEFT JOIN levels l ON l.conv_id = c.conv_id AND l.turn = c.turn
+UNION ALL SELECT o.conv_id, o.turn, 'message', NULL, 'message', coalesce((SELECT max(level) FROM levels l WHERE l.conv_id = o.conv_id AND l.turn < o.turn), 0), NULL, TRUE, NULL,
+  concat('{"content":', coalesce(to_json(o.text), 'null'), ',"role":', coalesce(to_json(o.role), 'null'), '}') FROM others o""",
+}

@@ -29,22 +29,31 @@ from labelloom.session import small_batches, table, written
 #: Payloads are padded with bytes 255 to a positive multiple of TILE = SIDE * SIDE samples.
 SIDE, TILE = 24, 576
 MEDIA_TAGS = ("img", "video", "audio", "source", "embed")
-SILENT_TAGS = ("script", "style", "head", "template")
+#: Elements whose text is never shown, and those that may stand in a head: any other one ends it.
+SILENT_TAGS = ("script", "style", "title")
+HEAD_TAGS = ("base", "link", "meta", "noscript", "script", "style", "template", "title")
 BLOCK_TAGS = ("p", "div", "article", "section", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "table", "tr", "td", "th", "br", "nav", "blockquote", "pre", "figure", "figcaption", "body", "html")
 SEQUENCE = "position int, kind string, text string, source string, digest string, alt string, caption string"
 FEATURES = "digest string, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
 class Sequencer(HTMLParser):
-    """Collects the elements of one page in order."""
+    """Collects the elements of one page in order.
+
+    End tags may be missing: a head ends at the first element that can't stand in it (its text is a title or a
+    script, else it ends the head too); a caption ends with its figure, at the next caption or at the end of the
+    page; a template without end hides nothing. A caption belongs to all media of its figure, before or behind
+    it; one without media is text.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.items: list[dict] = []
         self.words: list[str] = []
-        self.silent = 0
-        self.figures: list[list[int]] = []
+        self.silent: str | None = None
+        self.figures: list[list[dict]] = []
         self.caption: list[str] | None = None
+        self.templates: list[int] = []
 
     def flush(self) -> None:
         text = " ".join("".join(self.words).split())
@@ -52,52 +61,96 @@ class Sequencer(HTMLParser):
         if text:
             self.items.append({"kind": "text", "text": text})
 
+    def end_caption(self) -> None:
+        if self.caption is None:
+            return
+        text, self.caption = " ".join("".join(self.caption).split()), None
+        if text:
+            item = {"kind": "text", "text": text, "is_caption": bool(self.figures)}
+            self.items.append(item)
+            if self.figures:
+                self.figures[-1].append(item)
+
+    def end_figure(self) -> None:
+        self.end_caption()
+        self.flush()
+        inside = self.figures.pop()
+        media = [x for x in inside if x["kind"] == "media"]
+        caption = " ".join(x["text"] for x in inside if x["kind"] == "text")
+        for x in media:
+            x["caption"] = caption or None
+        for x in inside:
+            x["is_caption"] = x["kind"] == "text" and bool(media)  # said by the media; else it stays as text
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.silent == "title" and tag not in HEAD_TAGS:
+            self.silent = None
         if tag in SILENT_TAGS:
-            self.silent += 1
-        if tag in BLOCK_TAGS:
+            self.silent = tag
+        if tag == "template":
             self.flush()
-        if tag == "figure":
-            self.figures.append([])
+            self.templates.append(len(self.items))
         if tag == "figcaption":
+            self.end_caption()
+            self.flush()
             self.caption = []
+        elif tag in BLOCK_TAGS:
+            if tag == "figure" or self.caption is None:
+                self.end_caption()
+                self.flush()
+            else:
+                self.caption.append(" ")
+        if tag == "figure":
+            self.figures.append([])
         if tag in MEDIA_TAGS:
-            self.flush()
             a = dict(attrs)
             source = a.get("src") or a.get("data-src") or ""
             if source:
+                if self.caption is None:
+                    self.flush()
+                item = {"kind": "media", "source": source, "alt": a.get("alt"), "digest": source[7:].lower() if source.startswith("sha256:") else None}
                 if self.figures:
-                    self.figures[-1].append(len(self.items))
-                self.items.append({"kind": "media", "source": source, "alt": a.get("alt"), "digest": source[7:].lower() if source.startswith("sha256:") else None})
+                    self.figures[-1].append(item)
+                self.items.append(item)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in SILENT_TAGS:
-            self.silent = max(0, self.silent - 1)
-        if tag == "figcaption" and self.caption is not None:
-            text = " ".join("".join(self.caption).split())
-            for i in self.figures[-1] if self.figures else []:
-                self.items[i]["caption"] = text
-            self.caption = None
-        elif tag in BLOCK_TAGS:
+        if tag == self.silent:
+            self.silent = None
+        if tag == "template" and self.templates:
             self.flush()
-        if tag == "figure" and self.figures:
-            self.figures.pop()
+            del self.items[self.templates.pop() :]
+        if tag == "figcaption":
+            self.end_caption()
+        elif tag == "figure" and self.figures:
+            self.end_figure()
+        elif tag in BLOCK_TAGS:
+            if self.caption is None:
+                self.flush()
+            else:
+                self.caption.append(" ")
 
     def handle_data(self, data: str) -> None:
-        if not self.silent:
+        if self.silent is None:
             (self.words if self.caption is None else self.caption).append(data)
 
+    def finish(self) -> list[dict]:
+        self.close()
+        self.end_caption()
+        self.flush()
+        while self.figures:
+            self.end_figure()
+        return [x for x in self.items if not x.get("is_caption")]
+
 
 def elements(html: str | None) -> list[dict]:
     s = Sequencer()
     s.feed(html or "")
-    s.close()
-    s.flush()
-    return s.items
+    return s.finish()
 
 
-def sequences(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One row per element of each page: ``id_col`` and the columns of ``SEQUENCE``."""
+def sequences(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", kinds: tuple[str, ...] = ("text", "media")) -> DataFrame:
+    """One row per element of the ``kinds`` asked for of each page: ``id_col`` and the columns of ``SEQUENCE``;
+    positions count elements of all kinds."""
     small_batches(pages.sparkSession)
     kind = pages.schema[id_col].dataType.simpleString()
 
@@ -105,13 +158,14 @@ def sequences(pages: DataFrame, id_col: str = "page_id", html_col: str = "html")
         names = ("kind", "text", "source", "digest", "alt", "caption")
         for b in batches:
             ids, places, rows = [], [], []
-            for name, html in zip(b.column(0), b.column(1), strict=True):
-                for i, x in enumerate(elements(html.as_py())):
-                    ids.append(name)
-                    places.append(i)
-                    rows.append(x)
+            for name, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for i, x in enumerate(elements(html)):
+                    if x["kind"] in kinds:
+                        ids.append(name)
+                        places.append(i)
+                        rows.append(x)
             columns = [pa.array([r.get(k) for r in rows], pa.string()) for k in names]
-            yield pa.RecordBatch.from_arrays([pa.array([i.as_py() for i in ids], b.schema.field(0).type), pa.array(places, pa.int32()), *columns], names=[id_col, "position", *names])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, b.schema.field(0).type), pa.array(places, pa.int32()), *columns], names=[id_col, "position", *names])
 
     return pages.select(id_col, html_col).mapInArrow(run, f"{id_col} {kind}, {SEQUENCE}")
 
@@ -175,18 +229,38 @@ def read_features(store: DataFrame) -> DataFrame:
 
 
 def resolve(sequence: DataFrame, features: DataFrame) -> DataFrame:
-    """``sequence`` with the columns of ``features`` for every media reference, null where there is none."""
-    return sequence.join(features, "digest", "left")
+    """``sequence`` with the columns of ``features`` for every media reference, null where there is none.
+
+    Rows without a digest (text, and media elsewhere on the web) stay out of the join.
+    """
+    with_digest = sequence.filter("digest IS NOT NULL").join(features, "digest", "left")
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in features.schema.fields if f.name != "digest"]
+    return with_digest.unionByName(sequence.filter("digest IS NULL").select("*", *empty))
+
+
+def as_page(text: Column, caption: Column) -> Column:
+    """A document as interleaved HTML: its lines are paragraphs; behind the first stands a figure whose payload
+    is the whole text, by digest."""
+    safe = lambda x: F.replace(F.replace(F.replace(x, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    lines = F.split(safe(text), "\n")
+    figure = F.concat(F.lit('<figure><img alt="text" src="sha256:'), F.sha2(text.cast("binary"), 256), F.lit('"><figcaption>'), safe(caption), F.lit("</figcaption></figure>"))
+    rest = F.when(F.size(lines) > 1, F.concat(F.lit("<p>"), F.array_join(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), "</p><p>"), F.lit("</p>"))).otherwise(F.lit(""))
+    return F.concat(F.lit("<html><body><article><p>"), F.get(lines, F.lit(0)), F.lit("</p>"), figure, rest, F.lit("</article></body></html>"))
 
 
 def op10_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    html = F.concat(F.lit('<article><figure><img src="sha256:'), digest, F.lit('" alt="text"><figcaption>'), F.coalesce(F.col("lang"), F.lit("")), F.lit("</figcaption></figure></article>"))
-    refs = sequences(docs.select("doc_id", html.alias("html")), "doc_id").filter(F.col("kind") == "media")
+    html = as_page(F.coalesce("text", F.lit("")), F.coalesce("lang", F.lit("")))
+    refs = sequences(docs.select("doc_id", html.alias("html")), "doc_id", kinds=("media",))
     out = resolve(refs, read_features(store_texts(docs)))
     return out.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")
 
 
-QUERIES = {"op10_interleaved_media": op10_interleaved_media}
+def page_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every element of every page, in order; the media store of the documents resolves what it knows."""
+    store = read_features(store_texts(table(spark, sf_dir, "documents")))
+    return resolve(sequences(table(spark, sf_dir, "pages")), store).select("page_id", "position", "kind", "text", "source", "alt", "caption", "n_bytes", "media_sha256")
+
+
+QUERIES = {"op10_interleaved_media": op10_interleaved_media, "page_sequences": page_sequences}
 ORACLE: dict[str, str] = {}

@@ -42,9 +42,10 @@ PATTERNS = {
     # runs of under 12 digits fail the check anyway
     "card": r"[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "contact": r"[A-Za-z0-9._%+-]{1,64}+\x20?[(\[{]at[)\]}]\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|[(\[{]dot[)\]}])\x20?[A-Za-z0-9-]++)++",
+    "contact": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++\x20?[(\[{]at[)\]}]\x20?[A-Za-z0-9-]++(?:\x20?(?:\.|[(\[{]dot[)\]}])\x20?[A-Za-z0-9-]++)++",
     "number": r"[0-9](?:[\x20.()/-]{0,2}[0-9]){8,}+",
-    "secret": r"(?<![A-Za-z0-9_/+=-])(?=[A-Za-z_/+=-]{0,200}+[0-9])(?=[0-9_/+=-]{0,200}+[A-Za-z])[A-Za-z0-9_/+=-]{20,}+",
+    # a run of any length; that it mixes letters and digits is a check of its own
+    "secret": r"(?<![A-Za-z0-9_/+=-])[A-Za-z0-9_/+=-]{20,}+",
 }
 #: A text without a match of this can't hold the kind.
 NEEDS = {"email": "@", "phone": "+", "contact": "at"}
@@ -84,6 +85,8 @@ def valid(kind: str, match: Column) -> Column:
         return n.between(12, 19) & luhn(digits_of(match))
     if kind == "phone":
         return n.between(9, 15)
+    if kind == "secret":
+        return match.rlike("[0-9]") & match.rlike("[A-Za-z]")
     return F.lit(True)
 
 
@@ -148,7 +151,8 @@ def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         out = out.withColumn(f"__{kind}", found(text, kind))
     base = F.concat(*[F.filter(F.col(f"__{k}"), checked(k, True)) for k in BASE])
     bad = [F.filter(F.col(f"__{k}"), checked(k, False)) for k in ("ip", "card", "phone")]
-    out = out.withColumn("__base", base).withColumn("__more", F.concat(*bad, *[F.col(f"__{k}") for k in LOOSE]))
+    loose = [F.filter(F.col(f"__{k}"), checked(k, True)) for k in LOOSE]
+    out = out.withColumn("__base", base).withColumn("__more", F.concat(*bad, *loose))
     return out.drop(*[f"__{k}" for k in KINDS])
 
 
@@ -233,7 +237,8 @@ def train(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, precisi
 
 
 def find_pii(docs: DataFrame, model: PiiModel, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``pii_base`` and ``pii_spans``: sorted arrays of (start, rank, kind, end)."""
+    """``docs`` with ``pii_base`` and ``pii_spans``: sorted arrays of (start, rank, kind, end). Columns of these two
+    names are replaced."""
     rank = {k: i for i, k in enumerate(KINDS)}
 
     def placed(c: Column) -> Column:
@@ -242,13 +247,16 @@ def find_pii(docs: DataFrame, model: PiiModel, text_col: str = "text") -> DataFr
             order = F.when(c["kind"] == k, F.lit(i)).otherwise(order)
         return F.struct(c["start"].alias("start"), order.alias("rank"), c["kind"].alias("kind"), c["end"].alias("end"))
 
-    out = with_candidates(docs, text_col)
+    # names of our own: the columns of docs may be called anything
+    names = [c for c in docs.columns if c not in ("pii_base", "pii_spans")]
+    own = [f"__c{i}" for i in range(len(names))]
+    out = with_candidates(docs.select(*names).toDF(*own), own[names.index(text_col)])
     more = F.filter(F.col("__more"), model.selects)
     # a loose span inside a base span says nothing new; of equal spans one stays
     fresh = F.filter(more, lambda c: ~F.exists(F.col("__base"), lambda s: (s["start"] <= c["start"]) & (c["end"] <= s["end"])))
     out = out.withColumn("pii_base", F.array_sort(F.transform("__base", placed)))
     out = out.withColumn("pii_spans", F.array_sort(F.array_distinct(F.concat("pii_base", F.transform(fresh, placed)))))
-    return out.drop("__base", "__more")
+    return out.select(*own, "pii_base", "pii_spans").toDF(*names, "pii_base", "pii_spans")
 
 
 def joined(spans: Column) -> Column:

@@ -1,8 +1,9 @@
 """Token files: a static range asymmetric numeral system over shared frequency tables.
 
-Documents are sorted by id into range partitions, encoded to token ids and gathered into groups of whole
-documents. One pass counts ids over all groups; the counts become one shared frequency table of 2 ** 20 slots.
-Each group is then coded on its own, in blocks of at most ``BLOCK`` ids: a block is a grid of segments of
+Documents are encoded to token ids where they lie, each task counting the ids it makes; the counts become one
+shared frequency table of 2 ** 20 slots. The ids, not the texts, are then sorted by document id into range
+partitions (equal ids are told apart by a hash, so a third of all rows may share one) and gathered into groups
+of whole documents. Each group is then coded on its own, in blocks of at most ``BLOCK`` ids: a block is a grid of segments of
 ``STEPS`` x ``LANES`` ids, each lane with a state of 64 bits that gives off 32-bit words. A block's header
 holds, for each segment, the checkpoint (place in the word stream, lane states) from which it decodes alone,
 and the CRC-32 of the ids; a wrong checksum is an error. Files are written by Spark's committer, so a lost
@@ -30,12 +31,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelloom.llm import tokens
-from labelloom.session import shared_dir, small_batches, table
+from labelloom.llm.text import column_bytes
+from labelloom.session import shared_dir, small_batches, table, written
 
 SLOT_BITS, LOW = 20, 1 << 31
 LANES, STEPS = 32, 512
 BLOCK = 1 << 20  # ids
 MAGIC = b"RNS1"
+PLAIN = "counted boolean, doc_id long, n_tokens long, ids binary, n binary"
 GROUPS = "part int, part_start long, doc_ids array<long>, n_tokens array<long>, payloads array<binary>"
 
 
@@ -129,85 +132,97 @@ class Coder:
 # -- writing and reading ---------------------------------------------------------------------------------
 
 
-def grouped_ids(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, block: int = BLOCK) -> DataFrame:
-    """Groups of whole documents in ascending id order; payloads hold the plain ids (little-endian, 32 bits)."""
+def plain_ids(docs: DataFrame, tokenizer: str, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``PLAIN``: the ids of each document with the end id (two bytes each where the vocabulary allows,
+    else four), and behind those of a task one row of the ids it has counted and how often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, before = tokens.encoder(tokenizer), TaskContext.get().partitionId(), 0
-        names: list = []
-        held: list[np.ndarray] = []
-        sizes: list[int] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal names, held, sizes, size, before
-            ids = np.concatenate(held)
-            row = pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([[ids[i : i + block].astype("<u4").tobytes() for i in range(0, len(ids), block)]], pa.list_(pa.binary()))],
-                names=["part", "part_start", "doc_ids", "n_tokens", "payloads"],
-            )
-            before += len(ids)
-            names, held, sizes, size = [], [], [], 0
-            return row
-
+        enc = tokens.encoder(tokenizer)
+        size = enc.tokenizer.get_vocab_size(True)
+        kind, total = id_type(size), np.zeros(size, np.int64)
+        names = ["counted", "doc_id", "n_tokens", "ids", "n"]
         for b in batches:
             ids, off = tokens.with_end(*enc.batch(tokens.texts_of(b.column(1))))
-            for i, name in enumerate(b.column(0).to_pylist()):
-                names.append(name)
-                held.append(ids[off[i] : off[i + 1]])
-                sizes.append(int(off[i + 1] - off[i]))
-                size += sizes[-1]
-                if size >= block // 2:
-                    yield flush()
-        if names:
-            yield flush()
+            total += np.bincount(ids, minlength=size)
+            n, data = b.num_rows, ids.astype(kind).tobytes()
+            column = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer((off * kind.itemsize).astype(np.int64)), pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, bool)), b.column(0), pa.array(np.diff(off)), column.cast(pa.binary()), pa.nulls(n, pa.binary())], names=names)
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array([True]), pa.nulls(1, pa.int64()), pa.array([len(used)], pa.int64()), pa.array([used.astype(kind).tobytes()], pa.binary()), pa.array([total[used].tobytes()], pa.binary())], names=names)
+
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, PLAIN)
+
 
-    ordered = docs.select(F.col(id_col).cast("long"), F.col(text_col)).repartitionByRange(id_col).sortWithinPartitions(id_col)
-    return ordered.mapInArrow(run, GROUPS)
+def id_type(size: int) -> np.dtype:
+    """The type that plain ids below ``size`` are kept in."""
+    return np.dtype("<u2" if size <= 1 << 16 else "<u4")
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> None:
     """Encode all ``docs`` and write the token files of this module's format to ``path``."""
+    from tokenizers import Tokenizer
+
     spark = docs.sparkSession
     small_batches(spark)
-    plain_path = f"{shared_dir(spark)}/plain-ids-{uuid.uuid4().hex}"
-    grouped_ids(docs, tokenizer, id_col, text_col).write.option("compression", "zstd").parquet(plain_path)
-    plain = spark.read.schema(GROUPS).parquet(plain_path)
+    kind = id_type(Tokenizer.from_file(tokenizer).get_vocab_size(True))
+    plain = written(plain_ids(docs, tokenizer, id_col, text_col), "plain-ids")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
         for b in batches:
-            for row in b.column(0):
-                for p in row:
-                    c = np.bincount(np.frombuffer(p.as_buffer(), "<u4"))
-                    if len(c) > len(total):
-                        c[: len(total)] += total
-                        total = c
-                    else:
-                        total[: len(c)] += c
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], names=["id", "n"])
+            for used, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(used, kind).astype(np.int64)), pa.array(np.frombuffer(n, np.int64))], names=["id", "n"])
 
     # at most one row for each id of the vocabulary
-    counted = plain.select("payloads").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counted = plain.filter("counted").select("ids", "n").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(max((r["id"] for r in counted), default=-1) + 1, np.int64)
     for r in counted:
         counts[r["id"]] = r["n"]
     f = frequencies(counts)
     spark.createDataFrame([(int(i), int(f[i])) for i in np.flatnonzero(f)], "id long, frequency long").coalesce(1).write.parquet(f"{path}/frequencies")
-    parts = plain.select("part", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, b: a + b).alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
-    # one row for each range partition
-    parts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("start")).coalesce(1).write.parquet(f"{path}/parts")
     shared = spark.sparkContext.broadcast(f)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(shared.value)
+        coder, part, before = Coder(shared.value), TaskContext.get().partitionId(), 0
+        names: list = []
+        sizes: list[int] = []
+        held: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal names, sizes, held, size, before
+            ids = np.concatenate(held)
+            coded = [coder.encode(ids[i : i + block].astype(np.uint32)) for i in range(0, len(ids), block)]
+            row = pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([names], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([coded], pa.list_(pa.binary()))],
+                names=["part", "part_start", "doc_ids", "n_tokens", "payloads"],
+            )
+            before += size
+            names, sizes, held, size = [], [], [], 0
+            return row
+
         for b in batches:
-            for i in range(b.num_rows):
-                coded = [coder.encode(np.frombuffer(p.as_buffer(), "<u4")) for p in b.column(4)[i]]
-                yield pa.RecordBatch.from_arrays([*[b.column(k).slice(i, 1) for k in range(4)], pa.array([coded], pa.list_(pa.binary()))], names=b.schema.names)
+            raw, off = column_bytes(b.column(2))
+            ids, n = raw.view(kind) if len(raw) else np.zeros(0, kind), np.diff(off) // kind.itemsize
+            ends, lo = np.cumsum(n), 0
+            while lo < b.num_rows:  # as many whole documents as fill half a block
+                done = int(ends[lo - 1]) if lo else 0
+                hi = min(b.num_rows, int(np.searchsorted(ends, done + block // 2 - size)) + 1)
+                names += b.column(0).slice(lo, hi - lo).to_pylist()
+                sizes += n[lo:hi].tolist()
+                held.append(ids[done : int(ends[hi - 1])].copy())
+                size += int(ends[hi - 1]) - done
+                lo = hi
+                if size >= block // 2:
+                    yield flush()
+        if names:
+            yield flush()
 
-    plain.mapInArrow(encode, GROUPS).write.option("compression", "none").parquet(f"{path}/groups")
+    rows = plain.filter("NOT counted").select("doc_id", F.xxhash64("ids").alias("tie"), "ids")
+    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
+    ordered.mapInArrow(encode, GROUPS).write.option("compression", "none").parquet(f"{path}/groups")
+    parts = spark.read.schema(GROUPS).parquet(f"{path}/groups").select("part", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, b: a + b).alias("n")).groupBy("part").agg(F.sum("n").alias("n"))
+    # one row for each range partition
+    parts.select("part", (F.sum("n").over(W.orderBy("part")) - F.col("n")).alias("start")).coalesce(1).write.parquet(f"{path}/parts")
 
 
 def read_groups(spark: SparkSession, path: str, schema: str, per_document) -> DataFrame:

@@ -71,10 +71,22 @@ def test_empty(spark):
     assert linked(spark, [], []) == []
 
 
-def test_query_keeps_every_turn(spark, sf_dir):
-    n = spark.read.parquet(f"{sf_dir}/conversations.parquet").filter("role IN ('user', 'assistant')").distinct().count()
-    out = chat.op5_tool_call_chat(spark, sf_dir)
-    assert out.count() == n and out.filter("NOT valid").count() == 0
+def test_odd_arguments(spark):
+    deep = '{"a": ' + "[" * 100_000 + "]" * 100_000 + "}"
+    texts = [deep, '{"a": NaN}', '{"a": 1, "b": 1e999}', '{"a": 1, "\\ud800": 2}', '{"a": 1, "b": -Infinity}', '{"a": 1}', "9" * 10_000]
+    calls = [(1, i, f"c{i}", "add", t, []) for i, t in enumerate(texts)]
+    calls.append((1, 50, "long", "add", '{"a": 5, "b": 1, "x": "' + "y" * 500_000 + '"}', []))
+    rows = {r.call_id: r for r in linked(spark, calls, [(1, 60, "c5", None)])}
+    assert [rows[f"c{i}"].error for i in range(7)] == ["not an object"] * 3 + ["unexpected \ufffd", "not an object", None, "not an object"]
+    for r in rows.values():
+        json.loads(r.json, parse_constant=lambda x: pytest.fail(x))
+    assert "\\ud800" in rows["c3"].json and len(rows["long"].json) > 500_000 and rows["long"].error == "unexpected x"
+
+
+def test_clashing_columns(spark):
+    calls = spark.createDataFrame([(1, 0, "a", "add", '{"a": 1}', [], "x", 5)], CALLS + ", status string, level int")
+    results = spark.createDataFrame([(1, 1, "a", "3", "y")], RESULTS + ", kind string")
+    assert sorted((r.kind, r.status, r.level) for r in chat.link(calls, results, TOOLS).collect()) == [("call", "linked", 0), ("result", "linked", 0)]
 
 
 def test_query_returns_every_row_of_conversations(spark, sf_dir):

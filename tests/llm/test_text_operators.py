@@ -21,7 +21,6 @@ def encoded():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.default_path())
-    t.encode_special_tokens = True
     return {i: [*t.encode(x or "", add_special_tokens=False).ids, 1] for i, x in enumerate(ODD)}
 
 
@@ -163,6 +162,17 @@ def test_base_spans_against_plain_regex(spark):
         assert r.s == ",".join(base_spans(texts[r.doc_id])), texts[r.doc_id]
 
 
+def test_long_runs_are_found_whole(spark):
+    texts = ["token = " + "a" * 201 + "1" + "b" * 30, "token = " + "7" * 300 + "x" * 30, "x" * 400, "write to " + "l" * 70 + " [at] host [dot] com now"]
+    model = pii.PiiModel([], [], {})
+    df = docs(spark, texts)
+    rows = pii.with_candidates(df).select("doc_id", F.explode("__more").alias("c")).filter("c.kind IN ('secret', 'contact')").collect()
+    assert {(r.doc_id, r.c.kind, r.c.start, r.c.end) for r in rows} == {(0, "secret", 8, 240), (1, "secret", 8, 338), (3, "contact", 9, 9 + 70 + 20)}
+    clash = df.withColumn("__base", F.lit("mine")).withColumn("__email", F.lit(1)).withColumn("pii_base", F.lit(2))
+    out = pii.find_pii(clash, model).filter("doc_id = 0").first()
+    assert (out["__base"], out["__email"], out["pii_base"]) == ("mine", 1, [])
+
+
 def test_training_and_redaction(spark):
     texts = ODD + [f'use token = "{hashlib.sha1(str(i).encode()).hexdigest()}" here' for i in range(30)] + [f"call +1 (555) 000-{1000 + i} or n{i}@mail.example.com" for i in range(30)] + [f"plain number {10**9 + i * 7919} in text" for i in range(30)]
     df = docs(spark, texts)
@@ -280,6 +290,23 @@ def test_licenses(spark):
     assert licenses.scan_licenses(docs(spark, []), licenses.known_digests(spark)).count() == 0
 
 
+def test_license_lists_of_any_kind(spark, monkeypatch):
+    mine = licenses.known_digests(spark, (("X", "All rights reserved."), ("Y", "Second text\nof two lines")))
+    texts = ["intro\nALL rights reserved\nend", "second  text, of two lines!", "all rights reserved", None, "x" * 200_000, "intro\nALL rights reserved\nend"]
+    df = docs(spark, texts).withColumnRenamed("doc_id", "license").withColumn("digest", F.lit(1)).withColumn("__lines", F.lit(2))
+    want = {(0, None, 1, "X"), (1, "Y", 0, "Y"), (2, "X", 1, "X"), (3, None, 0, ""), (4, None, 0, ""), (5, None, 1, "X")}
+    for most in (licenses.LIST, 1):  # broadcast, and by shuffles
+        monkeypatch.setattr(licenses, "LIST", most)
+        assert {tuple(r) for r in licenses.scan_licenses(df, mine, "license").collect()} == want
+
+
+def test_every_known_license(spark):
+    """One altered copy of each known text is found under its name."""
+    texts = ["(c) 1999 Nobody\n" + t.upper().replace(".", " . ").replace("LICENSE", "LICENCE") for _, t in licenses.KNOWN]
+    rows = {r.doc_id: r.text_license for r in licenses.scan_licenses(docs(spark, texts), licenses.known_digests(spark)).collect()}
+    assert [rows[i] for i in range(len(texts))] == [n for n, _ in licenses.KNOWN]
+
+
 def test_sharding(spark):
     df = docs(spark, ODD * 7).withColumn("size", F.length(F.coalesce("text", F.lit(""))) + 1)
     rows = sharding.hilbert_shards(df, sharding.document_dims()).collect()
@@ -317,6 +344,47 @@ def test_media(spark):
     assert media.sequences(pages.limit(0)).count() == 0
 
 
+def kinds_of(html):
+    return [(x["kind"], x.get("text") or x.get("source"), x.get("caption")) for x in media.elements(html)]
+
+
+def test_pages_with_missing_end_tags_lose_nothing():
+    assert kinds_of("<html><head><title>t</title><p>one<p>two") == [("text", "one", None), ("text", "two", None)]
+    assert kinds_of("<head><meta charset=u>bare text") == [("text", "bare text", None)]
+    assert kinds_of("a<template>b") == [("text", "a", None), ("text", "b", None)]
+    assert kinds_of("a<template>gone <img src=x></template>b") == [("text", "a", None), ("text", "b", None)]
+    assert kinds_of("<figure><figcaption>cap</figcaption><img src=x></figure>z") == [("media", "x", "cap"), ("text", "z", None)]
+    assert kinds_of("<figure><img src=x><figcaption>cap") == [("media", "x", "cap")]
+    assert kinds_of("<figure><figcaption>alone</figcaption></figure>z") == [("text", "alone", None), ("text", "z", None)]
+    assert kinds_of("<figcaption>orphan</figcaption>z") == [("text", "orphan", None), ("text", "z", None)]
+    nested = "<figure><img src=a><figure><img src=b><figcaption>in</figcaption></figure><figcaption>out</figcaption></figure>"
+    assert kinds_of(nested) == [("media", "a", "out"), ("media", "b", "in")]
+
+
+def test_media_query_against_brute_force(spark, tmp_path):
+    df = docs(spark, ODD + ["one\n<b>two</b> & three\n\nfour", None]).union(docs(spark, ["same id"])).select("doc_id", "text", "lang")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sorted(media.op10_interleaved_media(spark, str(tmp_path)).collect(), key=str)
+    want = []
+    for r in df.collect():
+        raw = (r.text or "").encode()
+        tiles = max(1, -(-len(raw) // 576))
+        payload = raw + b"\xff" * (576 * tiles - len(raw))
+        stored = b"P5\n24 %d\n255\n" % (24 * tiles) + payload
+        image = np.frombuffer(payload, np.uint8).astype(int).reshape(-1, 24)
+        n = image.size
+        parts = (1000 * int(image.sum()) // n, 1000 * int((image**2).sum()) // n - 1000 * int(image.sum()) ** 2 // n**2, 1000 * int(np.abs(np.diff(image, axis=1)).sum()) // n)
+        hist = ",".join(str(int(((image >= 32 * i) & (image < 32 * (i + 1))).sum())) for i in range(8))
+        feature = f"24x{24 * tiles};mean={parts[0]};var={parts[1]};step={parts[2]};hist={hist}"
+        first = (r.text or "").split("\n")[0].split()
+        want.append((r.doc_id, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), feature, int(bool(first)), r.lang or None))
+    assert [tuple(r) for r in rows] == sorted((spark.createDataFrame([w], media_schema()).first() for w in want), key=str)
+
+
+def media_schema():
+    return "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, position int, caption string"
+
+
 def test_pipeline_stages(spark, sf_dir):
     import corpus_pipeline
     from labelloom.session import written
