@@ -151,7 +151,7 @@ def class_name_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 BITS = """sig AS (SELECT vec_id, array_to_string(list_transform(embedding, lambda v: CASE WHEN CAST(v AS DOUBLE) > med THEN '1' ELSE '0' END), '') AS bits
   FROM (SELECT vec_id, embedding, (CAST(list_sort(embedding)[32] AS DOUBLE) + CAST(list_sort(embedding)[33] AS DOUBLE)) / 2 AS med FROM embeddings))"""
 IMAGES = f"""{BITS},
-imgs AS (SELECT d.doc_id AS ord, sha256(text) AS sha256, substr(text, 1, 60) AS original_key, source, CASE WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN concat_ws(',', quality, toxic) END AS signature,
+imgs AS (SELECT d.doc_id AS ord, sha256(text) AS sha256, sha256(list_max(string_split(text, chr(10)))) AS original_key, source, CASE WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN concat_ws(',', quality, toxic) END AS signature,
   CAST(coalesce(quality, 0) AS BIGINT) AS c0, CAST(coalesce(toxic, 0) AS BIGINT) AS c1, bits FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id LEFT JOIN sig ON d.doc_id = vec_id),
 per AS (SELECT sha256, count(DISTINCT coalesce(signature, '')) AS signatures, count(*) AS members, min(ord) AS first FROM imgs GROUP BY 1),
 uniq AS (SELECT i.* FROM imgs i JOIN per p ON i.sha256 = p.sha256 AND i.ord = p.first WHERE signatures = 1)"""

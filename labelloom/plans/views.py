@@ -79,11 +79,11 @@ def signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as images: ord, sha256, original_key, source, signature, instances_class_N, hash, is_negative."""
+    """Documents as images (the greatest line of the whole text names the original): ord, sha256, original_key, source, signature, instances_class_N, hash, is_negative."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     hashes = signatures(spark, sf_dir).select(F.col("vec_id").alias("doc_id"), F.col("h").alias("hash"))
     count = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(0).cast("long"))
-    rows = docs.select("doc_id", F.sha2("text", 256).alias("sha256"), F.substring("text", 1, 60).alias("original_key"), "source").join(labels, "doc_id", "left").join(hashes, "doc_id", "left")
+    rows = docs.select("doc_id", F.sha2("text", 256).alias("sha256"), F.sha2(F.array_max(F.split("text", "\n")), 256).alias("original_key"), "source").join(labels, "doc_id", "left").join(hashes, "doc_id", "left")
     signature = F.when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), F.concat_ws(",", F.col("quality").cast("string"), F.col("toxic").cast("string")))
     return rows.select(F.col("doc_id").alias("ord"), "sha256", "original_key", "source", signature.alias("signature"), count("quality").alias("instances_class_0"), count("toxic").alias("instances_class_1"), "hash", ((count("quality") + count("toxic")) == 0).alias("is_negative"))
 
