@@ -8,13 +8,11 @@ from pyspark.sql import functions as F
 from labelloom.functions.boxes import CORNERS, area
 from labelloom.schemas import CLASSES, LOCAL_NAMES
 
-# What is said with every result, and advice by class.
-DISCLAIMERS = ("Decision support only; it does not replace an expert's diagnosis.", "Do not spray before an agronomist has been asked.")
-NOT_PROOF = "No detection does not prove that the leaf is healthy."
-ADVICE = {
-    0: ("Stop nitrogen dressing; add potassium and silicon.", "Drain the field and keep the stand airy.", "Stay out of the field while leaves are wet."),
-    1: ("Lime acid soil; add phosphorus and zinc.", "Keep a steady shallow water level.", "Treat the seed before the next sowing."),
-}
+#: What is said with every result, and behind it where nothing was found: short defaults, to be replaced.
+NOTES = ("This result supports a decision and does not make it.", "Ask an expert before acting on it.")
+NOTHING = "An image without detections may still show what the model has missed."
+#: Advice by class: neutral defaults, to be replaced.
+ADVICE = {c: (f"{name.replace('_', ' ')}: look at the image again.", f"{name.replace('_', ' ')}: compare with earlier images.", f"{name.replace('_', ' ')}: ask an expert.") for c, name in CLASSES.items()}
 
 
 def at_least(pred: DataFrame, confidence: float) -> DataFrame:
@@ -42,21 +40,24 @@ def run_summary(images: DataFrame, pred: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("detections") > 0, "DETECTED").otherwise("NO_SYMPTOM_DETECTED"))
 
 
-def summarise_images(images: DataFrame, pred: DataFrame, classes: tuple[int, int] = (0, 1)) -> DataFrame:
-    """Per image: detections, per class, highest confidence (0 if none), status, diagnosis, warnings, advice."""
+def summarise_images(images: DataFrame, pred: DataFrame, classes: tuple[int, int] = (0, 1), notes: tuple[str, ...] = NOTES, nothing: str = NOTHING, advice: dict[int, tuple[str, ...]] = ADVICE) -> DataFrame:
+    """Per image: detections, per class, highest confidence (0 if none), status, diagnosis, warnings, advice.
+
+    notes, nothing, advice: the texts said with every result, where nothing was found, and by class.
+    """
     a, b = classes
     per = pred.groupBy("image_id").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("class_id") == c).alias(f"n_class_{c}") for c in classes], F.max("confidence").alias("max_confidence"))
     zero = F.lit(0).cast("long")
     out = images.select("image_id").join(per, "image_id", "left")
     out = out.select("image_id", *[F.coalesce(c, zero).alias(c) for c in ("n", f"n_class_{a}", f"n_class_{b}")], F.coalesce("max_confidence", F.lit(0.0)).alias("max_confidence"))
     has = lambda c: F.col(f"n_class_{c}") > 0
-    said = [F.lit(x) for x in DISCLAIMERS]
-    listed = lambda c: F.when(has(c), F.array(*[F.lit(x) for x in ADVICE.get(c, ())])).otherwise(F.array().cast("array<string>"))
+    said = [F.lit(x) for x in notes]
+    listed = lambda c: F.when(has(c), F.array(*[F.lit(x) for x in advice.get(c, ())])).otherwise(F.array().cast("array<string>"))
     return (
         out.withColumn("status", F.when(F.col("n") > 0, "DETECTED").otherwise("NO_SYMPTOM_DETECTED"))
         .withColumn("diagnosis", F.when(F.col("n") == 0, "none").when(has(a) & has(b), "both").when(has(a), f"class_{a}").otherwise(f"class_{b}"))
         .withColumn("message", F.when(F.col("n") > 0, F.format_string("%d regions reach the confidence threshold", F.col("n"))).otherwise("nothing reaches the confidence threshold"))
-        .withColumn("warnings", F.when(F.col("n") > 0, F.array(*said)).otherwise(F.array(F.lit(NOT_PROOF), *said)))
+        .withColumn("warnings", F.when(F.col("n") > 0, F.array(*said)).otherwise(F.array(F.lit(nothing), *said)))
         .withColumn("advice", F.concat(listed(a), listed(b)))
         .withColumn("confidence_text", F.format_string("%.1f%%", F.col("max_confidence") * 100))
     )

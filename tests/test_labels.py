@@ -14,12 +14,14 @@ def parse(spark, lines):
     return parse_labels(df, classes).orderBy("line_no").collect()
 
 
-@pytest.mark.parametrize(
-    ("name", "want"),
-    [("Bacterial Leaf Blight", "Bacterial_Leaf_Blight"), ("bacterial leafblight", "Bacterial_Leaf_Blight"), ("Brown-Spot", "Brown_Spot"), ("brown spot", "Brown_Spot"), ("unknown_disease", None)],
-)
-def test_class_alias(spark, name, want):
-    assert spark.range(1).select(canonical_class(F.lit(name))).first()[0] == want
+def test_every_spelling_of_a_class_is_known(spark):
+    """Names in any case and with any separator lead to the class; a name that only begins like one does not."""
+    from labelloom.schemas import CLASSES
+
+    for name in CLASSES.values():
+        spellings = [name, name.lower(), name.upper(), name.replace("_", "-"), f"  {name.replace('_', ' ')} "]
+        assert {r[0] for r in spark.createDataFrame([(x,) for x in spellings], "n string").select(canonical_class(F.col("n"))).collect()} == {name}
+        assert spark.range(1).select(canonical_class(F.lit(name[:-2]))).first()[0] is None
 
 
 def test_class_map(spark):
@@ -28,9 +30,12 @@ def test_class_map(spark):
 
 
 def test_polygon_becomes_its_envelope(spark):
-    (r,) = parse(spark, ["3 0.1 0.2 0.5 0.2 0.5 0.8 0.1 0.8"])
-    assert r.class_id == 1 and r.source_type == "polygon_to_bbox"
-    assert (r.x, r.y, r.w, r.h) == pytest.approx((0.3, 0.5, 0.4, 0.6))
+    """A triangle, a star of five points and one that leaves the image: the box of what is inside."""
+    star = "0 0.5 0.25 0.55 0.4 0.75 0.4 0.6 0.5 0.65 0.75"
+    triangle, _, outside = parse(spark, ["3 0.2 0.7 0.3 0.3 0.6 0.5", star, "0 0.25 0.5 0.75 0.25 0.75 1.0"])
+    assert triangle.class_id == 1 and triangle.source_type == "polygon_to_bbox"
+    assert (triangle.x, triangle.y, triangle.w, triangle.h) == pytest.approx((0.4, 0.5, 0.4, 0.4))
+    assert (outside.x, outside.y, outside.w, outside.h) == pytest.approx((0.5, 0.625, 0.5, 0.75))
 
 
 @pytest.mark.parametrize(
