@@ -11,14 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    Read from ``spark.checkpoint.dir``. Only where that is unset (tests, local runs) a local temporary
-    folder is made and set.
+    Read from ``spark.checkpoint.dir``. Only where that is unset and the master is local (tests) a
+    temporary folder is made and set; on a cluster that is an error.
     """
     jsc = spark.sparkContext._jsc.sc()
     current = jsc.getCheckpointDir()
     if current.isDefined():
         return current.get()
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", "") or spark.conf.get("spark.checkpoint.dir", "")
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="spark-labelloom-"))
     return jsc.getCheckpointDir().get()
 
@@ -42,8 +44,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the rows of an Arrow batch, so that Python workers hold few long documents at a time."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > rows:
-        spark.conf.set(key, str(rows))
+def small_batches(spark: SparkSession, rows: int = 512, size: int = 4 << 20) -> None:
+    """Bound an Arrow batch by rows and bytes, so that Python workers hold few long documents at a time.
+
+    Options of the session, which stay set: plans run later than they are made.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark.conf.get(key, None)
+        number = int(now.removesuffix("b")) if now and now.removesuffix("b").lstrip("-").isdigit() else 0
+        if number <= 0 or number > most:
+            spark.conf.set(key, str(most))
