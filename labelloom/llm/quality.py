@@ -15,6 +15,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -216,9 +217,17 @@ def train(features: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_
     n = chosen.count()
     if n > sample:
         chosen = chosen.filter(F.col("h") <= int((1 << 20) * min(1.0, 1.2 * sample / n)))
-    rows = features.join(chosen, id_col).select("h", id_col, "y", "features").orderBy("h", id_col, "features", "y").limit(sample).collect()
-    x = np.frombuffer(b"".join(r["features"] for r in rows), np.float32).reshape(-1, 2 * DIMS + 1).astype(np.float64)
-    return Network(x, np.array([r["y"] for r in rows]))
+    rows = features.join(chosen, id_col).select("h", id_col, "y", "features").orderBy("h", id_col, "features", "y").limit(sample)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(features_of(b.column(1)), b.column(0).to_numpy()) for b in batches if b.num_rows]
+        x = np.concatenate([p[0] for p in parts]) if parts else np.zeros((0, 2 * DIMS + 1))
+        y = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Network(x, y))], pa.binary())], names=["network"])
+
+    # the bounded sample is fitted in one task; only the weights come to the driver
+    fitted = rows.select("y", "features").coalesce(1).mapInArrow(fit, "network binary").first()
+    return pickle.loads(fitted["network"]) if fitted else Network(np.zeros((0, 2 * DIMS + 1)), np.zeros(0))
 
 
 def scored(features: DataFrame, network: Network, id_col: str = "doc_id") -> DataFrame:
