@@ -12,7 +12,7 @@ Verification: what is left is compared on the full shingle sets.
 
 A group of near copies is never expanded into pairs. First each band's members are compared with its leader only
 (a star; the leader is the member that meets the most others). Bands that still hold more than one component
-may hide links across them: their members are described by how they differ from a centre, and an inverted index
+(by labels that two steps along the links give) may hide links across them: their members are described by how they differ from a centre, and an inverted index
 of the differences finds and decides all links between them (see ``by_differences``). The centre is the most
 central leader of a member's bands, its home, which members of a band mostly share; where they don't, the
 band's own leader is a centre too. So two members of a band always meet in some star. Pairs inside a component
@@ -193,13 +193,13 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: s
 
 
 def by_differences(stars: DataFrame, docs: DataFrame, component: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """Links (a, b) between different components, among the members of each star (c, x) of ``stars``: all of them.
+    """Links (a, b) between members of different labels (``component``), among the members of each star (c, x) of ``stars``: all of them.
 
     Members are described by how they differ from the centre c: the shingles they add and those they lack.
     With the weight H = 5 * lacking + 4 * added, x and y are linked if and only if nine times the number of
     differences they share reaches H(x) + H(y) - |c|, and x is linked with c if and only if H(x) <= |c|. So the
-    lists decide, no text is read again. Two members of different components are not both linked with c; let x
-    be one that is not. Then y shares more than H(y) / 9 differences with it, and x at least (H(x) - |c|) / 9
+    lists decide, no text is read again. Two members that are both linked with c are connected already; of others, let
+    x be one that is not. Then y shares more than H(y) / 9 differences with it, and x at least (H(x) - |c|) / 9
     with y. In any fixed order of the differences, rarest first here, their first common one lies so far in
     front in either list that enough can follow it: only such meetings become pairs. Differences of one member
     alone are shared with nobody and leave first.
@@ -228,14 +228,22 @@ def by_differences(stars: DataFrame, docs: DataFrame, component: DataFrame, k: i
     return both.filter(9 * F.size(F.array_intersect("items_a", "items_b")) >= F.col("weight_a") + F.col("weight_b") - F.col("n_c")).select("a", "b")
 
 
+def nearby_labels(links: DataFrame) -> DataFrame:
+    """(id, component): the smallest id within two links or so. Equal labels mean one component, which is all
+    that pruning needs; different ones may be one component too."""
+    both = links.select(F.col("a").alias("id"), F.col("b").alias("other")).union(links.select(F.col("b").alias("id"), F.col("a").alias("other")))
+    low = both.groupBy("id").agg(F.min("other").alias("low")).select("id", F.least("id", "low").alias("low"))
+    return both.join(low.withColumnRenamed("id", "other"), "other").groupBy("id").agg(F.min(F.least("id", "low")).alias("component"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     sig = written(signatures(docs, k, id_col, text_col), "signatures")
     linked = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    sets = linked.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    sets = linked.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min_by("registers", "doc_id").alias("registers"))
+    sets = written(sets, "sets")
     # ids that rows of different sets share tie those sets together
-    reps = linked.join(sets.withColumnRenamed("n_shingles", "n"), (F.col("doc_id") == F.col("rep")) & (linked["set_a"] == sets["set_a"]) & (linked["set_b"] == sets["set_b"]), "left_semi")
-    reps = written(reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "registers").dropDuplicates(["rep"]), "representatives")
+    reps = written(sets.select("rep", F.col("n_shingles").alias("n"), "registers").dropDuplicates(["rep"]), "representatives")
     every = bands(reps)
     sizes = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = written(every.join(sizes, "bucket").join(reps.select("rep", "n"), "rep"), "shared-bands")
@@ -249,7 +257,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_co
     star = shared.filter("rep <> leader").filter(similar_size("n", "leader_n")).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     star = written(estimated(star, reps), "star-pairs")
     first = verified(star, docs, k, id_col, text_col)
-    component = connected_components(first)
+    component = nearby_labels(first)
 
     # bands that hold more than one component: links across them
     placed = shared.join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -263,8 +271,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_co
     homes = placed.groupBy("bucket").agg(F.min("home").alias("low"), F.max("home").alias("high")).filter("low <> high").select("bucket", F.lit(True).alias("several"))
     placed = written(placed.join(homes, "bucket", "left"), "homes")
     # members of one home meet in its star; those of a band with several homes in the band's own star
-    households = placed.select("home", "rep").distinct().groupBy("home").agg(F.count(F.lit(1)).alias("household")).filter("household > 1")
-    stars = placed.join(households, "home", "left_semi").select(F.col("home").alias("a"), F.col("rep").alias("b"))
+    stars = placed.select(F.col("home").alias("a"), F.col("rep").alias("b"))
     stars = stars.union(placed.filter("several").select(F.col("leader").alias("a"), F.col("rep").alias("b")))
     stars = written(stars.filter("a <> b").distinct(), "stars")
     second = by_differences(stars, docs, component, k, id_col, text_col)
