@@ -231,11 +231,11 @@ def read_features(store: DataFrame) -> DataFrame:
 def resolve(sequence: DataFrame, features: DataFrame) -> DataFrame:
     """``sequence`` with the columns of ``features`` for every media reference, null where there is none.
 
-    Rows without a digest (text, and media elsewhere on the web) stay out of the join.
+    Rows without a digest (text, and media elsewhere on the web) get keys that no digest equals, spread by hash.
     """
-    with_digest = sequence.filter("digest IS NOT NULL").join(features, "digest", "left")
-    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in features.schema.fields if f.name != "digest"]
-    return with_digest.unionByName(sequence.filter("digest IS NULL").select("*", *empty))
+    spread = F.concat(F.lit("-"), F.xxhash64(*[c for c in sequence.columns if c != "digest"]).cast("string"))
+    keyed = sequence.withColumn("__key", F.coalesce("digest", spread))
+    return keyed.join(features.withColumnRenamed("digest", "__key"), "__key", "left").drop("__key")
 
 
 def as_page(text: Column, caption: Column) -> Column:
