@@ -103,7 +103,7 @@ def signatures(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str =
 
 
 def bands(reps: DataFrame) -> DataFrame:
-    """(bucket, rep): a row for each band of each representative."""
+    """(bucket, rep, n): a row for each band of each representative."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = mix(np.arange(1, REGISTERS // ROWS + 1, dtype=np.uint64))
@@ -112,9 +112,10 @@ def bands(reps: DataFrame) -> DataFrame:
                 keys = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u8").reshape(b.num_rows, -1)
                 bucket = mix(mix(keys.copy()) ^ seeds).astype(np.int64).reshape(-1)
                 each = np.repeat(np.arange(b.num_rows), keys.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), b.column(0).take(pa.array(each))], names=["bucket", "rep"])
+                rep, n = (b.column(i).take(pa.array(each)) for i in (0, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), rep, n], names=["bucket", "rep", "n"])
 
-    return reps.select("rep", "registers").mapInArrow(run, "bucket long, rep long")
+    return reps.select("rep", "registers", "n").mapInArrow(run, "bucket long, rep long, n long")
 
 
 def similar_size(x: str, y: str) -> str:
@@ -246,18 +247,18 @@ def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_co
     reps = written(sets.select("rep", F.col("n_shingles").alias("n"), "registers").dropDuplicates(["rep"]), "representatives")
     every = bands(reps)
     sizes = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    shared = written(every.join(sizes, "bucket").join(reps.select("rep", "n"), "rep"), "shared-bands")
+    shared = written(every.join(sizes, "bucket"), "shared-bands")
     # the member that meets the most others leads a band: it lies in the middle of its group
     central = shared.groupBy("rep").agg(F.sum("members").alias("meets"))
     first_of = F.min(F.struct((-F.col("meets")).alias("order"), "rep", "n"))
     leaders = shared.join(central, "rep").groupBy("bucket").agg(first_of.alias("leader"))
-    shared = shared.join(leaders, "bucket").select("bucket", "rep", "n", "members", F.col("leader.rep").alias("leader"), F.col("leader.n").alias("leader_n"))
+    shared = shared.join(leaders, "bucket").select("bucket", "rep", "n", "members", F.col("leader.rep").alias("leader"), F.col("leader.n").alias("leader_n"), F.col("leader.order").alias("leader_order"))
     shared = written(shared, "led-bands")
 
     star = shared.filter("rep <> leader").filter(similar_size("n", "leader_n")).select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
     star = written(estimated(star, reps), "star-pairs")
     first = verified(star, docs, k, id_col, text_col)
-    component = nearby_labels(first)
+    component = written(nearby_labels(first), "nearby-labels")
 
     # bands that hold more than one component: links across them
     placed = shared.join(component.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -265,8 +266,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_co
     # two members: the star has settled the only pair
     placed = written(placed.join(mixed, "bucket", "left_semi").filter("members > 2"), "mixed-bands")
     # a representative's home is the most central leader of its bands; members of one band mostly share it
-    order = central.select(F.col("rep").alias("leader"), "meets")
-    home = placed.select("rep", "leader").distinct().join(order, "leader").groupBy("rep").agg(F.min(F.struct((-F.col("meets")).alias("order"), F.col("leader").alias("home"))).alias("h")).select("rep", "h.home")
+    home = placed.groupBy("rep").agg(F.min(F.struct("leader_order", F.col("leader").alias("home"))).alias("h")).select("rep", "h.home")
     placed = placed.join(home, "rep")
     homes = placed.groupBy("bucket").agg(F.min("home").alias("low"), F.max("home").alias("high")).filter("low <> high").select("bucket", F.lit(True).alias("several"))
     placed = written(placed.join(homes, "bucket", "left"), "homes")
