@@ -359,4 +359,21 @@ def op8_fm_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op8_fm_decontamination": op8_fm_decontamination}
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op8_fm_decontamination": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item, w, least(len(w), 10) AS size FROM items WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase FROM sized),
+starts AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM words, (SELECT DISTINCT size FROM sized)),
+found AS (
+  SELECT p.doc_id, p.pos, p.size, v.item FROM (SELECT doc_id, pos, size, array_to_string(w[pos:pos + size - 1], ' ') AS phrase FROM starts) p
+  JOIN windows v ON v.size = p.size AND v.phrase = p.phrase),
+hits AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS place FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+  sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+FROM words t LEFT JOIN hits h ON h.doc_id = t.doc_id LEFT JOIN named i ON i.doc_id = t.doc_id""",
+}
