@@ -124,7 +124,7 @@ def label_lines(files: DataFrame, content_col: str = "content") -> DataFrame:
 def class_names(files: DataFrame, content_col: str = "content") -> dict[str, list[str]]:
     """Class list of each source from the ``names`` entry of its data.yaml (one small file a source).
 
-    Takes ``names: [a, b]``, a block list, or a block mapping with keys from 0 without gaps.
+    Takes a list or a mapping with keys from 0 without gaps, in flow or block form; quoted names may hold commas.
     """
     out = {}
     for r in files.select("source", F.decode(F.col(content_col), "UTF-8").alias("text")).collect():
@@ -139,11 +139,21 @@ def parse_names(text: str) -> list[str]:
     if not m:
         raise ValueError("no names entry")
     bare = lambda s: s.strip().strip("'\"")
-    if m[1].strip().startswith("["):
-        inner = re.search(r"\[(.*?)\]", text[m.start(1) :], re.S)
-        return [bare(x) for x in inner[1].split(",") if x.strip()]
+    flow = re.match(r"""[\[{]((?:(?<!\w)(?:'[^']*'|"[^"]*")|[^\]}])*+)[\]}]""", text[m.start(1) :])
     names: dict[int, str] = {}
-    for line in text[m.end() :].splitlines():
+    if m[1].startswith(("[", "{")):
+        if not flow:
+            raise ValueError("names entry does not end")
+        # commas inside quotes belong to a name
+        for item in re.findall(r"""(?:(?<!\w)(?:'[^']*'|"[^"]*")|[^,])++""", flow[1]):
+            keyed = re.fullmatch(r"\s*['\"]?(\d+)['\"]?\s*:\s*(.*)", item, re.S) if m[1].startswith("{") else None
+            if keyed:
+                names[int(keyed[1])] = bare(keyed[2])
+            elif item.strip():
+                names[len(names)] = bare(item)
+        if m[1].startswith("["):
+            return list(names.values())
+    for line in [] if flow else text[m.end() :].splitlines():
         item = re.fullmatch(r"\s*-\s+(.*)", line)
         keyed = re.fullmatch(r"\s+['\"]?(\d+)['\"]?\s*:\s*(.*)", line)
         if item:

@@ -105,7 +105,14 @@ def test_class_names(text):
     assert files.parse_names(text) == ["A", "B"]
 
 
+@pytest.mark.parametrize("text", ["names: ['smut, loose', farmer's rot]", "names: {0: 'smut, loose', 1: farmer's rot}\nnc: 2", "names: {1: farmer's rot,\n  0: \"smut, loose\"}"])
+def test_flow_class_names(text):
+    assert files.parse_names(text) == ["smut, loose", "farmer's rot"]
+
+
 def test_class_names_need_all_ids():
+    with pytest.raises(ValueError):
+        files.parse_names("names: {0: A, 2: B}")
     with pytest.raises(ValueError):
         files.parse_names("names:\n  0: A\n  2: B\n")
 
