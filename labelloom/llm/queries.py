@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("minhash", "licenses", "packing", "token_files", "chat", "pii", "quality", "decontaminate", "sharding", "media")
+MODULES = ("minhash", "licenses", "packing", "token_files", "chat", "pii", "quality", "decontaminate", "sharding", "media", "mixing", "manifest", "vectors")
 
 
 def _modules() -> list:
