@@ -1,14 +1,12 @@
-"""Image bytes: signatures, screening, decoding, perceptual hash, quality, scoring.
+"""Image bytes: signatures, sizes, screening; pixels: perceptual hash, quality, scoring.
 
-Pixels need Python; everything about bytes and sizes is column expressions. PNG (8-bit, non-interlaced) and
-BMP (24 and 32 bit) are decoded here with zlib and numpy; JPEG, and whatever else a deployment needs, through
-a ``decoder`` callable that turns bytes into an H x W x 3 BGR array or None.
+Everything about bytes, sizes too, is column expressions: headers tell width and height without decoding. Pixels come
+from Spark's ``image`` source (``spark.read.format("image").load(path).select("image.*")``, which reads JPEG, PNG and
+BMP), or through a ``decoder`` that turns bytes into an H x W x 3 BGR array or None.
 """
 
 from __future__ import annotations
 
-import struct
-import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -20,6 +18,9 @@ from pyspark.sql import functions as F
 from labelloom.schemas import MAX_BYTES, MAX_PIXELS
 
 Decoder = Callable[[bytes], "np.ndarray | None"]
+#: JPEG segments that are looked at for the frame header.
+SEGMENTS = 512
+PIXELS = ("height", "width", "nChannels", "data")
 
 
 # -- bytes ------------------------------------------------------------------------------------------------
@@ -41,77 +42,76 @@ def screen_code(content: Column, width: Column | None = None, height: Column | N
     return code.otherwise(200)
 
 
-def screen_content(files: DataFrame, max_bytes: int = MAX_BYTES, max_pixels: int = MAX_PIXELS, content_col: str = "content") -> DataFrame:
-    """``files`` with ``mime`` and ``screen_code``; uses ``width`` and ``height`` where the columns exist."""
+def number(digits: Column, start: int, size: int, little: bool = False) -> Column:
+    """The integer of ``size`` bytes from byte ``start`` (1 is the first) of hexadecimal ``digits``."""
+    at = lambda k, n: F.substring(digits, 2 * (start + k) - 1, 2 * n)
+    text = F.concat(*[at(k, 1) for k in reversed(range(size))]) if little else at(0, size)
+    return F.conv(text, 16, 10).cast("long")
+
+
+def jpeg_size(content: Column, segments: int = SEGMENTS) -> Column:
+    """Width and height of a JPEG's frame header: a walk over its segments, null if there is none among the first
+    ``segments``."""
+
+    def step(s: Column, _: Column) -> Column:
+        x = F.hex(F.substring(content, s["at"], F.lit(9)))
+        kind, size = F.substring(x, 3, 2), number(x, 3, 2)
+        frame = kind.between("C0", "CF") & ~kind.isin("C4", "C8", "CC")
+        alone = kind.between("D0", "D8") | (kind == "01")
+        move = F.when(kind == "FF", s["at"] + 1).when(alone, s["at"] + 2).when(kind.isin("D9", "DA") | frame | (F.length(x) < 8), F.lit(0)).otherwise(s["at"] + 2 + size)
+        here = (s["at"] > 0) & (F.substring(x, 1, 2) == "FF")
+        found = here & frame & (F.length(x) == 18)
+        return F.struct(
+            F.when(here, move).otherwise(F.lit(0)).cast("int").alias("at"),
+            F.when(found, number(x, 8, 2)).otherwise(s["width"]).alias("width"),
+            F.when(found, number(x, 6, 2)).otherwise(s["height"]).alias("height"),
+        )
+
+    none = F.lit(None).cast("long")
+    start = F.struct(F.lit(3).alias("at"), none.alias("width"), none.alias("height"))
+    most = F.least(F.lit(segments), F.greatest(F.lit(1), F.floor(F.octet_length(content) / 2)).cast("int"))
+    return F.aggregate(F.sequence(F.lit(1), most), start, step)
+
+
+def image_size(content: Column) -> Column:
+    """(width, height) from the header of a JPEG, PNG, WebP or BMP image, null for anything else or anything broken."""
+    x = F.hex(F.substring(content, 1, 30))
+    size = lambda w, h: F.struct(w.cast("int").alias("width"), h.cast("int").alias("height"))
+    is_ = lambda start, hexes: F.substring(x, 2 * start - 1, len(hexes)) == hexes
+    jpeg = jpeg_size(content)
+    lossless = number(x, 22, 4, True)
+    low14 = lambda v: v.bitwiseAND(0x3FFF)
+    whole = lambda n: F.octet_length(content) >= n
+    # BMP rows may run downwards, which a negative height says
+    upright = lambda v: F.abs(F.when(v >= 2**31, v - 2**32).otherwise(v))
+    found = (
+        F.when(is_(1, "FFD8FF"), size(jpeg["width"], jpeg["height"]))
+        .when(is_(1, "89504E470D0A1A0A") & is_(13, "49484452") & whole(24), size(number(x, 17, 4), number(x, 21, 4)))
+        .when(is_(1, "52494646") & is_(9, "57454250565038") & whole(30), F.when(is_(16, "20") & is_(24, "9D012A"), size(low14(number(x, 27, 2, True)), low14(number(x, 29, 2, True))))
+            .when(is_(16, "4C") & is_(21, "2F"), size(low14(lossless) + 1, low14(F.shiftright(lossless, 14)) + 1))
+            .when(is_(16, "58"), size(number(x, 25, 3, True) + 1, number(x, 28, 3, True) + 1)))
+        .when(is_(1, "424D") & whole(26), size(number(x, 19, 4, True), upright(number(x, 23, 4, True))))
+    )
+    return F.when((found["width"] > 0) & (found["height"] > 0), found)
+
+
+def screen_content(files: DataFrame, max_bytes: int = MAX_BYTES, max_pixels: int = MAX_PIXELS, content_col: str = "content", sizes: bool = False) -> DataFrame:
+    """``files`` with ``mime`` and ``screen_code``; uses ``width`` and ``height`` where the columns exist, or, with
+    ``sizes``, what the header says."""
+    content = F.col(content_col)
     sized = {"width", "height"} <= set(files.columns)
-    sizes = (F.col("width"), F.col("height")) if sized else (None, None)
-    return files.withColumn("mime", mime_type(F.col(content_col))).withColumn("screen_code", screen_code(F.col(content_col), *sizes, max_bytes, max_pixels))
+    of = image_size(content)
+    width, height = (F.col("width"), F.col("height")) if sized else (of["width"], of["height"]) if sizes else (None, None)
+    return files.withColumn("mime", mime_type(content)).withColumn("screen_code", screen_code(content, width, height, max_bytes, max_pixels))
 
 
 # -- pixels -----------------------------------------------------------------------------------------------
 
 
-def decode_png(data: bytes) -> np.ndarray | None:
-    """8-bit grey, RGB or RGBA PNG without interlacing, as BGR."""
-    at, body, head = 8, [], None
-    while at + 8 <= len(data):
-        n, kind = struct.unpack(">I4s", data[at : at + 8])
-        if kind == b"IHDR":
-            head = struct.unpack(">IIBBBBB", data[at + 8 : at + 21])
-        elif kind == b"IDAT":
-            body.append(data[at + 8 : at + 8 + n])
-        at += 12 + n
-    if head is None or head[2] != 8 or head[3] not in (0, 2, 6) or head[6]:
-        return None
-    width, height, channels = head[0], head[1], {0: 1, 2: 3, 6: 4}[head[3]]
-    raw = np.frombuffer(zlib.decompress(b"".join(body)), np.uint8).reshape(height, 1 + width * channels)
-    out = np.zeros((height, width, channels), np.uint8)
-    above = np.zeros((width, channels), np.int16)
-    for y in range(height):
-        kind, line = raw[y, 0], raw[y, 1:].reshape(width, channels).astype(np.int16)
-        if kind == 0:
-            row = line
-        elif kind == 1:
-            row = np.cumsum(line, axis=0) & 255
-        elif kind == 2:
-            row = (line + above) & 255
-        else:
-            row, left, corner = np.empty_like(line), np.zeros(channels, np.int16), np.zeros(channels, np.int16)
-            for x in range(width):
-                if kind == 3:
-                    guess = (left + above[x]) >> 1
-                else:
-                    p = left + above[x] - corner
-                    d = np.abs(np.stack([p - left, p - above[x], p - corner]))
-                    guess = np.where((d[0] <= d[1]) & (d[0] <= d[2]), left, np.where(d[1] <= d[2], above[x], corner))
-                left = row[x] = (line[x] + guess) & 255
-                corner = above[x]
-        out[y], above = row, row
-    return np.repeat(out, 3, axis=2) if channels == 1 else out[:, :, 2::-1]
-
-
-def decode_bmp(data: bytes) -> np.ndarray | None:
-    """Uncompressed 24- or 32-bit BMP, as BGR."""
-    start, = struct.unpack_from("<I", data, 10)
-    width, height, _, bits, packed = struct.unpack_from("<iiHHI", data, 18)
-    if bits not in (24, 32) or packed not in (0, 3) or width <= 0:
-        return None
-    step = -(-width * bits // 32) * 4
-    rows = np.frombuffer(data, np.uint8, step * abs(height), start).reshape(abs(height), step)[:, : width * bits // 8]
-    image = rows.reshape(abs(height), width, bits // 8)[:, :, :3]
-    return image[::-1] if height > 0 else image
-
-
-def decode_plain(data: bytes) -> np.ndarray | None:
-    """Decode what this module can; None for anything else or anything broken."""
-    try:
-        if data[:8] == b"\x89PNG\r\n\x1a\n":
-            return decode_png(data)
-        if data[:2] == b"BM":
-            return decode_bmp(data)
-    except (ValueError, struct.error, zlib.error):
-        return None
-    return None
+def pixel_array(height: int, width: int, channels: int, data: bytes) -> np.ndarray:
+    """A row of Spark's image source as an H x W x 3 BGR array."""
+    image = np.frombuffer(data, np.uint8).reshape(height, width, channels)
+    return np.repeat(image, 3, axis=2) if channels == 1 else image[:, :, :3]
 
 
 def grey(image: np.ndarray) -> np.ndarray:
@@ -156,24 +156,40 @@ def quality(image: np.ndarray) -> tuple[float, float]:
     return float(lap.var()), float(g.mean())
 
 
-def describe_images(files: DataFrame, decoder: Decoder = decode_plain, hash_size: int = 8, path_col: str = "path", content_col: str = "content") -> DataFrame:
-    """(path, sha256, width, height, phash, blur, brightness) of every file; null where it can't be decoded.
+def described(image: np.ndarray | None, hash_size: int) -> tuple:
+    return (None, None, None) if image is None or not image.size else (phash(image, hash_size), *quality(image))
 
-    One pass over the bytes in Python for all that needs pixels.
-    """
+
+def describe_pixels(images: DataFrame, hash_size: int = 8, path_col: str = "origin") -> DataFrame:
+    """(path, width, height, phash, blur, brightness) of rows of Spark's image source; null where it couldn't decode."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for path, sha, content in zip(b[path_col], b["sha256"], b[content_col], strict=True):
-                image = decoder(bytes(content)) if content is not None else None
-                if image is None or not image.size:
-                    rows.append((path, sha, None, None, None, None, None))
-                else:
-                    rows.append((path, sha, image.shape[1], image.shape[0], phash(image, hash_size), *quality(image)))
-            yield pd.DataFrame(rows, columns=["path", "sha256", "width", "height", "phash", "blur", "brightness"]).astype({"width": "Int32", "height": "Int32"})
-
-    rows = files.select(F.col(path_col), F.sha2(F.col(content_col), 256).alias("sha256"), F.col(content_col))
+            for path, h, w, c, data in b.itertuples(index=False):
+                rows.append((path, w, h, *described(pixel_array(h, w, c, data), hash_size)) if h > 0 else (path, None, None, None, None, None))
+            yield pd.DataFrame(rows, columns=["path", "width", "height", "phash", "blur", "brightness"]).astype({"width": "Int32", "height": "Int32"})
+
+    return images.select(path_col, *PIXELS).mapInPandas(run, "path string, width int, height int, phash string, blur double, brightness double")
+
+
+def describe_images(files: DataFrame, decoder: Decoder | None = None, hash_size: int = 8, path_col: str = "path", content_col: str = "content") -> DataFrame:
+    """(path, sha256, width, height, phash, blur, brightness) of every file.
+
+    Sizes are the header's and null where it can't be read. What needs pixels is null without a ``decoder``, or where
+    it returns None.
+    """
+    size = image_size(F.col(content_col))
+    rows = files.select(F.col(path_col).alias("path"), F.sha2(F.col(content_col), 256).alias("sha256"), size["width"].alias("width"), size["height"].alias("height"), F.col(content_col).alias("content"))
+    if decoder is None:
+        empty = F.lit(None)
+        return rows.select("path", "sha256", "width", "height", empty.cast("string").alias("phash"), empty.cast("double").alias("blur"), empty.cast("double").alias("brightness"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [described(decoder(bytes(c)) if c is not None else None, hash_size) for c in b["content"]]
+            yield pd.concat([b.drop(columns="content").astype({"width": "Int32", "height": "Int32"}), pd.DataFrame(found, columns=["phash", "blur", "brightness"], index=b.index)], axis=1)
+
     return rows.mapInPandas(run, "path string, sha256 string, width int, height int, phash string, blur double, brightness double")
 
 
@@ -190,19 +206,23 @@ def image_quality(described: DataFrame) -> DataFrame:
     return described.withColumn("quality_status", F.when(F.col("blur") < 20, "review").otherwise("acceptable")).withColumn("warnings", warnings)
 
 
-def score_images(files: DataFrame, model_factory: Callable[[], Callable[[np.ndarray], list[tuple]]], decoder: Decoder = decode_plain, id_col: str = "image_id", content_col: str = "content") -> DataFrame:
-    """Detections of a user's model: ``model_factory()`` is called once per task and returns a function from an
-    image to rows (class_id, confidence, x1, y1, x2, y2)."""
-    kind = files.schema[id_col].dataType.simpleString()
+def score_images(images: DataFrame, model_factory: Callable[[], Callable[[list[np.ndarray]], list[list[tuple]]]], id_col: str = "origin", batch: int = 32) -> DataFrame:
+    """Detections of a user's model over rows of Spark's image source.
+
+    ``model_factory()`` is called once per task and returns a function from a list of up to ``batch`` images to a
+    list of rows (class_id, confidence, x1, y1, x2, y2) for each. Images that couldn't be decoded are left out.
+    """
+    kind = images.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = model_factory()
+        model = None
         for b in batches:
-            rows = []
-            for i, content in zip(b[id_col], b[content_col], strict=True):
-                image = decoder(bytes(content)) if content is not None else None
-                if image is not None:
-                    rows += [(i, k, *r) for k, r in enumerate(model(image))]
-            yield pd.DataFrame(rows, columns=[id_col, "pred_idx", "class_id", "confidence", "x1", "y1", "x2", "y2"])
-
-    return files.select(id_col, content_col).mapInPandas(run, f"{id_col} {kind}, pred_idx int, class_id int, confidence double, x1 double, y1 double, x2 double, y2 double")
+            b = b[b["height"] > 0]
+            for lo in range(0, len(b), batch):
+                some = b.iloc[lo : lo + batch]
+                model = model or model_factory()
+                made = model([pixel_array(h, w, c, data) for _, h, w, c, data in some.itertuples(index=False)])
+                rows = [(i, k, *r) for i, found in zip(some[id_col], made, strict=True) for k, r in enumerate(found)]
+                yield pd.DataFrame(rows, columns=[id_col, "pred_idx", "class_id", "confidence", "x1", "y1", "x2", "y2"])
+
+    return images.select(id_col, *PIXELS).mapInPandas(run, f"{id_col} {kind}, pred_idx int, class_id int, confidence double, x1 double, y1 double, x2 double, y2 double")

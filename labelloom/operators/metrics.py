@@ -3,84 +3,104 @@
 Average precision: at each IoU threshold the detections of an image take their best free truth of the same
 class by falling confidence; over all images, detections are ranked by confidence (ties: image, index);
 precision is made non-increasing and averaged over 101 recall points.
+
+A detection is one row with a hit or none for each threshold. The rows of all classes are range-sorted once; running
+counts and the best precision from a row on are worked out inside the ranges and carried over them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from labelloom.operators.matching import ranked_candidates
+from labelloom.operators.matching import CROWDED, ranked_candidates, split_crowded, take_in_rounds
+from labelloom.operators.ranks import dealt_ranges, later_maxima, running_sums
+from labelloom.session import written
 
 THRESHOLDS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
-#: Confidence is cut into so many slices; ranks and envelopes are worked out per slice and carried over.
-SLICES = 1000
 
 
-def true_positives(gt: DataFrame, pred: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
-    """(image_id, pred_idx, class_id, confidence, threshold, tp) at every threshold."""
-    c = ranked_candidates(gt, pred)
+def hits(gt: DataFrame, pred: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, crowded: int = CROWDED) -> DataFrame:
+    """(image_id, pred_idx, class_id, confidence, hits): an array of 1 or 0 for each threshold."""
+    few, many = split_crowded(written(ranked_candidates(gt, pred, crowded), "candidates"), ("image_id",), crowded)
     row = F.struct((-F.col("confidence")).alias("order"), "pred_idx", "class_id", "confidence", "same")
-    per = c.groupBy("image_id").agg(F.array_sort(F.collect_list(row)).alias("p")).withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in thresholds])))
-    none = "array<struct<pred_idx:int,class_id:int,confidence:double,tp:int>>"
+    per = few.groupBy("image_id").agg(F.array_sort(F.collect_list(row)).alias("p"))
+    at = F.array(*[F.lit(float(t)) for t in thresholds])
+    result = "array<struct<pred_idx:int,class_id:int,confidence:double,hits:array<int>>>"
 
     def step(state: Column, p: Column) -> Column:
-        free = F.get(F.filter(p["same"], lambda s: (-s["i"] >= F.col("threshold")) & ~F.array_contains(state["taken"], s["gt_idx"])), F.lit(0))
+        # the best free truth at each threshold, and what is taken there
+        free = lambda t, taken: F.get(F.filter(p["same"], lambda s: (-s["i"] >= t) & ~F.array_contains(taken, s["gt_idx"])), F.lit(0))["gt_idx"]
+        got = F.when(F.size(p["same"]) > 0, F.zip_with(at, state["taken"], free)).otherwise(F.array_repeat(F.lit(None).cast("int"), len(thresholds)))
+
+        def settle(gt_idx: Column) -> Column:
+            line = F.struct(p["pred_idx"].alias("pred_idx"), p["class_id"].alias("class_id"), p["confidence"].alias("confidence"), F.transform(gt_idx, lambda g: g.isNotNull().cast("int")).alias("hits"))
+            taken = F.zip_with(state["taken"], gt_idx, lambda t, g: F.when(g.isNull(), t).otherwise(F.array_append(t, g)))
+            return F.struct(taken.alias("taken"), F.array_append(state["rows"], line).alias("rows"))
 
-        def settle(hit: Column) -> Column:
-            found = hit["gt_idx"].isNotNull()
-            line = F.struct(p["pred_idx"].alias("pred_idx"), p["class_id"].alias("class_id"), p["confidence"].alias("confidence"), found.cast("int").alias("tp"))
-            return F.struct(F.when(found, F.array_append(state["taken"], hit["gt_idx"])).otherwise(state["taken"]).alias("taken"), F.array_append(state["rows"], line).alias("rows"))
+        return F.get(F.transform(F.array(got), settle), F.lit(0))
 
-        return F.get(F.transform(F.array(free), settle), F.lit(0))
+    start = F.struct(F.array_repeat(F.array().cast("array<int>"), len(thresholds)).alias("taken"), F.array().cast(result).alias("rows"))
+    rows = per.select("image_id", F.explode(F.aggregate("p", start, step, lambda s: s["rows"])).alias("__row")).select("image_id", "__row.*")
+    if many is None:
+        return rows
+    wanted = many.select("image_id", "pred_idx", (-F.col("confidence")).alias("order"), F.explode("same").alias("s")).select("image_id", "pred_idx", "order", "s.gt_idx", "s.i")
+    wanted = wanted.withColumn("t", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(t)).alias("least")) for k, t in enumerate(thresholds)]))).filter(-F.col("i") >= F.col("t.least")).select("image_id", "t.k", "pred_idx", "order", "gt_idx", "i")
+    won = take_in_rounds(wanted, ("image_id", "k")).groupBy("image_id", "pred_idx").agg(F.collect_set("k").alias("__k"))
+    found = F.transform(F.sequence(F.lit(0), F.lit(len(thresholds) - 1)), lambda k: F.coalesce(F.array_contains("__k", k), F.lit(False)).cast("int"))
+    return rows.unionByName(many.join(won, ["image_id", "pred_idx"], "left").select("image_id", "pred_idx", "class_id", "confidence", found.alias("hits")))
 
-    start = F.struct(F.array().cast("array<int>").alias("taken"), F.array().cast(none).alias("rows"))
-    return per.select("image_id", "threshold", F.explode(F.aggregate("p", start, step, lambda s: s["rows"])).alias("__row")).select("image_id", "threshold", "__row.*")
 
+def true_positives(gt: DataFrame, pred: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
+    """(image_id, pred_idx, class_id, confidence, threshold, tp) at every threshold."""
+    each = F.arrays_zip(F.array(*[F.lit(float(t)) for t in thresholds]).alias("threshold"), F.col("hits").alias("tp"))
+    return hits(gt, pred, thresholds).select("image_id", "pred_idx", "class_id", "confidence", F.explode(each).alias("e")).select("image_id", "pred_idx", "class_id", "confidence", "e.threshold", "e.tp")
 
-def average_precision(gt: DataFrame, pred: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS) -> DataFrame:
-    """(class_id, threshold, ap) of every class with truths.
 
-    Running counts over all detections of a class are sums over confidence slices plus a window inside each
-    slice, so that no task holds a class.
+def average_precision(gt: DataFrame, pred: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, found: DataFrame | None = None) -> DataFrame:
+    """(class_id, threshold, ap) of every class with truths. found: ``hits`` of the same, if known.
+
+    No task holds a class: running counts and envelopes are carried over the ranges of one sort.
     """
-    rows = true_positives(gt, pred, thresholds).withColumn("slice", F.least(F.lit(SLICES - 1), F.greatest(F.lit(0), F.floor((1 - F.col("confidence")) * SLICES))).cast("int"))
-    key = ["class_id", "threshold"]
-    slices = rows.groupBy(*key, "slice").agg(F.sum("tp").alias("t"), F.count(F.lit(1)).alias("n"))
-    before = W.partitionBy(*key).orderBy("slice")
-    slices = slices.select(*key, "slice", (F.sum("t").over(before) - F.col("t")).alias("t0"), (F.sum("n").over(before) - F.col("n")).alias("n0"))
-    inside = W.partitionBy(*key, "slice").orderBy(F.desc("confidence"), "image_id", "pred_idx").rowsBetween(W.unboundedPreceding, 0)
-    rows = rows.join(slices, [*key, "slice"]).withColumn("hits", F.sum("tp").over(inside) + F.col("t0")).withColumn("seen", F.count(F.lit(1)).over(inside) + F.col("n0"))
-    rows = rows.withColumn("precision", F.col("hits") / F.col("seen"))
-    # the best precision from here on: inside the slice, then over later slices
-    tops = rows.groupBy(*key, "slice").agg(F.max("precision").alias("m"))
-    later = W.partitionBy(*key).orderBy(F.desc("slice")).rowsBetween(W.unboundedPreceding, -1)
-    tops = tops.select(*key, "slice", F.coalesce(F.max("m").over(later), F.lit(0.0)).alias("after"))
-    rest = W.partitionBy(*key, "slice").orderBy(F.desc("confidence"), "image_id", "pred_idx").rowsBetween(0, W.unboundedFollowing)
-    rows = rows.join(tops, [*key, "slice"]).withColumn("envelope", F.greatest(F.max("precision").over(rest), F.col("after"))).filter("tp = 1")
+    n = range(len(thresholds))
+    key, order = ("class_id",), ("order", "image_id", "pred_idx")
+    rows = (hits(gt, pred, thresholds) if found is None else found).select("class_id", (-F.col("confidence")).alias("order"), "image_id", "pred_idx", *[F.col("hits")[k].alias(f"hit{k}") for k in n])
+    rows = running_sums(dealt_ranges(rows, *key, *order), key, order, {"seen": F.lit(1), **{f"hits{k}": F.col(f"hit{k}") for k in n}})
+    rows = written(rows.withColumn("seen", F.col("seen") + 1).withColumns({f"hits{k}": F.col(f"hits{k}") + F.col(f"hit{k}") for k in n}), "running-hits")
+    rows = later_maxima(rows, key, order, {f"envelope{k}": F.col(f"hits{k}") / F.col("seen") for k in n})
     truths = gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("truths"))
     # the k-th hit reaches the recall points over (k - 1) / truths up to k / truths
-    upto = lambda k: F.floor(100 * k / F.col("truths"))
-    points = F.expr("CAST((100 * hits) DIV truths - CASE WHEN hits = 1 THEN -1 ELSE (100 * (hits - 1)) DIV truths END AS DOUBLE)")
-    area = rows.join(truths, "class_id").groupBy(*key).agg((F.sum(points * F.col("envelope")) / 101).alias("ap"))
-    every = truths.select("class_id", F.explode(F.array(*[F.lit(t) for t in thresholds])).alias("threshold"))
-    return every.join(area, key, "left").select(*key, F.coalesce("ap", F.lit(0.0)).alias("ap"))
+    points = lambda h: F.expr(f"CAST((100 * {h}) DIV truths - CASE WHEN {h} = 1 THEN -1 ELSE (100 * ({h} - 1)) DIV truths END AS DOUBLE)")
+    area = lambda k: F.sum(F.when(F.col(f"hit{k}") == 1, points(f"hits{k}") * F.col(f"envelope{k}"))) / 101
+    per = rows.join(truths, "class_id").groupBy("class_id").agg(*[area(k).alias(f"ap{k}") for k in n])
+    every = F.explode(F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.coalesce(f"ap{k}", F.lit(0.0)).alias("ap")) for k, t in enumerate(thresholds)]))
+    return truths.join(per, "class_id", "left").select("class_id", every.alias("e")).select("class_id", "e.threshold", "e.ap")
 
 
-def precision_recall(gt: DataFrame, pred: DataFrame, threshold: float = 0.5, confidence: float = 0.0) -> DataFrame:
-    """(class_id, tp, fp, fn, precision, recall) of detections of at least ``confidence``."""
-    hits = true_positives(gt, pred.filter(F.col("confidence") >= confidence), (threshold,)).groupBy("class_id").agg(F.sum("tp").alias("tp"), F.count(F.lit(1)).alias("n"))
+def rates(gt: DataFrame, rows: DataFrame) -> DataFrame:
+    """(class_id, tp, fp, fn, precision, recall) from rows (class_id, tp)."""
+    per = rows.groupBy("class_id").agg(F.sum("tp").alias("tp"), F.count(F.lit(1)).alias("n"))
     truths = gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("truths"))
     zero = F.lit(0).cast("long")
-    out = truths.join(hits, "class_id", "full_outer").select("class_id", F.coalesce("tp", zero).alias("tp"), (F.coalesce("n", zero) - F.coalesce("tp", zero)).alias("fp"), (F.coalesce("truths", zero) - F.coalesce("tp", zero)).alias("fn"))
+    out = truths.join(per, "class_id", "full_outer").select("class_id", F.coalesce("tp", zero).alias("tp"), (F.coalesce("n", zero) - F.coalesce("tp", zero)).alias("fp"), (F.coalesce("truths", zero) - F.coalesce("tp", zero)).alias("fn"))
     return out.withColumn("precision", F.try_divide("tp", F.col("tp") + F.col("fp"))).withColumn("recall", F.try_divide("tp", F.col("tp") + F.col("fn")))
 
 
+def precision_recall(gt: DataFrame, pred: DataFrame, threshold: float = 0.5, confidence: float = 0.0) -> DataFrame:
+    """(class_id, tp, fp, fn, precision, recall) of detections of at least ``confidence``."""
+    return rates(gt, true_positives(gt, pred.filter(F.col("confidence") >= confidence), (threshold,)))
+
+
 def class_metrics(gt: DataFrame, pred: DataFrame, threshold: float = 0.5, confidence: float = 0.0) -> DataFrame:
-    """Per class: precision, recall, ap50 and ap50_95."""
-    ap = average_precision(gt, pred).groupBy("class_id").agg(F.max(F.when(F.col("threshold") == 0.5, F.col("ap"))).alias("ap50"), F.avg("ap").alias("ap50_95"))
-    return precision_recall(gt, pred, threshold, confidence).join(ap, "class_id", "left")
+    """Per class: precision, recall, ap50 and ap50_95.
+
+    Detections are matched once: what those below ``confidence`` take, those above never wanted.
+    """
+    thresholds = THRESHOLDS if threshold in THRESHOLDS else (*THRESHOLDS, threshold)
+    found = written(hits(gt, pred, thresholds), "hits")
+    ap = average_precision(gt, pred, THRESHOLDS, found).groupBy("class_id").agg(F.max(F.when(F.col("threshold") == 0.5, F.col("ap"))).alias("ap50"), F.avg("ap").alias("ap50_95"))
+    at = F.col("hits")[thresholds.index(threshold)]
+    return rates(gt, found.filter(F.col("confidence") >= confidence).select("class_id", at.alias("tp"))).join(ap, "class_id", "left")
 
 
 def overall_metrics(per_class: DataFrame) -> DataFrame:

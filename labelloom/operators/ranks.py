@@ -54,3 +54,17 @@ def running_sums(dealt: DataFrame, key: tuple[str, ...], order: tuple[str, ...],
     rows = rows.withColumns({f"__i_{n}": F.coalesce(F.sum(f"__v_{n}").over(inside), F.lit(0)) for n in values})
     out = rows.join(parts, (rows["__part"] == parts["__part"]) & same_key(rows, parts, *key) if key else rows["__part"] == parts["__part"])
     return out.select(*[rows[c] for c in dealt.columns], *[(F.col(f"__i_{n}") + F.col(f"__c_{n}")).alias(n) for n in values])
+
+
+def later_maxima(dealt: DataFrame, key: tuple[str, ...], order: tuple[str, ...], values: dict[str, Column]) -> DataFrame:
+    """``dealt`` (see ``dealt_ranges``) with, by name, the greatest value of this and the later rows of the same key:
+    a window inside each part of a key, and what the later parts have, carried over."""
+    rows = dealt.withColumns({f"__v_{n}": v for n, v in values.items()})
+    parts = rows.groupBy(*key, "__part").agg(*[F.max(f"__v_{n}").alias(f"__p_{n}") for n in values])
+    later = W.partitionBy(*key).orderBy(F.desc("__part")).rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select(*key, "__part", *[F.max(f"__p_{n}").over(later).alias(f"__c_{n}") for n in values])
+    # backwards: a frame that only grows is worked out once
+    inside = W.partitionBy("__part", *key).orderBy(*[F.col(c).desc_nulls_last() for c in order]).rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumns({f"__i_{n}": F.max(f"__v_{n}").over(inside) for n in values})
+    out = rows.join(parts, (rows["__part"] == parts["__part"]) & same_key(rows, parts, *key) if key else rows["__part"] == parts["__part"])
+    return out.select(*[rows[c] for c in dealt.columns], *[F.greatest(f"__i_{n}", f"__c_{n}").alias(n) for n in values])

@@ -1,48 +1,166 @@
-"""Hamming similarity join of 64-bit hashes."""
+"""Hamming similarity join of 64-bit hashes by an index of Hamming balls.
+
+The 64 bits are cut into bands. If the radii of the bands, each plus one, add up to the distance plus one, two hashes
+within the distance lie within the radius of some band. There they have a value in the middle of their ways: the
+one flips the lower half of the bits that differ, the other the upper half. So each hash is listed under all values
+that a few flips of a band make, and an equi-join on (band, differing bits, value) finds every pair, once: in its
+first band, at its own middle. No pairs outside of shared values are formed.
+
+A value that very many hashes share (all black images, say) is not joined. Its hashes go on to another level, which
+cuts the bits outside the band the same way, for the distance that the band leaves. (Distances to pivots would
+split such a group worse: over 40 or more free bits, they hardly differ.)
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from functools import reduce
+from itertools import combinations
+from math import comb
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.functions.boxes import hamming
+from labelloom.session import written
+
+BITS = tuple(range(64))
+#: Pairs that one value may make before its hashes go to the next level.
+CROWDED = 4_000_000
+LEVELS = 4
+#: Values that one level lists a hash under at most.
+LISTED = 20_000
+
+
+def radii(budget: int, bands: int) -> list[int]:
+    """A radius for each band; each plus one, they add up to the budget plus one."""
+    return [(budget + 1) // bands - 1 + (i < (budget + 1) % bands) for i in range(bands)]
+
+
+def cut(bits: tuple[int, ...], bands: int) -> list[tuple[int, ...]]:
+    n, extra = divmod(len(bits), bands)
+    edges = [i * n + min(i, extra) for i in range(bands + 1)]
+    return [bits[a:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
+
+
+def effort(bits: tuple[int, ...], budget: int, bands: int, hashes: int) -> float:
+    """Rows listed and pairs met, about, for so many hashes."""
+    rows = pairs = 0.0
+    for band, r in zip(cut(bits, bands), radii(budget, bands), strict=True):
+        for k in range(r + 1):
+            rows += comb(len(band), (k + 1) // 2) + comb(len(band), k // 2)
+            pairs += comb(len(band), k) * comb(k, k // 2) / 2 ** len(band)
+    return hashes * rows + hashes**2 / 2 * pairs if rows <= LISTED else float("inf")
+
+
+def best_bands(bits: tuple[int, ...], budget: int, hashes: int) -> list[tuple[tuple[int, ...], int]]:
+    """(bits, radius) of the bands that cost least for so many hashes."""
+    n = min(range(1, min(budget + 1, len(bits)) + 1), key=lambda m: effort(bits, budget, m, hashes))
+    return list(zip(cut(bits, n), radii(budget, n), strict=True))
+
+
+def as_long(bits: tuple[int, ...]) -> int:
+    value = sum(1 << b for b in bits)
+    return value - (1 << 64) if value >= 1 << 63 else value
+
 
+class Level:
+    """A way to cut the bits that are left: what is listed, and what tells a pair's first band."""
 
-def band_edges(distance: int) -> list[tuple[int, int]]:
-    """(shift, bits) of distance + 1 bands over 64 bits."""
-    n = distance + 1
-    sizes = [64 // n + (i < 64 % n) for i in range(n)]
-    return [(sum(sizes[:i]), sizes[i]) for i in range(n)]
+    def __init__(self, bits: tuple[int, ...], budget: int, hashes: int, checks: tuple = ()):
+        self.bits, self.budget, self.checks = bits, budget, checks
+        self.bands = best_bands(bits, budget, hashes)
 
+    def entries(self) -> list[tuple[int, int, tuple[int, ...]]]:
+        """(band, differing bits, the band's bits): one more than the budget, over all bands."""
+        return [(i, k, band) for i, (band, r) in enumerate(self.bands) for k in range(r + 1)]
 
-def hamming_pairs(df: DataFrame, id_col: str, hash_col: str, distance: int = 2, widest_banded: int = 7) -> DataFrame:
+    def below(self, band: int, k: int, hashes: int) -> Level | None:
+        """The level for pairs that differ by ``k`` bits of ``band``; none if no bits are left."""
+        rest = tuple(b for b in self.bits if b not in self.bands[band][0])
+        return Level(rest, min(self.budget - k, len(rest)), hashes, self.checked(band, k)) if rest else None
+
+    def checked(self, band: int, k: int) -> tuple:
+        earlier = [(as_long(b), r) for b, r in self.bands[:band]]
+        return (*self.checks, (as_long(self.bands[band][0]), k, earlier))
+
+
+FLIPS = "way long, side int, band_mask long, flip long, next_way long"
+CHECKS = "next_way long, checks array<struct<mask:long,k:int,earlier:array<struct<mask:long,radius:int>>>>"
+
+
+def listings(nodes: DataFrame, distance: int, crowded: int = CROWDED) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """(index, checks) of each level: the rows of an index of equal ``way`` and ``path`` and unequal ``side`` meet.
+
+    nodes: id, h, of distinct hashes.
+    """
+    spark = nodes.sparkSession
+    ways = {0: Level(BITS, min(distance, 64), max(nodes.count(), 1))}
+    both = F.explode(F.array(F.lit(0), F.lit(1))).alias("side")
+    rows = nodes.select("id", "h", F.lit(0).cast("long").alias("way"), F.lit(0).cast("long").alias("path"), F.array().cast("array<long>").alias("flips"), both)
+    for depth in range(LEVELS):
+        flips, checks, below = [], [], {}
+        for way, level in ways.items():
+            for step, (band, k, bits) in enumerate(level.entries()):
+                name = way * (len(BITS) + 2) + step + 1
+                below[name] = (level, band, k)
+                checks.append((name, level.checked(band, k)))
+                for side, n in ((0, (k + 1) // 2), (1, k // 2)):
+                    flips += [(way, side, as_long(bits), as_long(f), name) for f in combinations(bits, n)]
+        # a row for each flip: bounded by LISTED for each way, not by hashes
+        flipped = rows.join(F.broadcast(spark.createDataFrame(flips, FLIPS)), ["way", "side"])
+        value = F.col("h").bitwiseAND(F.col("band_mask")).bitwiseXOR(F.col("flip"))
+        index = flipped.select("id", "h", "side", F.col("next_way").alias("way"), F.xxhash64("path", "next_way", value).alias("path"), F.array_append("flips", F.col("flip")).alias("flips"))
+        ways = {}
+        if depth < LEVELS - 1:
+            index = written(index, "hamming-index")
+            sides = index.groupBy("way", "path").agg(F.count_if(F.col("side") == 0).alias("l"), F.count_if(F.col("side") == 1).alias("r"))
+            hot = written(sides.filter(F.col("l").cast("double") * F.col("r") > crowded).select("way", "path"), "hamming-crowded")
+            # at most as many as the level has entries
+            found = [r["way"] for r in hot.select("way").distinct().collect()]
+            ways = {w: level for w in found if (level := below[w][0].below(*below[w][1:], crowded)) is not None}
+        if ways:
+            going = hot.filter(F.col("way").isin(list(ways)))
+            rows, index = index.join(going, ["way", "path"], "left_semi"), index.join(going, ["way", "path"], "left_anti")
+        yield index, spark.createDataFrame(checks, CHECKS)
+        if not ways:
+            return
+
+
+def hamming_candidates(nodes: DataFrame, distance: int, crowded: int = CROWDED) -> DataFrame:
+    """(a, ha, b, hb) of hashes at most ``distance`` apart, each pair once."""
+    found = []
+    for index, checks in listings(nodes, distance, crowded):
+        left = index.filter("side = 0").select("way", "path", F.col("id").alias("a"), F.col("h").alias("ha"), F.col("flips").alias("fa"))
+        right = index.filter("side = 1").select("way", "path", F.col("id").alias("b"), F.col("h").alias("hb"), F.col("flips").alias("fb"))
+        met = left.join(right, ["way", "path"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("ha"), F.col("hb")) <= distance))
+        # a row for each entry of the level
+        met = met.join(F.broadcast(checks), F.col("way") == F.col("next_way"))
+        found.append(met.filter(F.forall(F.arrays_zip("checks", "fa", "fb"), own_place)).select("a", "ha", "b", "hb"))
+    return reduce(DataFrame.unionByName, found)
+
+
+def own_place(x: Column) -> Column:
+    """Whether a pair meets here at its own middle, in the first band that is near enough."""
+    check, low, high = x["checks"], x["fa"], x["fb"]
+    difference = F.col("ha").bitwiseXOR(F.col("hb"))
+    bits = lambda mask: F.bit_count(difference.bitwiseAND(mask))
+    # every bit of the lower half lies below the lowest one of the upper half
+    from_lowest = -(high.bitwiseAND(-high))
+    middle = (low.bitwiseAND(high) == 0) & ((high == 0) | (low.bitwiseAND(from_lowest) == 0))
+    return middle & (bits(check["mask"]) == check["k"]) & F.forall(check["earlier"], lambda e: bits(e["mask"]) > e["radius"])
+
+
+def hamming_pairs(df: DataFrame, id_col: str, hash_col: str, distance: int = 2, crowded: int = CROWDED) -> DataFrame:
     """(a, b, distance) of all pairs of distinct hashes at most ``distance`` bits apart, a before b.
 
-    ``a`` and ``b`` are the smallest ids of their hash (equal hashes are one node: see ``equal_links``). Two
-    hashes within d bits agree on one of d + 1 bands, so the join on (band, value) is exact; a pair is kept in
-    the first band on which it agrees, which needs no distinct. Beyond ``widest_banded`` bits a band has too
-    few bits to tell hashes apart, and blocks of hashes meet all others instead.
+    ``a`` and ``b`` are the smallest ids of their hash (equal hashes are one node: see ``equal_links``).
     """
     if distance < 0:
         raise ValueError("distance must not be negative")
     nodes = df.filter(F.col(hash_col).isNotNull()).groupBy(F.col(hash_col).cast("long").alias("h")).agg(F.min(id_col).alias("id"))
-    if distance > widest_banded:
-        n = 16
-        left = nodes.select(F.col("id").alias("a"), F.col("h").alias("ha"), F.pmod(F.xxhash64("h"), F.lit(n)).alias("i")).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        right = nodes.select(F.col("id").alias("b"), F.col("h").alias("hb"), F.pmod(F.xxhash64("h"), F.lit(n)).alias("j")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-        pairs = left.join(right, ["i", "j"]).filter("a < b")
-        return pairs.withColumn("distance", hamming(F.col("ha"), F.col("hb"))).filter(F.col("distance") <= distance).select("a", "b", "distance")
-    edges = band_edges(distance)
-    value = lambda h, s, k: F.shiftrightunsigned(h, s).bitwiseAND(F.lit((1 << k) - 1)) if k < 64 else h
-    banded = nodes.select("id", "h", F.posexplode(F.array(*[value(F.col("h"), s, k) for s, k in edges])).alias("band", "value"))
-    left = banded.select("band", "value", F.col("id").alias("a"), F.col("h").alias("ha"))
-    right = banded.select("band", "value", F.col("id").alias("b"), F.col("h").alias("hb"))
-    pairs = left.join(right, ["band", "value"]).filter("a < b")
-    difference = F.col("ha").bitwiseXOR(F.col("hb"))
-    earlier = F.lit(False)
-    for i, (s, k) in enumerate(edges):
-        earlier = earlier | ((F.col("band") > i) & (value(difference, s, k) == 0))
-    return pairs.withColumn("distance", hamming(F.col("ha"), F.col("hb"))).filter(F.col("distance") <= distance).filter(~earlier).select("a", "b", "distance")
+    met = hamming_candidates(written(nodes, "hashes"), distance, crowded)
+    return met.select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance"))
 
 
 def equal_links(df: DataFrame, id_col: str, key_col: str) -> DataFrame:

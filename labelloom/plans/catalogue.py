@@ -230,12 +230,34 @@ def split_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("split", "dim", scaled(F.col("target")).alias("target4"))
 
 
-@query()
+def split_sql(rule: str, shards: int) -> str:
+    """The splits of the groups in ``ORIGINS``: ratios, seed and costs of ``splits.assign_splits``."""
+    each = lambda x: f"list_transform(range(1, len(v) + 1), lambda k: {x})"
+    cost = "(rooms[s][k] + v[k]) * (rooms[s][k] + v[k]) / (want[s][k] * want[s][k])" if rule == "own" else "v[k] * (2 * rooms[s][k] + v[k]) / (want[s][k] * (want[1][k] + want[2][k] + want[3][k]))"
+    total = f"list_reduce({each(f'CASE WHEN want[s][k] > 0 THEN {cost} ELSE 0.0 END')}, lambda x, y: x + y)"
+    forced = "len(list_filter(groups, lambda x: x = 0)) = n - i AND groups[s] > 0"
+    ratios = ", ".join(f"list_transform(t, lambda x: {r}::DOUBLE * x)" for r in splits.RATIOS.values())
+    names = [sorted(splits.RATIOS).index(s) for s in splits.RATIOS]
+    return f"""WITH RECURSIVE {ORIGINS},
+h AS (SELECT DISTINCT group_id, CAST(concat('0x', substr(md5(group_id), 1, 15)) AS BIGINT) % {shards} AS shard FROM og),
+dims AS (SELECT dim, row_number() OVER (ORDER BY CASE dim WHEN 'images' THEN 0 WHEN 'class_0' THEN 1 WHEN 'class_1' THEN 2 ELSE 3 END, dim) AS k FROM (SELECT DISTINCT dim FROM vec)),
+g AS (SELECT h.group_id, shard, list(coalesce(value, 0.0) ORDER BY k) AS v FROM h CROSS JOIN dims LEFT JOIN vec ON vec.group_id = h.group_id AND vec.dim = dims.dim GROUP BY 1, 2),
+o AS (SELECT *, (r - 1 - {splits.SEED} % n + n) % n AS i FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY v[1] DESC, v[2] + v[3] DESC, group_id) AS r, count(*) OVER (PARTITION BY shard) AS n FROM g)),
+tot AS (SELECT shard, list(x ORDER BY k) AS t FROM (SELECT shard, k, sum(v[k]) AS x FROM g, dims GROUP BY 1, 2) GROUP BY 1),
+w AS (SELECT shard, [{ratios}] AS want FROM tot),
+walk AS (SELECT shard, CAST(0 AS BIGINT) AS i, list_transform(want, lambda x: list_transform(x, lambda y: -y)) AS rooms, [0, 0, 0] AS groups, CAST(NULL AS VARCHAR) AS group_id, 0 AS pick FROM w
+  UNION ALL SELECT shard, i + 1, list_transform([1, 2, 3], lambda s: CASE WHEN s = pick THEN {each('rooms[s][k] + v[k]')} ELSE rooms[s] END), list_transform([1, 2, 3], lambda s: groups[s] + CASE WHEN s = pick THEN 1 ELSE 0 END), group_id, pick
+  FROM (SELECT a.shard, a.i, rooms, groups, o.group_id, v, list_sort(list_transform([1, 2, 3], lambda s: {{'c': CASE WHEN {forced.replace('- i', '- a.i')} THEN 'inf'::DOUBLE ELSE {total} END, 'g': groups[s], 'n': {names}[s], 's': s}}))[1].s AS pick
+    FROM walk a JOIN o ON o.shard = a.shard AND o.i = a.i JOIN w ON w.shard = a.shard))
+SELECT og.ord, og.group_id, {list(splits.RATIOS)}[pick] AS split FROM og JOIN walk ON og.group_id = walk.group_id"""
+
+
+@query(split_sql("own", 1))
 def split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.assign_splits(grouped_images(spark, sf_dir), rule="own").select("ord", "group_id", "split")
 
 
-@query()
+@query(split_sql("marginal", 4))
 def split_assign_marginal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.assign_splits(grouped_images(spark, sf_dir), rule="marginal", shards=4).select("ord", "group_id", "split")
 
@@ -288,7 +310,7 @@ matches AS (SELECT image_id, pred_idx, gt_idx, class_id, best_iou, true_class, o
 
 
 def both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return views.truth(spark, sf_dir), views.detections(spark, sf_dir)
+    return written(views.truth(spark, sf_dir), "truth"), written(views.detections(spark, sf_dir), "detections")
 
 
 @query(f"WITH {PAIRED} SELECT image_id, gt_idx, pred_idx, gc AS gt_class, pc AS pred_class, {q6('iou')} AS iou6 FROM pairs")
@@ -358,7 +380,10 @@ def map_50_95(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ap.agg(scaled(F.avg(F.when(F.col("threshold") == 0.5, F.col("ap")))).alias("map50_4"), scaled(F.avg("ap")).alias("map50_95_4"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {ap_sql(metrics.THRESHOLDS)}, m AS (SELECT class_id, max(ap) FILTER (threshold = 0.5) AS ap50, avg(ap) AS ap50_95 FROM ap GROUP BY 1),
+k AS (SELECT class_id, CAST(sum(tp) AS BIGINT) AS tp, count(*) AS n FROM walk WHERE r > 0 AND threshold = 0.5 GROUP BY 1)
+SELECT class_id, coalesce(tp, 0) AS tp, coalesce(k.n, 0) - coalesce(tp, 0) AS fp, coalesce(t.n, 0) - coalesce(tp, 0) AS fn, {q4('tp::DOUBLE / nullif(k.n, 0)')} AS precision_4, {q4('coalesce(tp, 0)::DOUBLE / nullif(t.n, 0)')} AS recall_4,
+  {q4('ap50')} AS ap50_4, {q4('ap50_95')} AS ap50_95_4 FROM truths t FULL JOIN k USING (class_id) LEFT JOIN m USING (class_id)""")
 def class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = metrics.class_metrics(*both(spark, sf_dir))
     return out.select("class_id", "tp", "fp", "fn", *[scaled(F.col(c)).alias(f"{c}_4") for c in ("precision", "recall", "ap50", "ap50_95")])
@@ -396,13 +421,28 @@ def box_area_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- bytes --------------------------------------------------------------------------------------------------
 
 
-@query("""WITH b AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN unhex('FFD8FF') WHEN 1 THEN unhex('89504E470D0A1A0A') WHEN 2 THEN unhex('524946460000000057454250') ELSE unhex('') END || encode(html) AS content FROM pages)
-SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'image/jpeg' WHEN 1 THEN 'image/png' WHEN 2 THEN 'image/webp' END AS mime,
-  CAST(CASE WHEN octet_length(content) > 2000 THEN 413 WHEN octet_length(content) < 12 THEN 400 WHEN page_id % 5 > 2 THEN 415 ELSE 200 END AS INT) AS screen_code FROM b""")
+#: Headers of four kinds before the bytes of a page, a JPEG without a frame and no image at all; widths and heights by id.
+WIDTH, HEIGHT = "(page_id * 37) % 3000 + 1", "(page_id * 91) % 2000 + 1"
+BYTES = "lpad({hex}({x}), {n}, '0')"
+
+
+def headed(hexed: str, unhexed: str) -> str:
+    """The content of a page as an upload; ``hexed`` and ``unhexed`` name the engine's functions."""
+    big = lambda x, n: BYTES.format(hex=hexed, x=x, n=n)
+    little = lambda x: f"concat({', '.join(BYTES.format(hex=hexed, x=f'(({x}) // {256**k}) % 256' if hexed == 'to_hex' else f'(({x}) DIV {256**k}) % 256', n=2) for k in range(3))})"
+    return f"""CASE page_id % 6 WHEN 0 THEN {unhexed}(concat('FFD8FFE000041234FFFFC0001108', {big(HEIGHT, 4)}, {big(WIDTH, 4)}, '03'))
+  WHEN 1 THEN {unhexed}(concat('89504E470D0A1A0A0000000D49484452', {big(WIDTH, 8)}, {big(HEIGHT, 8)}))
+  WHEN 2 THEN {unhexed}(concat('524946460000000057454250565038580A00000000000000', {little(WIDTH + " - 1")}, {little(HEIGHT + " - 1")}))
+  WHEN 3 THEN {unhexed}('FFD8FFE000041234FFD9') ELSE {unhexed}('') END"""
+
+
+@query(f"""WITH b AS (SELECT page_id, {headed('to_hex', 'unhex')} || encode(html) AS content FROM pages)
+SELECT page_id, CASE page_id % 6 WHEN 0 THEN 'image/jpeg' WHEN 1 THEN 'image/png' WHEN 2 THEN 'image/webp' WHEN 3 THEN 'image/jpeg' END AS mime,
+  CAST(CASE WHEN octet_length(content) > 2000 THEN 413 WHEN octet_length(content) < 12 THEN 400 WHEN page_id % 6 > 3 THEN 415 WHEN page_id % 6 = 3 THEN 400
+    WHEN ({WIDTH}) * ({HEIGHT}) > 1000000 THEN 413 ELSE 200 END AS INT) AS screen_code FROM b""")
 def content_screen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.expr("CASE page_id % 5 WHEN 0 THEN unhex('FFD8FF') WHEN 1 THEN unhex('89504E470D0A1A0A') WHEN 2 THEN unhex('524946460000000057454250') ELSE unhex('') END")
-    files = table(spark, sf_dir, "pages").select("page_id", F.concat(head, F.encode("html", "UTF-8")).alias("content"))
-    return image_functions.screen_content(files, max_bytes=2000).select("page_id", "mime", "screen_code")
+    files = table(spark, sf_dir, "pages").select("page_id", F.concat(F.expr(headed("hex", "unhex")), F.encode("html", "UTF-8")).alias("content"))
+    return image_functions.screen_content(files, max_bytes=2000, max_pixels=1_000_000, sizes=True).select("page_id", "mime", "screen_code")
 
 
 @query(f"WITH {BITS} SELECT vec_id, CAST(hamming(bits, repeat('0', 64)) AS INT) AS ones FROM sig")
@@ -411,23 +451,21 @@ def vector_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(path, content): pages as small uncompressed BMP images, 32 pixels a row."""
+    """Pages in the columns of Spark's image source: their bytes as rows of 32 pixels of three channels."""
     body = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     rows = F.greatest(F.lit(8), F.ceil(F.octet_length(body) / 96)).cast("int")
-    little = lambda n: F.unhex(F.concat(*[F.lpad(F.hex(F.shiftright(n, s).bitwiseAND(255)), 2, "0") for s in (0, 8, 16, 24)]))
-    head = F.concat(F.unhex(F.lit("424D")), little(rows * 96 + 54), F.unhex(F.lit("000000003600000028000000")), little(F.lit(32)), little(rows), F.unhex(F.lit("0100180000000000")), little(rows * 96), F.unhex(F.lit("00" * 16)))
-    padded = F.concat(body, F.unhex(F.repeat(F.lit("80"), rows * 96 - F.octet_length(body))))
-    return table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("path"), F.concat(head, padded).alias("content"))
+    data = F.concat(body, F.unhex(F.repeat(F.lit("80"), rows * 96 - F.octet_length(body))))
+    return table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("origin"), rows.alias("height"), F.lit(32).alias("width"), F.lit(3).alias("nChannels"), F.lit(16).alias("mode"), data.alias("data"))
 
 
 @query()
 def perceptual_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return image_functions.describe_images(page_images(spark, sf_dir)).select("path", "sha256", "width", "height", "phash")
+    return image_functions.describe_pixels(page_images(spark, sf_dir)).select("path", "width", "height", "phash")
 
 
 @query()
 def image_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = image_functions.image_quality(image_functions.describe_images(page_images(spark, sf_dir)))
+    out = image_functions.image_quality(image_functions.describe_pixels(page_images(spark, sf_dir)))
     return out.select("path", scaled(F.col("blur")).alias("blur4"), scaled(F.col("brightness")).alias("brightness4"), "quality_status", F.array_join("warnings", ",").alias("warnings"))
 
 
@@ -435,17 +473,17 @@ def bright_spots():
     """A stand-in model: one detection around the brightest quarter of an image, class by its side."""
     import numpy as np
 
-    def detect(image: np.ndarray) -> list[tuple]:
+    def one(image: np.ndarray) -> list[tuple]:
         g = image_functions.grey(image)
         h, w = g.shape[0] // 2, g.shape[1] // 2
         means = [(float(g[y : y + h, x : x + w].mean()), y, x) for y in (0, h) for x in (0, w)]
         m, y, x = max(means)
         return [(int(x > 0), m / 255, float(x), float(y), float(x + w), float(y + h))]
 
-    return detect
+    return lambda images: [one(image) for image in images]
 
 
 @query()
 def score_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = image_functions.score_images(page_images(spark, sf_dir), bright_spots, id_col="path")
-    return out.select("path", "pred_idx", "class_id", scaled(F.col("confidence")).alias("confidence4"), "x1", "y1", "x2", "y2")
+    out = image_functions.score_images(page_images(spark, sf_dir), bright_spots)
+    return out.select(F.col("origin").alias("path"), "pred_idx", "class_id", scaled(F.col("confidence")).alias("confidence4"), "x1", "y1", "x2", "y2")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelloom.functions.images import Decoder, decode_plain, describe_images
+from labelloom.functions.images import Decoder, describe_images, describe_pixels
 from labelloom.functions.labels import dedup_boxes, parse_labels
 from labelloom.operators import dedup, matching, metrics, splits, status
 from labelloom.operators.ranks import dense_positions
@@ -14,11 +14,13 @@ from labelloom.sources import files as source_files
 from labelloom.sources import sinks
 
 
-def curate(files: DataFrame, classes: DataFrame, distance: int | None = 2, keep_negatives: bool = True, decoder: Decoder = decode_plain, **split_options) -> dict[str, DataFrame]:
+def curate(files: DataFrame, classes: DataFrame, distance: int | None = 2, keep_negatives: bool = True, decoder: Decoder | None = None, pixels: DataFrame | None = None, source_order: tuple[str, ...] = (), **split_options) -> dict[str, DataFrame]:
     """From (source, path, content) of dataset trees to a manifest.
 
     Returns manifest, curated (image and label text), quarantine, conflicts, duplicates, report. Invalid images
-    are set aside before any pixel is decoded; equal bytes go before the similarity join.
+    are set aside before any pixel is decoded; equal bytes go before the similarity join. Sizes come from headers, hashes
+    from ``decoder`` or from ``pixels`` (Spark's image source, whose ``origin`` is the path); without either, only
+    equal origins make variants. Sources are scanned in the order of ``source_order``, others behind by name.
     """
     images = source_files.image_keys(source_files.list_images(files))
     labels = source_files.parts(files, "labels", ("txt",))
@@ -28,9 +30,15 @@ def curate(files: DataFrame, classes: DataFrame, distance: int | None = 2, keep_
     has = labels.select(*key, F.lit(True).alias("__has"))
     listed = status.image_status(images.join(has, list(key), "left"), parsed, key, F.coalesce("__has", F.lit(False))).drop("__has")
     clean, quarantine = status.split_quarantine(listed, keep_negatives)
-    described = written(describe_images(clean, decoder), "described-images")
+    described = describe_images(clean, decoder)
+    if pixels is not None:
+        seen = describe_pixels(pixels).drop("width", "height")
+        described = described.drop("phash", "blur", "brightness").join(seen, "path", "left")
+    described = written(described, "described-images")
     corrupt = described.filter("width IS NULL").select("path", F.lit("corrupt").alias("reason"))
-    order = F.struct("source", "split_ord", "path")
+    listed_at = F.array_position(F.array(*[F.lit(s) for s in source_order]), F.col("source")) if source_order else F.lit(0)
+    source_ord = F.when(listed_at > 0, listed_at).otherwise(len(source_order) + 1).cast("int")
+    order = F.struct(source_ord.alias("source_ord"), "source", "split_ord", "path")
     records = clean.drop("content").join(described.filter("width IS NOT NULL"), "path").withColumn("ord", order)
     boxes = dedup_boxes(parsed, key)
     per_image = boxes.groupBy(*key).agg(F.collect_list(F.struct("class_id", "x", "y", "w", "h")).alias("b"))
@@ -40,7 +48,7 @@ def curate(files: DataFrame, classes: DataFrame, distance: int | None = 2, keep_
     unique, conflicts, removed = dedup.exact_dedup(records)
     unique = unique.withColumn("hash", F.conv("phash", 16, -10).cast("long"))
     # ordinals stand for the scan order; equal for every rerun
-    numbered = unique.withColumn("ord_text", F.concat_ws("/", "source", "split_ord", "path"))
+    numbered = unique.withColumn("ord_text", F.col("ord"))
     grouped = _grouped(written(numbered, "unique-images"), distance)
     manifest = splits.assign_splits(grouped, **split_options)
     manifest = manifest.withColumn("is_negative", F.col("status") == "negative").withColumn("output_image", source_files.output_name(F.col("source"), F.col("stem"), F.col("sha256"), F.col("ext")))

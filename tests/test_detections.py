@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,3 +168,78 @@ def test_summaries(spark):
     assert spark.range(1).select(detections.named(F.lit(9))).first()[0] == "Class 9"
     with pytest.raises(ValueError):
         detections.at_least(pred, 1.5)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_crowded_images_give_what_the_fold_gives(spark, seed):
+    gt, pred = some(seed)
+    g, p = frames(spark, gt, pred)
+    got = {(r.image_id, r.pred_idx, r.gt_idx, r.outcome) for r in matching.match_detections(g, p, crowded=2).collect()}
+    assert got == set(naive_match(gt, pred))
+    pairs = lambda crowded: {(r.image_id, r.gt_idx, r.pred_idx, round(r.iou, 9)) for r in matching.iou_pairs(g, p, crowded).collect()}
+    assert pairs(1) == pairs(10**6)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(matching.match_detections(g, p, crowded=2)) == rows(matching.match_detections(g, p))
+    assert rows(matching.nms(p, 0.3, crowded=1)) == rows(matching.nms(p, 0.3))
+    assert rows(matching.nms(p, 0.3, per_class=False, crowded=1)) == rows(matching.nms(p, 0.3, per_class=False))
+    assert rows(metrics.hits(g, p, (0.3, 0.5), crowded=2)) == rows(metrics.hits(g, p, (0.3, 0.5)))
+
+
+def all_overlaps(a, b):
+    """(i, j, iou) of two lists of corner boxes, by comparing all with all."""
+    out = []
+    for lo in range(0, len(a), 200):
+        x = a[lo : lo + 200, None]
+        w = np.minimum(x[..., 2], b[:, 2]) - np.maximum(x[..., 0], b[:, 0])
+        h = np.minimum(x[..., 3], b[:, 3]) - np.maximum(x[..., 1], b[:, 1])
+        i, j = np.nonzero((w > 0) & (h > 0))
+        inter = w[i, j] * h[i, j]
+        size = lambda v: (v[:, 2] - v[:, 0]) * (v[:, 3] - v[:, 1])
+        out.append(np.stack([i + lo, j, inter / (size(a[i + lo]) + size(b[j]) - inter)], axis=1))
+    return np.concatenate(out)
+
+
+def test_one_image_of_20000_boxes(spark):
+    rng = np.random.default_rng(7)
+    n = 10_000
+    truth = np.concatenate([rng.uniform(0, 3000, (n, 2)), np.zeros((n, 2))], axis=1)
+    truth[:, 2:] = truth[:, :2] + rng.uniform(8, 40, (n, 2))
+    truth[0] = (0, 0, 3000, 3000)
+    found = truth + rng.normal(0, 2, (n, 4)).round(2)
+    found[:, 2:] = np.maximum(found[:, 2:], found[:, :2] + 1)
+    score = rng.integers(0, 400, n) / 400
+    g, p = frames(spark, [(1, i, 0, *map(float, b)) for i, b in enumerate(truth)], [(1, i, 0, float(s), *map(float, b)) for i, (s, b) in enumerate(zip(score, found, strict=True))])
+    pairs = all_overlaps(truth, found)
+    assert {(r.gt_idx, r.pred_idx) for r in matching.iou_pairs(g, p).collect()} == {(int(i), int(j)) for i, j, _ in pairs}
+    wanted, taken, want = {}, set(), {}
+    for i, j, v in sorted((r for r in pairs.tolist() if r[2] >= 0.5), key=lambda r: (-r[2], r[0])):
+        wanted.setdefault(int(j), []).append(int(i))
+    order = sorted(range(n), key=lambda j: (-score[j], j))
+    for j in order:
+        free = next((i for i in wanted.get(j, ()) if i not in taken), None)
+        if free is not None:
+            taken.add(free)
+            want[j] = free
+    got = {r.pred_idx: r.gt_idx for r in matching.match_detections(g, p).filter("outcome = 'true_positive'").collect()}
+    assert got == want
+    near = {}
+    for i, j, v in all_overlaps(found, found).tolist():
+        if i != j and v > 0.3:
+            near.setdefault(int(i), []).append(int(j))
+    kept = set()
+    for j in order:
+        if not any(k in kept for k in near.get(j, ())):
+            kept.add(j)
+    assert {r.pred_idx for r in matching.nms(p, 0.3).collect()} == kept
+
+
+def test_equal_confidences_stay_spread(spark):
+    gt = [(i, 0, 0, 0.0, 0.0, 10.0, 10.0) for i in range(400)]
+    pred = [(i, 0, 0, 0.5, 0.0, 0.0, 10.0, 10.0 if i % 3 else 5.0) for i in range(400)]
+    ap = metrics.average_precision(*frames(spark, gt, pred), (0.5, 0.9)).collect()
+    want = lambda t: (lambda hits: sum(max((sum(hits[: k + 1]) / (k + 1) for k in range(len(hits)) if 100 * sum(hits[: k + 1]) >= 400 * x), default=0.0) for x in range(101)) / 101)([int(i % 3 > 0 or t <= 0.5) for i in range(400)])
+    assert {r.threshold: pytest.approx(r.ap) for r in ap} == {t: want(t) for t in (0.5, 0.9)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    dealt = metrics.dealt_ranges(frames(spark, gt, pred)[1], "class_id", "confidence", "image_id")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert dealt.select("__part").distinct().count() > 1

@@ -15,21 +15,19 @@ from labelloom.streaming.screening import screened_stream
 
 
 def png(image: np.ndarray) -> bytes:
-    """An RGB PNG whose rows take turns with all five filters."""
+    """An RGB PNG without filters."""
     h, w = image.shape[:2]
-    rgb = image[:, :, ::-1].astype(np.int16)
-    rows, above = [], np.zeros((w, 3), np.int16)
-    for y in range(h):
-        line, left = rgb[y], np.vstack([np.zeros((1, 3), np.int16), rgb[y][:-1]])
-        corner = np.vstack([np.zeros((1, 3), np.int16), above[:-1]])
-        p = left + above - corner
-        d = np.abs(np.stack([p - left, p - above, p - corner]))
-        paeth = np.where((d[0] <= d[1]) & (d[0] <= d[2]), left, np.where(d[1] <= d[2], above, corner))
-        guess = [0, left, above, (left + above) >> 1, paeth][y % 5]
-        rows.append(bytes([y % 5]) + ((line - guess) & 255).astype(np.uint8).tobytes())
-        above = line
+    rows = b"".join(b"\0" + line.tobytes() for line in image[:, :, ::-1].astype(np.uint8))
     chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"".join(rows))) + chunk(b"IEND", b"")
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
+
+
+def jpeg(width, height, before=b"", frame=0xC0):
+    return b"\xff\xd8" + before + b"\xff" + bytes([frame]) + struct.pack(">HBHHB", 17, 8, height, width, 3) + b"\1\x22\0\2\x11\1\3\x11\1\xff\xda" + b"0" * 20
+
+
+def segment(kind, data):
+    return b"\xff" + bytes([kind]) + struct.pack(">H", len(data) + 2) + data
 
 
 def picture(seed, size=48):
@@ -38,10 +36,8 @@ def picture(seed, size=48):
     return np.kron(coarse, np.ones((size // 6, size // 6, 1))).astype(np.uint8)
 
 
-def test_png_decoder_and_hash():
+def test_hash_and_quality():
     image = picture(1)
-    assert (images.decode_plain(png(image)) == image).all()
-    assert images.decode_plain(b"\x89PNG\r\n\x1a\nbroken") is None and images.decode_plain(b"") is None
     h = images.phash(image)
     assert len(h) == 16 and h == images.phash(image.copy()) and len(images.phash(image, 4)) == 4
     noisy = np.clip(image.astype(int) + np.random.default_rng(0).integers(-2, 3, image.shape), 0, 255).astype(np.uint8)
@@ -53,6 +49,45 @@ def test_png_decoder_and_hash():
     assert images.quality(flat) == (0.0, pytest.approx(100.0))
 
 
+def riff(kind, data):
+    return b"RIFF" + struct.pack("<I", len(data) + 12) + b"WEBP" + kind + struct.pack("<I", len(data)) + data
+
+
+def bmp(width, height):
+    return b"BM" + struct.pack("<IHHI", 54, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, width, height, 1, 24, 0, 0, 0, 0, 0, 0)
+
+
+SIZED = [
+    (png(np.zeros((7, 300, 3))), (300, 7)),
+    (jpeg(640, 480), (640, 480)),
+    (jpeg(65535, 1, segment(0xE0, b"JFIF") + segment(0xE1, b"x" * 60000) + segment(0xDB, b"q" * 65), 0xC2), (65535, 1)),
+    (jpeg(5, 6, segment(0xC4, b"huffman tables come first") + b"\xff\xff" + segment(0xFE, b"fill bytes")[1:]), (5, 6)),
+    (jpeg(9, 8, b"".join(segment(0xE2, bytes([i % 256])) for i in range(400))), (9, 8)),
+    (b"\xff\xd8" + segment(0xE0, b"no frame") + b"\xff\xd9", None),
+    (jpeg(640, 480)[:9], None),
+    (b"\xff\xd8\xff", None),
+    (riff(b"VP8 ", b"\0\0\0\x9d\x01\x2a" + struct.pack("<HH", 1000 | 0x4000, 33) + b"0" * 8), (1000, 33)),
+    (riff(b"VP8L", b"\x2f" + struct.pack("<I", 1199 | (799 << 14)) + b"0" * 9), (1200, 800)),
+    (riff(b"VP8X", b"\0\0\0\0" + struct.pack("<I", 70000 - 1)[:3] + struct.pack("<I", 12 - 1)[:3] + b"0" * 9), (70000, 12)),
+    (riff(b"XXXX", b"0" * 30), None),
+    (bmp(31, 17), (31, 17)),
+    (bmp(31, -17), (31, 17)),
+    (bmp(0, 17), None),
+    (b"\x89PNG\r\n\x1a\nxxxxxxx", None),
+    (b"plain text that is long enough to hold a header", None),
+    (b"", None),
+    (None, None),
+]
+
+
+def test_sizes_come_from_headers(spark):
+    rows = [(i, None if c is None else bytearray(c)) for i, (c, _) in enumerate(SIZED)]
+    df = spark.createDataFrame(rows, "i int, content binary").select("i", images.image_size(F.col("content")).alias("s"))
+    assert {r.i: r.s and (r.s.width, r.s.height) for r in df.collect()} == {i: size for i, (_, size) in enumerate(SIZED)}
+    codes = images.screen_content(spark.createDataFrame(rows, "i int, content binary"), max_pixels=400_000, max_bytes=10**6, sizes=True)
+    assert {r.i: r.screen_code for r in codes.collect() if r.i in (0, 1, 3, 5, 6, 9)} == {0: 200, 1: 200, 3: 200, 5: 400, 6: 400, 9: 413}
+
+
 @pytest.mark.parametrize(
     ("content", "width", "code"),
     [(b"abc_not_image_content", None, 415), (b"short", None, 400), (b"\xff\xd8\xff" + b"0" * 20, 10, 200), (b"\xff\xd8\xff" + b"0" * 20, None, 400), (b"RIFF0000WEBP" + b"0", 9000, 413), (b"\xff\xd8\xff" + b"0" * 200, 10, 413), (b"", None, 400), (None, None, 400)],
@@ -62,13 +97,42 @@ def test_screening(spark, content, width, code):
     assert images.screen_content(df, max_bytes=100).first().screen_code == code
 
 
-def test_descriptions_and_scores(spark):
-    rows = [("a", bytearray(png(picture(3)))), ("b", bytearray(b"junk")), ("c", None)]
+def image_rows(spark, tmp_path, pictures):
+    """Files read by Spark's image source, by file name."""
+    for name, image in pictures.items():
+        (tmp_path / name).write_bytes(png(image) if isinstance(image, np.ndarray) else image)
+    return spark.read.format("image").load(f"file://{tmp_path}/*.*").select("image.*").withColumn("origin", F.substring_index("origin", "/", -1))
+
+
+def test_descriptions_and_scores(spark, tmp_path):
+    rows = image_rows(spark, tmp_path, {"a.png": picture(3), "b.png": b"junk", **{f"c{i}.png": picture(i, 96) for i in range(9)}})
+    got = {r.path: r for r in images.image_quality(images.describe_pixels(rows)).collect()}
+    assert (got["a.png"].width, got["a.png"].height) == (48, 48) and got["a.png"].warnings == ["small"] and got["a.png"].phash == images.phash(picture(3)) and got["c0.png"].width == 96
+
+    def model():
+        calls = []
+
+        def run(batch):
+            calls.append(len(batch))
+            return [[(len(batch), 0.5, float(len(calls)), 0.0, float(image.shape[1]), 1.0)] * (image.shape[1] == 96) for image in batch]
+
+        return run
+
+    made = images.score_images(rows.coalesce(1), model, batch=4).collect()
+    # ten images in one task: one model, batches of four, four and two
+    assert sorted((r.class_id, r.x1) for r in made) == sorted([(4, 1.0)] * sum(r.x1 == 1 for r in made) + [(4, 2.0)] * sum(r.x1 == 2 for r in made) + [(2, 3.0)] * sum(r.x1 == 3 for r in made))
+    assert {r.x1 for r in made} == {1.0, 2.0, 3.0} and len(made) == 9 and all(r.pred_idx == 0 and r.x2 == 96.0 for r in made)
+
+
+def test_descriptions_of_bytes(spark):
+    rows = [("a", bytearray(png(picture(3)))), ("b", bytearray(b"junk")), ("c", None), ("d", bytearray(jpeg(70, 80)))]
     df = spark.createDataFrame(rows, "path string, content binary")
-    got = {r.path: r for r in images.image_quality(images.describe_images(df)).collect()}
-    assert (got["a"].width, got["a"].height) == (48, 48) and got["a"].warnings == ["small"] and got["b"].width is None and got["c"].phash is None
-    made = images.score_images(df, lambda: lambda image: [(1, 0.5, 0.0, 0.0, float(image.shape[1]), 1.0)], id_col="path").collect()
-    assert [(r.path, r.pred_idx, r.class_id, r.x2) for r in made] == [("a", 0, 1, 48.0)]
+    got = {r.path: (r.width, r.height, r.phash) for r in images.describe_images(df).collect()}
+    assert got == {"a": (48, 48, None), "b": (None, None, None), "c": (None, None, None), "d": (70, 80, None)}
+    shown = picture(3)
+    decode = lambda data: shown if data[:2] == b"\xff\xd8" else None
+    got = {r.path: (r.width, r.phash, r.sha256 is None) for r in images.describe_images(df, decode).collect()}
+    assert got == {"a": (48, None, False), "b": (None, None, False), "c": (None, None, True), "d": (70, images.phash(picture(3)), False)}
 
 
 def archive(path, members):
@@ -159,6 +223,33 @@ def test_curation_end_to_end(spark, tmp_path):
     assert files.read_report(spark, f"file://{tmp_path}/r").first().collection.scanned == 41
 
 
+def test_curation_of_jpeg_with_pixels_and_source_order(spark, tmp_path):
+    rows, pictures = [], {}
+    for i in range(12):
+        source = "zeta" if i < 6 else "alpha"
+        # images 3 and 9 have equal bytes and boxes; 4 and 5 look alike
+        k = 3 if i == 9 else i
+        rows.append((source, f"{('train', 'valid', 'test')[i % 3]}/images/im{i}.jpg", bytearray(jpeg(100 + k, 80))))
+        rows.append((source, f"{('train', 'valid', 'test')[i % 3]}/labels/im{i}.txt", bytearray(b"0 0.5 0.5 0.2 0.2")))
+        pictures[rows[-2][1]] = picture(4 if k == 5 else k)
+    (tmp_path / "p").mkdir()
+    seen = image_rows(spark, tmp_path / "p", {f"{i}.png": image for i, image in enumerate(pictures.values())})
+    names = spark.createDataFrame([(f"{i}.png", path) for i, path in enumerate(pictures)], "origin string, path string")
+    seen = seen.join(names, "origin").drop("origin").withColumnRenamed("path", "origin")
+    df = spark.createDataFrame(rows, "source string, path string, content binary")
+    classes = class_map(spark, {s: ["Bacterial Leaf Blight", "brown spot"] for s in ("zeta", "alpha")}, ["Bacterial_Leaf_Blight", "Brown_Spot"])
+    for order, kept in ((("zeta", "alpha"), "im3"), ((), "im9")):
+        out = curate(df, classes, pixels=seen, source_order=order)
+        manifest = {r.source_image: r for r in out["manifest"].collect()}
+        assert len(manifest) == 11 and out["corrupt"].count() == 0 and out["duplicates"].count() == 1
+        assert {p.split("/")[-1][:-4] for p in manifest} & {"im3", "im9"} == {kept}
+        assert {r.width for r in manifest.values()} == {100 + i for i in range(12) if i != 9}
+        group = {p.split("/")[-1][:-4]: r.group_id for p, r in manifest.items()}
+        assert group["im4"] == group["im5"] and len(set(group.values())) == 10
+        first = min(group.values())
+        assert (first == group["im0"]) == bool(order)
+
+
 def test_conflict_list(spark):
     conflicts = spark.createDataFrame([("h",)], "sha256 string")
     paths = spark.createDataFrame([("h", 2, "b"), ("h", 1, "a"), ("i", 3, "c")], "sha256 string, ord long, path string")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +8,7 @@ from labelloom.functions.boxes import bool_text, hamming, hex_hash, median_bits
 from labelloom.operators import checks, dedup, splits
 from labelloom.operators.components import connected_components
 from labelloom.operators.ranks import dense_positions
-from labelloom.operators.similarity import hamming_pairs
+from labelloom.operators.similarity import BITS, best_bands, hamming_candidates, hamming_pairs, listings
 
 
 def naive_components(nodes, edges):
@@ -38,14 +39,16 @@ def test_components_of_nothing(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("distance", [0, 1, 2, 5, 9])
-def test_hamming_join_is_exact(spark, distance):
+@pytest.mark.parametrize(("distance", "crowded"), [(0, 50), (1, 10**9), (2, 10**9), (2, 20), (5, 10**9), (9, 40), (16, 10**9), (17, 200), (40, 10**9)])
+def test_hamming_join_is_exact(spark, distance, crowded):
     rng = random.Random(distance)
     base = [rng.getrandbits(64) for _ in range(12)]
     values = [b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(4))) for b in base for _ in range(5)]
     values = [(v & (1 << 64) - 1) - (1 << 64 if v & (1 << 63) else 0) for v in values]
     df = spark.createDataFrame(list(enumerate(values)), "id long, h long")
-    got = {(r.a, r.b, r.distance) for r in hamming_pairs(df, "id", "h", distance).collect()}
+    rows = hamming_pairs(df, "id", "h", distance, crowded).collect()
+    got = {(r.a, r.b, r.distance) for r in rows}
+    assert len(got) == len(rows)
     first = {}
     for i, v in enumerate(values):
         first.setdefault(v, i)
@@ -59,6 +62,48 @@ def test_hashes(spark):
     assert tuple(row) == (64, 1, -1, 0b0101)
 
 
+def test_bands_add_up_and_stay_few():
+    for budget in range(65):
+        for n in (10, 10**4, 10**12):
+            bands = best_bands(BITS, budget, n)
+            assert sum(r + 1 for _, r in bands) == budget + 1 and sorted(b for bits, _ in bands for b in bits) == list(BITS)
+    assert [r for _, r in best_bands(BITS, 2, 10**6)] == [0, 0, 0]
+
+
+def test_wide_distances_meet_few_pairs(spark):
+    rng = random.Random(4)
+    values = [rng.getrandbits(63) for _ in range(3000)]
+    nodes = spark.createDataFrame(list(enumerate(values)), "id long, h long")
+    want = {(i, j) for i in range(3000) for j in range(i + 1, 3000) if bin(values[i] ^ values[j]).count("1") <= 16}
+    assert {(r.a, r.b) for r in hamming_candidates(nodes, 16).collect()} == want
+    plan = hamming_candidates(nodes, 16)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+    assert meetings(nodes, 12) < 3000 * 2999 // 2 / 2
+
+
+def meetings(nodes, distance):
+    total = 0
+    for index, _ in listings(nodes, distance):
+        sides = index.groupBy("way", "path").agg(F.count_if(F.col("side") == 0).alias("l"), F.count_if(F.col("side") == 1).alias("r"))
+        total += sides.agg(F.sum(F.col("l") * F.col("r"))).first()[0] or 0
+    return total
+
+
+def test_one_crowded_band_value(spark):
+    # 50,000 hashes that share their upper 22 bits, in two shapes: spread, and close to each other
+    n = 50_000
+    spread = spark.range(n).select("id", F.xxhash64("id").bitwiseAND(F.lit((1 << 42) - 1)).bitwiseOR(F.lit(5 << 42)).alias("h"))
+    close = spark.createDataFrame([(n + 42 * i + j, (5 << 42) | (1 << i) | (1 << j)) for i in range(42) for j in range(i)], "id long, h long")
+    nodes = spread.union(close).dropDuplicates(["h"])
+    m = nodes.count()
+    assert m > 50_000 and meetings(nodes, 2) < m * (m - 1) / 2 / 10
+    got = {(r.a, r.b) for r in hamming_candidates(nodes, 2).collect()}
+    rows = {r.h: r.id for r in nodes.collect()}
+    flips = [*[1 << i for i in range(42)], *[(1 << i) | (1 << j) for i in range(42) for j in range(i)]]
+    want = {(min(i, rows[h ^ f]), max(i, rows[h ^ f])) for h, i in rows.items() for f in flips if h ^ f in rows}
+    assert got == want
+
+
 def test_negative_distance(spark):
     with pytest.raises(ValueError):
         hamming_pairs(spark.createDataFrame([(1, 1)], "id long, h long"), "id", "h", -1)
@@ -99,41 +144,44 @@ def records(spark, groups):
     return spark.createDataFrame(groups, "group_id string, source string, instances_class_0 long, instances_class_1 long")
 
 
-def naive_splits(rows, seed):
-    """The sequential rule, restated on plain dicts."""
-    ratios = {"train": 0.70, "val": 0.15, "test": 0.15}
-    dims = ["images", "class_0", "class_1", *sorted({f"source_{r[1]}" for r in rows})]
-    vec = {}
+def choices(rows, seed, split_of, ratios=splits.RATIOS):
+    """(vectors, choices) in the order in which groups are placed."""
+    groups = sorted({r[0] for r in rows})
+    sources = sorted({r[1] for r in rows})
+    held = {g: np.zeros(3 + len(sources)) for g in groups}
     for g, s, a, b in rows:
-        v = vec.setdefault(g, dict.fromkeys(dims, 0.0))
-        v["images"] += 1
-        v["class_0"] += a
-        v["class_1"] += b
-        v[f"source_{s}"] += 1
-    total = {d: sum(v[d] for v in vec.values()) for d in dims}
-    order = sorted(vec, key=lambda g: (-vec[g]["images"], -(vec[g]["class_0"] + vec[g]["class_1"]), g))
-    k = seed % len(order)
-    order = order[k:] + order[:k]
-    state = {s: [dict.fromkeys(dims, 0.0), 0] for s in ratios}
-    out = {}
-    for i, g in enumerate(order):
-        empty = [s for s in ratios if state[s][1] == 0]
-        allowed = empty if empty and len(order) - i == len(empty) else list(ratios)
-        loss = {s: sum(((state[s][0][d] + vec[g][d] - total[d] * ratios[s]) / (total[d] * ratios[s])) ** 2 for d in dims if total[d] > 0) for s in allowed}
-        best = min(allowed, key=lambda s: (loss[s], state[s][1], s))
-        out[g] = best
-        state[best][1] += 1
-        for d in dims:
-            state[best][0][d] += vec[g][d]
-    return out
-
-
+        held[g] += [1, a, b, *(s == x for x in sources)]
+    placed = sorted(groups, key=lambda g: (-held[g][0], -held[g][1:3].sum(), g))
+    placed = np.roll(np.array(placed, object), -(seed % len(placed)))
+    return np.stack([held[g] for g in placed]), np.array([list(ratios).index(split_of[g]) for g in placed])
+
+
+def least_cost_everywhere(vectors, chosen, rule, ratios=splits.RATIOS):
+    """Whether every choice costs least given the choices before it, all steps at once."""
+    n, want = len(vectors), np.outer(list(ratios.values()), vectors.sum(axis=0))
+    picked = np.eye(len(ratios))[chosen]
+    before = np.cumsum(picked[:, :, None] * vectors[:, None], axis=0) - picked[:, :, None] * vectors[:, None]
+    groups = np.cumsum(picked, axis=0) - picked
+    over = before + vectors[:, None] - want
+    cost = over**2 / want**2 if rule == "own" else (over**2 - (before - want) ** 2) / (want * want.sum(axis=0))
+    cost = np.nan_to_num(cost).sum(axis=2).round(9)
+    must_fill = (groups == 0).sum(axis=1) == n - np.arange(n)
+    cost[must_fill[:, None] & (groups > 0)] = np.inf
+    names = np.argsort(np.argsort(list(ratios)))
+    best = [min(range(len(ratios)), key=lambda s: (cost[i, s], groups[i, s], names[s])) for i in range(n)]
+    return best == chosen.tolist()
+
+
+@pytest.mark.parametrize("rule", ["own", "marginal"])
 @pytest.mark.parametrize("seed", [0, 42])
-def test_own_rule_against_naive(spark, seed):
+def test_each_choice_costs_least(spark, seed, rule):
     rng = random.Random(seed)
     rows = [(f"g{rng.randrange(25):02d}", f"s{rng.randrange(3)}", rng.randrange(4), rng.randrange(3)) for _ in range(90)]
-    got = {r.group_id: r.split for r in splits.assign_splits(records(spark, rows), seed=seed, rule="own").collect()}
-    assert got == naive_splits(rows, seed)
+    got = {r.group_id: r.split for r in splits.assign_splits(records(spark, rows), seed=seed, rule=rule, shards=1).collect()}
+    assert set(got) == {r[0] for r in rows} and least_cost_everywhere(*choices(rows, seed, got), rule)
+    # the property tells a wrong choice
+    wrong = got | {min(got): next(s for s in splits.RATIOS if s != got[min(got)])}
+    assert not least_cost_everywhere(*choices(rows, seed, wrong), rule)
 
 
 def test_marginal_rule_meets_ratios(spark):
