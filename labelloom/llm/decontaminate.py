@@ -8,10 +8,15 @@ backwards at once, interval by interval; the rows of the final intervals walk ba
 suffix position, which locates the occurrences. Overlapping occurrences merge into removal spans.
 
 A test phrase is a window of 10 consecutive words of a benchmark item, or the whole item if it is shorter.
-The benchmark is searched in blocks of at most ``BLOCK`` windows; its windows are the only thing broadcast.
-
-Cases: null text, or text without words, has no words and no hits; null or wordless items are never found;
-repeated documents each get their rows; empty tables give no rows, or no hits; other columns are ignored.
+A benchmark of up to ``BLOCK`` windows is collected and broadcast as a whole. A larger one is cut into blocks of at
+most twice as many, long items too; documents are numbered and written, and each block is collected, broadcast,
+searched by a job of its own, which writes the rows it hits, and released before the next one. So neither the driver
+nor a task ever holds more than a block.
+
+Cases: null text, or text without words, has no words and no hits; null or wordless items are never found; items
+that share an id are one item, found by the windows of any of them; items without an id are one item as well, the
+last (counted, but without a name); repeated documents each get their rows; empty tables give no rows, or no hits;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,11 +30,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelloom.llm.text import byte_class, column_bytes, lower_table, row_blocks, span_hashes, word_spans
-from labelloom.session import small_batches, table
+from labelloom.operators.ranks import dealt_ranges, running_sums
+from labelloom.session import small_batches, table, written
 
 WINDOW = 10
 SAMPLE = 16  # every so many-th suffix position is kept
-#: Benchmark windows searched (and broadcast) at a time: some 50 MB of hashes.
+#: Benchmark windows searched (and broadcast) at a time, twice as many at most: some 50 MB of hashes.
 BLOCK = 500_000
 SHARD_BYTES = 1 << 23
 WORD_BYTES = ~byte_class(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]")
@@ -223,6 +229,10 @@ def find_windows(phrases: Phrases, h: np.ndarray, rows: np.ndarray) -> tuple[np.
     return origin[where], which
 
 
+def in_order(items: set) -> list:
+    return sorted(items, key=lambda x: (x is None, x if x is not None else 0))
+
+
 def scan_shard(phrases: Phrases, column: pa.Array) -> tuple[np.ndarray, list[np.ndarray], list[list], list[np.ndarray]]:
     """Per row of a string column: words, merged hit word spans (k x 2), items found, byte spans to remove."""
     encoded = column.dictionary_encode()
@@ -248,53 +258,91 @@ def scan_shard(phrases: Phrases, column: pa.Array) -> tuple[np.ndarray, list[np.
         first, last = a[new], b[np.concatenate([new[1:], [True]])]
         spans.append(np.stack([first - rows[i], last - rows[i]], axis=1))
         cuts.append(np.stack([starts[first] - off[i], ends[last - 1] - off[i]], axis=1))
-        items.append(sorted({x for k in np.unique(which[lo:hi]).tolist() for x in phrases.items[k]}))
+        items.append(in_order({x for k in np.unique(which[lo:hi]).tolist() for x in phrases.items[k]}))
     zero = np.zeros(1, words.dtype)
     words = np.concatenate([words, zero])[index]  # index -1: null
     spans, items, cuts = [*spans, empty], [*items, []], [*cuts, empty]
     return words, [spans[i] for i in index], [items[i] for i in index], [cuts[i] for i in index]
 
 
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str, window: int, most: int) -> list[Phrases]:
-    """The benchmark's windows in blocks of about ``most``; items stay whole. The benchmark is the query set,
-    whose size does not follow the corpus; it is read block by block."""
-    words = F.greatest(F.size(F.split(F.coalesce(F.col(text_col), F.lit("")), "[^0-9A-Za-z\\x80-\\x{10FFFF}]+")), F.lit(1))
-    total = benchmark.agg(F.sum(words)).first()[0] or 0
-    n = -(-int(total) // most) or 1
-    part = F.pmod(F.xxhash64(id_col), F.lit(n))
-    chosen = benchmark.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    if n == 1:
-        return [Phrases([(r["i"], r["t"]) for r in chosen.collect()], window)]
-    return [Phrases([(r["i"], r["t"]) for r in chosen.filter(F.pmod(F.xxhash64("i"), F.lit(n)) == k).collect()], window) for k in range(n)]
+def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, most: int) -> tuple[DataFrame, int]:
+    """(i, t, block) of the benchmark's items, and the number of blocks.
+
+    Where there are several, items are cut into pieces of at most ``most`` windows, which overlap by a word less than
+    a window, and pieces are dealt in the order of a hash until a block is full.
+    """
+    items = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).filter("t IS NOT NULL")
+    words = F.regexp_extract_all(F.translate("t", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit("[0-9a-z\\x{80}-\\x{10FFFF}]+"), 0)
+    counted = items.withColumn("w", F.greatest(F.size(words) - (window - 1), F.lit(1)))
+    # one row: the number of windows
+    total = int(counted.agg(F.coalesce(F.sum("w"), F.lit(0))).first()[0])
+    if total <= most:
+        return items.withColumn("block", F.lit(0).cast("long")), 1
+    cut = counted.select("i", words.alias("words"), F.explode(F.sequence(F.lit(0), F.col("w") - 1, F.lit(most))).alias("at"))
+    pieces = cut.select("i", "at", F.array_join(F.slice("words", F.col("at") + 1, F.lit(most + window - 1)), " ").alias("t"), F.greatest(F.least(F.size("words") - F.col("at") - (window - 1), F.lit(most)), F.lit(1)).alias("n"))
+    pieces = pieces.withColumn("o", F.xxhash64("i", "at", "t")).withColumn("r", F.monotonically_increasing_id())
+    placed = running_sums(dealt_ranges(pieces, "o", "r"), (), ("o", "r"), {"before": F.col("n")})
+    return written(placed.select("i", "t", F.expr(f"before DIV {most}").alias("block")), "benchmark-blocks"), -(-total // most)
 
 
 FOUND = "n_words long, spans array<array<long>>, items array<{item}>, cuts array<array<long>>"
 
 
+def merged(parts: list[list]) -> list[list[int]]:
+    """Spans of several lists, overlapping and touching ones as one."""
+    out: list[list[int]] = []
+    for a, b in sorted((a, b) for p in parts for a, b in p):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """The columns ``keep`` of every row of ``docs`` with n_words, spans (merged word ranges that are hit),
     items (sorted) and cuts (the spans as byte ranges of the text)."""
     spark = docs.sparkSession
     small_batches(spark)
-    shared = [spark.sparkContext.broadcast(p) for p in blocks_of(benchmark, item_id, item_text, window, block)]
-    chosen = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"))
+    items, blocks = benchmark_blocks(benchmark, item_id, item_text, window, block)
     item_type = benchmark.schema[item_id].dataType.simpleString()
-    kept = docs.select(*keep).schema
+    phrases = lambda rows: Phrases([(r["i"], r["t"]) for r in rows.select("i", "t").collect()], window)
+    chosen = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"))
+    if blocks == 1:
+        return scan_block(chosen, spark.sparkContext.broadcast(phrases(items)), item_type)
+    # names of our own, and a number for each row, by which the blocks' hits meet again
+    own = [f"__{i}" for i in range(len(keep))]
+    numbered = written(chosen.toDF(*own, "__text").withColumn("__row", F.monotonically_increasing_id()), "scanned-texts")
+    hits = None
+    for k in range(blocks):
+        shared = spark.sparkContext.broadcast(phrases(items.filter(F.col("block") == k)))
+        found = scan_block(numbered.select("__row", "__text"), shared, item_type)
+        found = written(found.filter((F.size("spans") > 0) | F.lit(k == 0)), "block-hits")
+        shared.destroy()
+        hits = found if hits is None else hits.unionByName(found)
+    per = hits.groupBy("__row").agg(F.max("n_words").alias("n_words"), *[F.collect_list(c).alias(c) for c in ("spans", "items", "cuts")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, n, *lists = b.columns
+            spans, names, cuts = (x.to_pylist() for x in lists)
+            values = [[merged(x) for x in spans], [in_order({i for x in found for i in x}) for found in names], [merged(x) for x in cuts]]
+            yield pa.RecordBatch.from_arrays([row, n, *[pa.array(v, x.type.value_type) for v, x in zip(values, lists, strict=True)]], names=b.schema.names)
+
+    joined = per.mapInArrow(run, f"__row long, {FOUND.format(item=item_type)}")
+    return numbered.drop("__text").join(joined, "__row").drop("__row").toDF(*keep, "n_words", "spans", "items", "cuts")
+
+
+def scan_block(chosen: DataFrame, shared, item_type: str) -> DataFrame:
+    """The columns of ``chosen``, but for its last one, ``__text``, with what a broadcast block of phrases finds there."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
+    spark = chosen.sparkSession
+    kept = chosen.drop("__text").schema
     schema = StructType([*kept.fields, *spark.createDataFrame([], FOUND.format(item=item_type)).schema.fields])
     arrow = to_arrow_schema(schema)
 
-    def merged(parts: list[np.ndarray]) -> np.ndarray:
-        spans = np.concatenate(parts)
-        spans = spans[np.argsort(spans[:, 0], kind="stable")]
-        if not len(spans):
-            return spans
-        end = np.maximum.accumulate(spans[:, 1])
-        new = np.concatenate([[True], spans[1:, 0] > end[:-1]])
-        return np.stack([spans[new, 0], end[np.concatenate([new[1:], [True]])]], axis=1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
@@ -305,12 +353,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", keep: tu
             column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
             _, off = column_bytes(column)
             for lo, hi in row_blocks(off, SHARD_BYTES):
-                found = [scan_shard(p.value, column.slice(lo, hi - lo)) for p in shared]
-                rows = range(hi - lo)
-                spans = [merged([f[1][i] for f in found]) for i in rows] if len(found) > 1 else found[0][1]
-                cuts = [merged([f[3][i] for f in found]) for i in rows] if len(found) > 1 else found[0][3]
-                items = [sorted({x for f in found for x in f[2][i]}) for i in rows] if len(found) > 1 else found[0][2]
-                values = [pa.array(found[0][0], pa.int64()), pa.array([x.tolist() for x in spans], arrow.field("spans").type), pa.array(items, arrow.field("items").type), pa.array([x.tolist() for x in cuts], arrow.field("cuts").type)]
+                words, spans, items, cuts = scan_shard(shared.value, column.slice(lo, hi - lo))
+                values = [pa.array(words, pa.int64()), pa.array([x.tolist() for x in spans], arrow.field("spans").type), pa.array(items, arrow.field("items").type), pa.array([x.tolist() for x in cuts], arrow.field("cuts").type)]
                 for b in pa.Table.from_arrays([*[whole.column(k).slice(lo, hi - lo).cast(arrow.field(k).type) for k in range(len(kept))], *values], schema=arrow).combine_chunks().to_batches():
                     yield b
 

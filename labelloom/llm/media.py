@@ -257,9 +257,9 @@ def op10_interleaved_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every element of every page, in order; the media store of the documents resolves what it knows."""
-    store = read_features(store_texts(table(spark, sf_dir, "documents")))
-    return resolve(sequences(table(spark, sf_dir, "pages")), store).select("page_id", "position", "kind", "text", "source", "alt", "caption", "n_bytes", "media_sha256")
+    """Every element of every page, in order. Pages here hold no references by digest; a table whose pages do goes
+    through ``resolve`` with the features of its store."""
+    return sequences(table(spark, sf_dir, "pages")).select("page_id", "position", "kind", "text", "source", "alt", "caption", "digest")
 
 
 QUERIES = {"op10_interleaved_media": op10_interleaved_media, "page_sequences": page_sequences}

@@ -19,8 +19,10 @@ band's own leader is a centre too. So two members of a band always meet in some
 need no check, and no other pair is left out.
 
 Cases: null text, or text without words, has an empty set and is linked with nothing; a text of fewer words
-than a shingle has one shingle, its whole sequence; rows that share an id count as one document; rows with a
-null id stay alone (component null, kept); an empty table gives no rows; other columns are ignored.
+than a shingle has one shingle, its whole sequence; rows that share an id are one document, which is linked with
+whatever any of its texts is linked with (each distinct set of such an id is a node of its own, and the nodes of an
+id are tied); rows with a null id stay alone (component null, kept); an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -35,6 +37,7 @@ from pyspark.sql import functions as F
 
 from labelloom.llm.text import byte_class, column_bytes, lower_table, mix, row_blocks, shingle_hashes, span_hashes, word_spans
 from labelloom.operators.components import connected_components
+from labelloom.operators.ranks import dealt_ranges, running_sums
 from labelloom.session import checkpointed, small_batches, table, written
 
 REGISTERS, ROWS = 128, 4
@@ -48,7 +51,7 @@ FAN = 64
 FEW_IDS = 1_000_000
 WORD_BYTES = ~byte_class(r"[\x20\x09-\x0D]")
 LOWER = lower_table()
-SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, registers binary"
+SIGNATURE = "doc_id long, text_key long, n_shingles long, set_a long, set_b long, registers binary"
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -84,7 +87,7 @@ def registers_of(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarr
 
 
 def signatures(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``SIGNATURE`` per row of ``docs``; (set_a, set_b, n_shingles) stands for the set."""
+    """One row of ``SIGNATURE`` per row of ``docs``; (set_a, set_b, n_shingles) stands for the set, text_key for the text."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,9 +100,9 @@ def signatures(docs: DataFrame, k: int, id_col: str = "doc_id", text_col: str =
                 y.append(int(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)) if len(s) else 0)
                 regs.append(registers_of(s, a, b).tobytes() if len(s) else None)
             digest = [pa.array(np.array(v, np.uint64).astype(np.int64), pa.int64()) for v in (x, y)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), *digest, pa.array(regs, pa.binary())], names=["doc_id", "n_shingles", "set_a", "set_b", "registers"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), *digest, pa.array(regs, pa.binary())], names=["doc_id", "text_key", "n_shingles", "set_a", "set_b", "registers"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, SIGNATURE)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col), F.xxhash64(text_col).alias("text_key")).mapInArrow(run, SIGNATURE)
 
 
 def bands(reps: DataFrame) -> DataFrame:
@@ -240,11 +243,37 @@ def nearby_labels(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     sig = written(signatures(docs, k, id_col, text_col), "signatures")
+    one_set = F.struct("n_shingles", "set_a", "set_b")
+    several = sig.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(one_set).alias("low"), F.max(one_set).alias("high")).filter("low <> high")
+    if several.isEmpty():
+        return classes(sig, docs, k, id_col, text_col)
+    return tied_classes(sig, docs, k, id_col, text_col)
+
+
+def tied_classes(sig: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """``near_duplicates`` where ids have several sets: the sets of all ids are numbered in the order of ids, numbers
+    take the place of ids, and the numbers of an id are tied."""
+    key = ("doc_id", "n_shingles", "set_a", "set_b")
+    sets = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*key).agg(F.min("text_key").alias("text_key"), F.min_by("registers", "text_key").alias("registers"))
+    nodes = written(running_sums(dealt_ranges(sets, *key), (), key, {"node": F.lit(1).cast("long")}).drop("__part"), "document-sets")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_key"))
+    texts = written(texts.join(nodes.select("doc_id", "text_key", "node"), ["doc_id", "text_key"]).select("node", "text").dropDuplicates(["node"]), "set-texts")
+    first = nodes.groupBy("doc_id").agg(F.min("node").alias("a"))
+    ties = written(nodes.join(first, "doc_id").filter("node <> a").select("a", F.col("node").alias("b")), "ties")
+    found = classes(nodes.select(F.col("node").alias("doc_id"), "text_key", "n_shingles", "set_a", "set_b", "registers"), texts, k, "node", "text", ties)
+    named = nodes.select("node", "doc_id")
+    component = found.select(F.col("doc_id").alias("node"), F.col("component_id").alias("top"))
+    component = component.join(named, "node").join(named.toDF("top", "component_id"), "top").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
+    out = sig.select("doc_id", "n_shingles").join(component, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def classes(sig: DataFrame, docs: DataFrame, k: int, id_col: str, text_col: str, ties: DataFrame | None = None) -> DataFrame:
+    """``near_duplicates`` from signatures, where every id has one set. ties: (a, b) of ids that belong together."""
     linked = sig.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = linked.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"), F.min_by("registers", "doc_id").alias("registers"))
     sets = written(sets, "sets")
-    # ids that rows of different sets share tie those sets together
-    reps = written(sets.select("rep", F.col("n_shingles").alias("n"), "registers").dropDuplicates(["rep"]), "representatives")
+    reps = sets.select("rep", F.col("n_shingles").alias("n"), "registers")
     every = bands(reps)
     sizes = every.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     shared = written(every.join(sizes, "bucket"), "shared-bands")
@@ -276,7 +305,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_co
     stars = written(stars.filter("a <> b").distinct(), "stars")
     second = by_differences(stars, docs, component, k, id_col, text_col)
 
-    component = checkpointed(connected_components(first.union(second)))
+    links = first.union(second)
+    if ties is not None:
+        of_set = linked.join(sets.drop("registers"), ["set_a", "set_b", "n_shingles"]).select("doc_id", "rep")
+        links = links.union(ties.join(of_set.toDF("a", "rep_a"), "a").join(of_set.toDF("b", "rep_b"), "b").select("rep_a", "rep_b"))
+    component = checkpointed(connected_components(links))
     by_set = sets.join(component.withColumnRenamed("id", "rep"), "rep", "left").select("set_a", "set_b", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     out = sig.join(by_set, ["set_a", "set_b", "n_shingles"], "left")
     component_id = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
@@ -286,8 +319,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_co
 
 def keep_one(docs: DataFrame, k: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each near-duplicate class: the one with the smallest id."""
-    dropped = near_duplicates(docs, k, id_col, text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("__dropped"))
-    return docs.join(dropped, docs[id_col].cast("long") == F.col("__dropped"), "left_anti")
+    # names of our own: the columns of docs may be called anything
+    own = [f"__{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*own)
+    doc_id, text = own[docs.columns.index(id_col)], own[docs.columns.index(text_col)]
+    dropped = near_duplicates(rows, k, doc_id, text).filter(~F.col("kept")).select(F.col("doc_id").alias("dropped"))
+    return rows.join(dropped, F.col(doc_id).cast("long") == F.col("dropped"), "left_anti").toDF(*docs.columns)
 
 
 def op1_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:

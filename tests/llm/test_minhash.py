@@ -29,6 +29,23 @@ def brute(docs, k):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
+def brute_rows(docs, k):
+    """Rows (id, text): an id is linked with what any of its texts is linked with."""
+    sets = [brute([(0, t)], k)[0][0] for _, t in docs]
+    every = brute([((i, j), t) for j, (i, t) in enumerate(docs)], k)
+    parent = {i: i for i, _ in docs}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for (i, _), (_, (other, _)) in every.items():
+        x, y = find(i), find(other)
+        parent[max(x, y)] = min(x, y)
+    return sorted((i, n, find(i), find(i) == i) for (i, _), n in zip(docs, sets, strict=True))
+
+
 def near_copies(rng, n, size, edits):
     base = [f"w{rng.randrange(500)}" for _ in range(size)]
     out = []
@@ -96,3 +113,35 @@ def test_very_long_texts(spark):
     docs = [(0, " ".join(words)), (1, " ".join(words[:110_000])), (2, " ".join(words[:40_000])), (3, "x" * 1_000_000)]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 4).collect()}
     assert got == brute(docs, 4)
+
+
+BASE, OTHER = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+REPEATED = [
+    [(3, BASE), (3, OTHER), (4, BASE + " q"), (6, OTHER + " q")],
+    [(1, BASE), (5, BASE), (5, OTHER), (9, OTHER)],
+    [(1, BASE), (5, BASE), (5, ""), (5, None), (7, "x y"), (7, OTHER), (8, "x y"), (9, OTHER + " z"), (2, "alone"), (2, "lone")],
+    [(2, BASE), (2, BASE), (1, BASE + " q")],
+]
+
+
+@pytest.mark.parametrize("docs", REPEATED)
+def test_repeated_ids_lose_no_link(spark, docs):
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs], SCHEMA)
+    assert sorted(tuple(r) for r in minhash.near_duplicates(df, 4).collect()) == brute_rows(docs, 4)
+
+
+def test_repeated_ids_among_many(spark):
+    rng = random.Random(9)
+    texts = near_copies(rng, 40, 60, 6) + near_copies(rng, 20, 50, 5) + near_copies(rng, 20, 30, 3)
+    docs = [(rng.randrange(60), t) for t in texts] + [(100 + i, " ".join(f"u{rng.randrange(10**6)}" for _ in range(20))) for i in range(20)] + [(-5, texts[0]), (2**63 - 1, texts[-1])]
+    df = spark.createDataFrame([(i, t, "x") for i, t in docs] + [(None, texts[0], "x")], SCHEMA).repartition(3)
+    got = sorted(tuple(r) for r in minhash.near_duplicates(df, 4).filter("doc_id IS NOT NULL").collect())
+    assert got == brute_rows(docs, 4)
+
+
+def test_one_of_each_class_stays_whatever_columns_are_called(spark):
+    docs = [(1, BASE), (2, BASE + " q"), (3, OTHER), (None, BASE), (4, None)]
+    df = spark.createDataFrame([(i, t, 7, "d", 1) for i, t in docs], "doc_id long, text string, __dropped long, rep string, __0 int")
+    kept = minhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(1, BASE), (3, OTHER), (None, BASE), (4, None)], key=repr)

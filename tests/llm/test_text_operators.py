@@ -241,6 +241,35 @@ def test_decontamination(spark, block):
     assert decontaminate.scan(docs(spark, []), bench).count() == 0
 
 
+@pytest.mark.parametrize("block", [500_000, 7])
+def test_benchmark_of_many_blocks_and_odd_items(spark, block):
+    import random
+
+    rng = random.Random(11)
+    pool = [f"W{i}" for i in range(40)] + ["é", "Ü9"]
+    phrase = lambda n: " ".join(rng.choice(pool) for _ in range(n))
+    # ids that are null or shared, one item of many blocks
+    items = [(None, "one TWO three four"), (None, "five six"), (2, phrase(150)), (3, phrase(12)), (3, phrase(14)), (4, phrase(10)), (5, None), (6, ";")]
+    names = {t: i for i, t in items if t}
+    texts = ["one two three four five six", items[2][1], None, "", phrase(30) + " " + items[3][1]] + [phrase(20) + ", " + rng.choice(list(names)) + "\n" + phrase(4) for _ in range(30)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.scan(docs(spark, texts), bench, block=block)
+    brute = brute_hits(texts, [(-1 if i is None else i, t) for i, t in items])
+    rows = {r.doc_id: (r.n_words, sum(b - a for a, b in r.spans), sorted(-1 if i is None else i for i in r["items"])) for r in got.collect()}
+    assert rows == brute and rows[0][2] == [-1]
+    assert all(i is not None or k == len(r["items"]) - 1 for r in got.collect() for k, i in enumerate(r["items"]))
+    blocks, n = decontaminate.benchmark_blocks(bench, "item_id", "text", 10, block)
+    sizes = {}
+    for r in blocks.collect():
+        sizes[r.block] = sizes.get(r.block, 0) + len(decontaminate.Phrases([(0, r.t)]))
+    assert (n == 1) == (block > 1000) and max(sizes.values()) <= max(2 * block, 14) and len(sizes) <= n
+    cut = {r.doc_id: r.text for r in decontaminate.remove_spans(docs(spark, texts), bench, block=block).collect()}
+    assert cut == {r.doc_id: r.text for r in decontaminate.remove_spans(docs(spark, texts), bench).collect()}
+    if block < 1000:
+        repeated = docs(spark, texts[:6]).union(docs(spark, texts[:6]))
+        assert decontaminate.scan(repeated, bench, block=block).count() == 12
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_fm_index(seed):
     rng = np.random.default_rng(seed)
