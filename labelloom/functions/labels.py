@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from labelloom.schemas import CLASS_ALIASES, CLASS_MAP, TOLERANCE
+from labelloom.schemas import CLASS_ALIASES, TOLERANCE
+from labelloom.session import broadcast_if_small
 
 # white space as text splitting in Python sees it; the grammar of a float there, ASCII digits only
 SPACES = "[\\s\\x1c-\\x1f\\x85\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
@@ -57,7 +58,7 @@ def parse_labels(lines: DataFrame, classes: DataFrame, tolerance: float = TOLERA
 
     A valid line has a class and a box; a wrong one an error_code; a blank line and one of a class outside
     ``classes`` neither. Parsing is plain column expressions over each line; ``classes`` (the sources' class
-    lists) is broadcast.
+    lists) is broadcast if it is small.
     """
     kept = lines.columns
     text = F.regexp_replace("line", f"^{SPACES}|{SPACES}$", "")
@@ -65,7 +66,7 @@ def parse_labels(lines: DataFrame, classes: DataFrame, tolerance: float = TOLERA
     df = df.withColumn("__v", F.transform("__t", lambda t: F.when(t.rlike(NUMBER), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))))
     df = df.withColumn("__raw", F.get("__v", F.lit(0)))
     df = df.withColumn("__int", F.coalesce(finite(F.col("__raw")) & (F.col("__raw") == F.floor("__raw").cast("double")), F.lit(False)))
-    known = F.broadcast(classes.select(F.col("source").alias("__s"), F.col("old_id").alias("__o"), F.col("class_id").alias("__c")))
+    known = broadcast_if_small(classes.select(F.col("source").alias("__s"), F.col("old_id").alias("__o"), F.col("class_id").alias("__c")))
     df = df.join(known, F.col("source").eqNullSafe(F.col("__s")) & (F.when(F.col("__int"), F.col("__raw")) == F.col("__o")), "left")
     df = df.withColumn("__co", F.slice("__v", F.lit(2), F.greatest(F.size("__v") - 1, F.lit(0))))
     df = df.withColumn("__cl", F.transform("__co", lambda v: F.least(F.lit(1.0), F.greatest(F.lit(0.0), v))))
@@ -131,6 +132,3 @@ def label_text(class_id: Column, x: Column, y: Column, w: Column, h: Column) ->
     """A clean label line: class and box to six decimals."""
     return F.format_string("%d %.6f %.6f %.6f %.6f", class_id, x, y, w, h)
 
-
-def class_map_schema() -> str:
-    return CLASS_MAP

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labelloom.functions.boxes import CORNERS, area
@@ -66,13 +67,12 @@ def summarise_images(images: DataFrame, pred: DataFrame, classes: tuple[int, int
 def box_table(pred: DataFrame, sizes: DataFrame) -> DataFrame:
     """Display rows of detections: number in the image, names, confidence, corners, share of the image in percent.
 
-    sizes: image_id, width, height. The number counts detections of the image by index, as a self-join-free
-    rank would, by position in the image's sorted list of indices.
+    sizes: image_id, width, height. The number counts detections of the image by index.
     """
-    order = pred.groupBy("image_id").agg(F.array_sort(F.collect_list("pred_idx")).alias("__all"))
-    rows = pred.join(order, "image_id").join(sizes.select("image_id", "width", "height"), "image_id", "left")
+    numbered = pred.withColumn("__number", F.row_number().over(W.partitionBy("image_id").orderBy("pred_idx")))
+    rows = numbered.join(sizes.select("image_id", "width", "height"), "image_id", "left")
     share = area(*[F.col(c) for c in CORNERS]) / (F.col("width") * F.col("height")) * 100
     return rows.select(
-        "image_id", "pred_idx", F.array_position("__all", F.col("pred_idx")).cast("int").alias("number"), "class_id", named(F.col("class_id")).alias("local_name"),
+        "image_id", "pred_idx", F.col("__number").alias("number"), "class_id", named(F.col("class_id")).alias("local_name"),
         F.format_string("%.2f%%", F.col("confidence") * 100).alias("confidence_text"), F.format_string("[%.0f, %.0f, %.0f, %.0f]", *CORNERS).alias("corners"), share.alias("area_pct"),
     )

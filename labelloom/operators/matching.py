@@ -58,6 +58,7 @@ def overlapping(left: DataFrame, right: DataFrame, grid: DataFrame, keys: tuple[
     if grid.isEmpty():
         pairs = left.join(right, list(keys)).filter(overlap)
     else:
+        grid = written(grid, "tile-grid")
         names = ("x0", "y0", "tile_w", "tile_h", "nx", "ny")
         pairs = in_tiles(left, grid, keys, "g_").join(in_tiles(right, grid, keys, "p_").drop(*names), [*keys, "tile"]).filter(overlap)
         first = tile_of(F.greatest("g_x1", "p_x1"), "x0", "tile_w", "nx") * F.col("ny") + tile_of(F.greatest("g_y1", "p_y1"), "y0", "tile_h", "ny")
@@ -72,7 +73,7 @@ def iou_pairs(gt: DataFrame, pred: DataFrame, crowded: int = CROWDED) -> DataFra
     """
     g = gt.select("image_id", "gt_idx", F.col("class_id").alias("gt_class"), *[F.col(c).alias(f"g_{c}") for c in CORNERS])
     p = pred.select("image_id", "pred_idx", F.col("class_id").alias("pred_class"), *[F.col(c).alias(f"p_{c}") for c in CORNERS])
-    grid = written(tile_grid(gt.select("image_id", *CORNERS).unionAll(pred.select("image_id", *CORNERS)), ("image_id",), crowded), "tile-grid")
+    grid = tile_grid(gt.select("image_id", *CORNERS).unionAll(pred.select("image_id", *CORNERS)), ("image_id",), crowded)
     return overlapping(g, p, grid, ("image_id",)).select("image_id", "gt_idx", "pred_idx", "gt_class", "pred_class", "iou")
 
 
@@ -91,9 +92,10 @@ def ranked_candidates(gt: DataFrame, pred: DataFrame, crowded: int = CROWDED) ->
 
 def split_crowded(rows: DataFrame, keys: tuple[str, ...], crowded: int) -> tuple[DataFrame, DataFrame | None]:
     """(rows of groups of at most ``crowded`` rows, the others or None)."""
-    many = written(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowded).select(*keys), "crowded")
+    many = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowded).select(*keys)
     if many.isEmpty():
         return rows, None
+    many = written(many, "crowded")
     return rows.join(many, list(keys), "left_anti"), rows.join(many, list(keys), "left_semi")
 
 
@@ -220,7 +222,7 @@ def nms(pred: DataFrame, threshold: float = 0.45, per_class: bool = True, crowde
 
 def suppressed_in_rounds(boxes: DataFrame, keys: tuple[str, ...], threshold: float, crowded: int = CROWDED) -> DataFrame:
     """(image_id, pred_idx) of the boxes that go."""
-    grid = written(tile_grid(boxes, keys, crowded), "tile-grid")
+    grid = tile_grid(boxes, keys, crowded)
     side = lambda x, first: boxes.select(*keys, F.struct((-F.col("confidence")).alias("order"), "pred_idx").alias(first), *[F.col(c).alias(f"{x}_{c}") for c in CORNERS])
     pairs = overlapping(side("g", "first"), side("p", "second"), grid, keys).filter((F.col("first") < F.col("second")) & (F.col("iou") > threshold))
     edges = written(pairs.select("image_id", F.col("first.pred_idx").alias("first"), F.col("second.pred_idx").alias("second")), "clashes")

@@ -64,7 +64,8 @@ def average_precision(gt: DataFrame, pred: DataFrame, thresholds: tuple[float, .
     """
     n = range(len(thresholds))
     key, order = ("class_id",), ("order", "image_id", "pred_idx")
-    rows = (hits(gt, pred, thresholds) if found is None else found).select("class_id", (-F.col("confidence")).alias("order"), "image_id", "pred_idx", *[F.col("hits")[k].alias(f"hit{k}") for k in n])
+    found = written(hits(gt, pred, thresholds), "hits") if found is None else found
+    rows = found.select("class_id", (-F.col("confidence")).alias("order"), "image_id", "pred_idx", *[F.col("hits")[k].alias(f"hit{k}") for k in n])
     rows = running_sums(dealt_ranges(rows, *key, *order), key, order, {"seen": F.lit(1), **{f"hits{k}": F.col(f"hit{k}") for k in n}})
     rows = written(rows.withColumn("seen", F.col("seen") + 1).withColumns({f"hits{k}": F.col(f"hits{k}") + F.col(f"hit{k}") for k in n}), "running-hits")
     rows = later_maxima(rows, key, order, {f"envelope{k}": F.col(f"hits{k}") / F.col("seen") for k in n})

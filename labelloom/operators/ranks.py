@@ -29,7 +29,8 @@ def dense_positions(df: DataFrame, order_col: str, name: str) -> DataFrame:
 def dealt_ranges(df: DataFrame, *order: str) -> DataFrame:
     """``df`` range-partitioned by ``order`` and written, with the number of the range in ``__part``.
 
-    Equal values of ``order`` share a range: end it with a column that tells rows apart where many may be equal.
+    Equal values of ``order`` share a range: end it with a column that tells rows apart where many may be equal. The
+    ranges come from a sample, for which ``df`` is computed once more: write it before if that is dear.
     """
     return written(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranges")
 

@@ -26,7 +26,7 @@ from labelloom.session import written
 
 BITS = tuple(range(64))
 #: Pairs that one value may make before its hashes go to the next level.
-CROWDED = 4_000_000
+CROWDED = 100_000_000
 LEVELS = 4
 #: Values that one level lists a hash under at most.
 LISTED = 20_000
@@ -115,12 +115,12 @@ def listings(nodes: DataFrame, distance: int, crowded: int = CROWDED) -> Iterato
         if depth < LEVELS - 1:
             index = written(index, "hamming-index")
             sides = index.groupBy("way", "path").agg(F.count_if(F.col("side") == 0).alias("l"), F.count_if(F.col("side") == 1).alias("r"))
-            hot = written(sides.filter(F.col("l").cast("double") * F.col("r") > crowded).select("way", "path"), "hamming-crowded")
+            hot = sides.filter(F.col("l").cast("double") * F.col("r") > crowded).select("way", "path")
             # at most as many as the level has entries
             found = [r["way"] for r in hot.select("way").distinct().collect()]
             ways = {w: level for w in found if (level := below[w][0].below(*below[w][1:], crowded)) is not None}
         if ways:
-            going = hot.filter(F.col("way").isin(list(ways)))
+            going = written(hot.filter(F.col("way").isin(list(ways))), "hamming-crowded")
             rows, index = index.join(going, ["way", "path"], "left_semi"), index.join(going, ["way", "path"], "left_anti")
         yield index, spark.createDataFrame(checks, CHECKS)
         if not ways:

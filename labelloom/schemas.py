@@ -25,6 +25,7 @@ LABEL_LINES = "image_id long, source string, line_no int, line string"
 CLASS_MAP = "source string, old_id double, class_id int"
 TRUTH = "image_id long, gt_idx int, class_id int, x1 double, y1 double, x2 double, y2 double"
 DETECTIONS = "image_id long, pred_idx int, class_id int, confidence double, x1 double, y1 double, x2 double, y2 double"
+# The columns of a manifest.
 MANIFEST = (
     "image_id string, source_image_id string, split string, source string, old_split string, group_id string, original_key string, "
     "output_image string, source_image string, sha256 string, phash string, width int, height int, annotation_status string, "

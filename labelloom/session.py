@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,6 +41,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def broadcast_if_small(df: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """``df``, to be broadcast if it has at most ``most`` rows (counted now); else Spark chooses how to join it."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,18 +1,12 @@
-"""Sources: archives, directory trees, label files, class lists, manifests."""
+"""Sources: directory trees, label files, class lists, manifests. Archives: ``archives``."""
 
 from __future__ import annotations
 
-import hashlib
-import io
-import posixpath
-import zipfile
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import Row
 
-from labelloom.functions.labels import split_lines
+from labelloom.functions.labels import NUMBER, SPACES, split_lines
 from labelloom.schemas import IMAGE_SUFFIXES, MANIFEST, SPLIT_DIRS
 
 
@@ -35,39 +29,6 @@ def binary_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(pairs, "path string, content binary")
 
 
-def unsafe(member: str) -> bool:
-    """Whether extracting ``member`` would leave the target directory."""
-    name = member.replace("\\", "/")
-    return name.startswith("/") or ":" in name.split("/")[0] or posixpath.normpath(name).split("/")[0] == ".."
-
-
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """(source, archive_sha256, member, content, error): members of every ZIP archive under ``path``.
-
-    An archive that is no ZIP, or has a member that would escape, is refused as a whole: one row with
-    ``error`` and no member. An archive is read by one task; large collections come as directories.
-    """
-
-    def members(kv: tuple[str, bytes]) -> Iterator[tuple]:
-        name = posixpath.splitext(posixpath.basename(kv[0]))[0]
-        sha = hashlib.sha256(kv[1]).hexdigest()
-        try:
-            archive = zipfile.ZipFile(io.BytesIO(kv[1]))
-        except zipfile.BadZipFile:
-            yield name, sha, None, None, "not_a_zip"
-            return
-        infos = [i for i in archive.infolist() if not i.is_dir()]
-        if any(unsafe(i.filename) for i in infos):
-            yield name, sha, None, None, "unsafe_member"
-            return
-        for i in infos:
-            yield name, sha, i.filename, bytearray(archive.read(i)), None
-
-    rows = spark.sparkContext.binaryFiles(path).flatMap(members)
-    df = spark.createDataFrame(rows, "source string, archive_sha256 string, member string, content binary, error string")
-    return df.withColumn("source", source_name(F.col("source")))
-
-
 def dataset_roots(paths: DataFrame, col: str = "path") -> DataFrame:
     """(source, root) of directories that hold data.yaml, train/images, valid or val/images and test/images.
 
@@ -182,6 +143,34 @@ def read_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path)
 
 
+def clean_boxes(lines: DataFrame, keep: tuple[str, ...] = ("image_id",)) -> DataFrame:
+    """(keep, position, class_id, x, y, w, h, error) of the lines (``line_no``, ``line``) of clean label files.
+
+    Strict: a line that isn't blank has exactly five numbers, the first an integer; any other one is a row with
+    ``error`` and nulls. ``assert_clean`` raises on the first of these.
+    """
+    text = F.regexp_replace("line", f"^{SPACES}|{SPACES}$", "")
+    rows = lines.withColumn("__t", F.split(text, SPACES)).filter(text != "")
+    numbers = F.transform("__t", lambda t: F.when(t.rlike(NUMBER), F.replace(t, F.lit("_"), F.lit("")).try_cast("double")))
+    rows = rows.withColumn("__v", numbers)
+    first = F.get("__v", F.lit(0))
+    error = (
+        F.when(F.size("__t") != 5, "not_five_numbers")
+        .when(F.exists("__v", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))), "not_a_number")
+        .when(first != F.floor(first).cast("double"), "class_not_integer")
+    )
+    rows = rows.withColumn("error", error)
+    value = lambda i: F.when(F.col("error").isNull(), F.get("__v", F.lit(i)))
+    return rows.select(*keep, F.col("line_no").alias("position"), value(0).try_cast("int").alias("class_id"), *[value(i + 1).alias(c) for i, c in enumerate(("x", "y", "w", "h"))], "error")
+
+
+def assert_clean(boxes: DataFrame, keep: tuple[str, ...] = ("image_id",)) -> None:
+    """Raise on the first row of ``clean_boxes`` with an error."""
+    first = boxes.filter("error IS NOT NULL").orderBy(*keep, "position").limit(1).collect()
+    if first:
+        raise ValueError(f"{'/'.join(str(first[0][k]) for k in keep)}:{first[0]['position']}: {first[0]['error']}")
+
+
 def pixel_truth(boxes: DataFrame, sizes: DataFrame, id_col: str = "image_id") -> DataFrame:
     """Clean label boxes as pixel corners: image_id, gt_idx, class_id, corners, confidence 1.
 

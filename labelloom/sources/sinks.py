@@ -1,7 +1,7 @@
 """Sinks: manifest, curated images and labels, reports, conflicts, errors, metrics.
 
-All writers refuse an existing target unless ``overwrite`` is set; Spark's committer publishes a finished
-write or nothing.
+All writers refuse an existing target unless ``overwrite`` is set. Overwriting deletes first: a dataset that is in use
+is replaced by ``publish``, which keeps the old version until the new one is checked.
 """
 
 from __future__ import annotations
@@ -50,7 +50,14 @@ def report(summary: DataFrame, collection: DataFrame) -> DataFrame:
     return collection.select(F.struct(*collection.columns).alias("collection")).crossJoin(F.broadcast(splits))
 
 
+def conflict_rows(conflicts: DataFrame, paths: DataFrame, hash_col: str = "sha256", order_col: str = "ord", path_col: str = "path") -> DataFrame:
+    """(sha256, reason, ord, path): the members of each conflict, a row each, however many there are."""
+    rows = paths.join(conflicts.select(hash_col), hash_col, "left_semi")
+    return rows.select(hash_col, F.lit("label_conflict").alias("reason"), order_col, path_col)
+
+
 def conflict_list(conflicts: DataFrame, paths: DataFrame, hash_col: str = "sha256", order_col: str = "ord", path_col: str = "path") -> DataFrame:
-    """(sha256, reason, paths): members of each conflict in scan order, joined by "; "."""
+    """(sha256, reason, paths): members of each conflict in scan order, joined by "; ", for reports to be read; conflicts
+    of very many members are better kept as ``conflict_rows``."""
     rows = paths.join(conflicts.select(hash_col), hash_col, "left_semi").groupBy(hash_col).agg(F.array_sort(F.collect_list(F.struct(order_col, path_col))).alias("m"))
     return rows.select(hash_col, F.lit("label_conflict").alias("reason"), F.array_join(F.transform("m", lambda r: r[path_col]), "; ").alias("paths"))

@@ -1,4 +1,5 @@
-import io
+import hashlib
+import re
 import struct
 import zipfile
 import zlib
@@ -9,8 +10,9 @@ from pyspark.sql import functions as F
 
 from labelloom.functions import images
 from labelloom.functions.labels import class_map
+from labelloom.operators.splits import split_summary
 from labelloom.plans.curation import curate, diagnose, evaluate
-from labelloom.sources import files, sinks
+from labelloom.sources import archives, files, publish, sinks
 from labelloom.streaming.screening import screened_stream
 
 
@@ -145,7 +147,7 @@ def test_archives(spark, tmp_path):
     archive(tmp_path / "My Set.zip", {"d/x.txt": b"1", "d/empty.txt": b""})
     archive(tmp_path / "bad.zip", {"ok.txt": b"1", "../evil.txt": b"2"})
     (tmp_path / "no.zip").write_bytes(b"nothing")
-    rows = files.read_archives(spark, f"file://{tmp_path}").collect()
+    rows = archives.read_archives(spark, f"file://{tmp_path}").collect()
     assert {(r.source, r.member, r.error) for r in rows} == {("my_set", "d/x.txt", None), ("my_set", "d/empty.txt", None), ("bad", None, "unsafe_member"), ("no", None, "not_a_zip")}
     with pytest.raises(ValueError, match="more than once"):
         files.check_sources(spark.createDataFrame([("a",), ("a",)], "source string"))
@@ -153,6 +155,75 @@ def test_archives(spark, tmp_path):
         files.check_sources(spark.createDataFrame([], "source string"))
 
 
+def test_archives_are_read_in_slices(spark, tmp_path):
+    data = {f"d/f{i}.bin": bytes([i]) * 3000 for i in range(30)}
+    with zipfile.ZipFile(tmp_path / "big.zip", "w", zipfile.ZIP_STORED) as z:
+        for name, content in data.items():
+            z.writestr(name, content)
+    raw = bytearray((tmp_path / "big.zip").read_bytes())
+    at = raw.index(bytes([7]) * 3000)
+    raw[at + 5] ^= 1  # a wrong checksum
+    names = {k: [m.start() for m in re.finditer(f"d/f{k}.bin".encode(), raw)] for k in (11, 12)}
+    for header, name in ((30, names[11][0]), (46, names[11][1])):
+        raw[name - header + (6 if header == 30 else 8)] |= 1  # encrypted
+    for header, name in ((30, names[12][0]), (46, names[12][1])):
+        raw[name - header + (8 if header == 30 else 10)] = 97  # an unknown way of compression
+    (tmp_path / "big.zip").write_bytes(raw)
+    df = archives.read_archives(spark, f"file://{tmp_path}/big.zip", slice_bytes=10_000)
+    rows = {r.member: r for r in df.collect()}
+    odd = {"d/f7.bin": "broken", "d/f11.bin": "encrypted", "d/f12.bin": "unsupported"}
+    assert {m: r.error for m, r in rows.items() if r.error} == odd
+    assert len(rows) == 30 == df.count() and all(bytes(r.content) == data[m] for m, r in rows.items() if m not in odd)
+    assert {r.archive_sha256 for r in rows.values()} == {hashlib.sha256(raw).hexdigest()}
+    parts = spark.read.format("zip_members").option("sliceBytes", 10_000).load(f"file://{tmp_path}/big.zip").groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) >= 9 and max(r["count"] for r in parts) <= 4
+
+
+def published(spark, path):
+    return sorted(r.split for r in publish.read_published(spark, path).collect())
+
+
+def test_publishing_keeps_the_old_version_until_the_new_one_is_checked(spark, tmp_path):
+    path = f"file://{tmp_path}/set"
+    row = lambda split, i, **k: {"split": split, "group_id": f"{split}{i}", "sha256": f"h{split}{i}", "original_key": f"k{split}{i}", "annotation_status": "valid", "is_negative": False, "instances_class_0": 3, "instances_class_1": i, **k}
+    schema = "split string, group_id string, sha256 string, original_key string, annotation_status string, is_negative boolean, instances_class_0 int, instances_class_1 int"
+    frame = lambda rows: spark.createDataFrame([tuple(r[c.split()[0]] for c in schema.split(", ")) for r in rows], schema)
+    limits = {"min_groups": {"train": 1, "val": 1, "test": 1}, "min_boxes": {}}
+    good = [row(s, i, is_negative=i == 2) for s in ("train", "val", "test") for i in range(4)]
+    with pytest.raises(ValueError, match="nothing is published"):
+        publish.read_published(spark, path)
+    made = publish.publish_manifest(frame(good), path, **limits)
+    assert published(spark, path) == sorted(r["split"] for r in good)
+    # counters of the write are those of a report
+    summary = {r.split: r for r in split_summary(publish.read_published(spark, path)).collect()}
+    assert made["rows"] == 12 and made["invalid"] == 0
+    for s, r in summary.items():
+        assert (made[f"{s}_images"], made[f"{s}_negatives"], made[f"{s}_class_0"], made[f"{s}_class_1"]) == (r.images, r.negatives, r.instances_class_0, r.instances_class_1)
+    with pytest.raises(ValueError, match="exists"):
+        publish.publish_manifest(frame(good[:3]), path, **limits)
+    # refused by a check, or stopped before the rename: the old version stays
+    with pytest.raises(ValueError, match="leak_group_id"):
+        publish.publish_manifest(frame([*good, row("val", 9, group_id="train0")]), path, overwrite=True, **limits)
+    with pytest.raises(RuntimeError):
+        publish.publish(frame(good[:4]), path, check=lambda df: (_ for _ in ()).throw(RuntimeError("stopped")), overwrite=True)
+    assert published(spark, path) == sorted(r["split"] for r in good) and publish.current_version(spark, path) == made["version"]
+    assert len(publish.versions(spark, path)) == 3
+    other = publish.publish_manifest(frame(good[:9] + [row("test", 8)]), path, overwrite=True, **limits)
+    assert len(published(spark, path)) == 10 and len(publish.drop_versions(spark, path)) == 3
+    assert publish.versions(spark, path) == [other["version"]] and len(published(spark, path)) == 10
+
+
+def test_clean_labels_are_read_strictly(spark):
+    lines = ["0 0.5 0.5 0.2 0.2", " ", "1 0.1 0.2 0.3", "1 0.1 0.2 0.3 0.4 0.5", "x 0.1 0.2 0.3 0.4", "0.5 1 1 1 1", "1 nan 0 0 0", "1\t0.25 0.5 1e-1 1_0"]
+    df = spark.createDataFrame([(1, i + 1, x) for i, x in enumerate(lines)], "image_id long, line_no int, line string")
+    got = {r.position: r for r in files.clean_boxes(df).collect()}
+    assert {k: r.error for k, r in got.items()} == {1: None, 3: "not_five_numbers", 4: "not_five_numbers", 5: "not_a_number", 6: "class_not_integer", 7: "not_a_number", 8: None}
+    assert (got[8].class_id, got[8].x, got[8].w, got[8].h) == (1, 0.25, 0.1, 10.0) and got[3].class_id is None
+    files.assert_clean(files.clean_boxes(df.filter("line_no < 3")))
+    with pytest.raises(ValueError, match="1:3: not_five_numbers"):
+        files.assert_clean(files.clean_boxes(df))
+
+
 def test_roots_and_listing(spark):
     names = ["r/data.yaml", "r/train/images/a.JPG", "r/valid/images/b.png", "r/test/images/c.gif", "r/test/images/d.rf.1.bmp", "x/train/images/e.jpg"]
     df = spark.createDataFrame([("s", n) for n in names], "source string, path string")
@@ -253,6 +324,7 @@ def test_curation_of_jpeg_with_pixels_and_source_order(spark, tmp_path):
 def test_conflict_list(spark):
     conflicts = spark.createDataFrame([("h",)], "sha256 string")
     paths = spark.createDataFrame([("h", 2, "b"), ("h", 1, "a"), ("i", 3, "c")], "sha256 string, ord long, path string")
+    assert sorted(tuple(r) for r in sinks.conflict_rows(conflicts, paths).collect()) == [("h", "label_conflict", 1, "a"), ("h", "label_conflict", 2, "b")]
     assert [tuple(r) for r in sinks.conflict_list(conflicts, paths).collect()] == [("h", "label_conflict", "a; b")]
 
 
