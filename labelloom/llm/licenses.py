@@ -61,6 +61,30 @@ KNOWN = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+# Canonical digests of long licence texts (identifier, SHA-256), whole, and up to the end of the terms
+# where an appendix follows.
+DIGESTS = (
+    ("Apache-2.0", "ff7be961361eda3cd2a76927dd0d9482cf45defafde2045befedf77400d98100"),
+    ("Apache-2.0", "e9dbf930ca0f1e090ec68da9a37b657d11bc9e43b30643455d6a96dbf73116ca"),
+    ("CC0-1.0", "96bdc7f63190fb4bd1ae584b890300ed7517d858b34c945642a3b9b2f1612a5f"),
+    ("GFDL-1.2", "19d29a7c800a0d85704b63b4c09d5cd01dd9a287c61e238f4717d8a9e75d214f"),
+    ("GFDL-1.3", "e70f40f3a50995855f972521fe4eaa4af360a4597e5914977b6093cce5243480"),
+    ("GPL-1.0", "8f586b09c093668e2db772bdcfc1d5dc0b03e0e862fccbff035e1bf134e9b224"),
+    ("GPL-1.0", "6375a768fd262bf5281905a9585411d2d0fb4ea15cb08cfcba49f73fedb82abc"),
+    ("GPL-2.0", "b866f5427b78991db8012466b32f51c907f5e974fde5129a47372d0d0552e3a1"),
+    ("GPL-2.0", "e4d14510e41435c3eb12c255b72546a3cb9943f06f209c72bc30a19095b08999"),
+    ("GPL-3.0", "010ce52b3b970c80b5447205f4afc3b42084811cda2d11b95178b1fd3940764f"),
+    ("GPL-3.0", "3dcf77ad8c25248618918aaff1de8a2cb80cea6ca922ef4a7a389cca96a7560b"),
+    ("LGPL-2.0", "9b0b3105b96203f9d9e4b72d4b77951152156c88139302b5aedf6295e3ceaaa3"),
+    ("LGPL-2.0", "ff773d8d898dfc51ae2dbf3baa20700673e8ceb153b13d26c525af34a59adf0c"),
+    ("LGPL-2.1", "cb225061bb71741fe8b31a2092e22fe05b1130438158ae5d16c48fd50186e345"),
+    ("LGPL-2.1", "963f79d48038eed98d8341c84d8d3b765e99508a738d00654c0112f70a7c370c"),
+    ("LGPL-3.0", "aae2b222477171fb64e298e7965e768a9a6f85320646b266c94399ac029d42be"),
+    ("MPL-1.1", "f77c59051c0127d677dcce7ba0d4733294974749a7b4155250912498d92767d6"),
+    ("MPL-2.0", "95f6a0d094cf3da6a140310541c7b576789031b600469b70877b34f97918e4c9"),
+    ("Artistic-1.0-Perl", "66e644aafc5ff1de25be918be7e71d1d851bab015f750bc67c5b245e5f33ff39"),
+)
+
 #: Known texts that are broadcast at most (some 100 bytes each).
 LIST = 10_000
 COPYRIGHT_LINE = "(^|\\n)[ \\t]*(copyright|\\(c\\)|©)[^\\n]*"
@@ -76,10 +100,11 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, "[^a-z0-9]+", " "))
 
 
-def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
-    """(digest, license): one row per distinct canonical text, at most one for each entry of ``known``."""
-    rows = spark.createDataFrame(list(known), "license string, text string")
-    return rows.select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN, digests: tuple[tuple[str, str], ...] = DIGESTS) -> DataFrame:
+    """(digest, license): one row per distinct canonical text, at most one for each entry of ``known`` (texts) and
+    ``digests`` (of canonical texts)."""
+    rows = spark.createDataFrame(list(known), "license string, text string").select(F.sha2(canonical(F.col("text")), 256).alias("digest"), "license")
+    return rows.union(spark.createDataFrame(list(digests), "license string, digest string").select("digest", "license")).groupBy("digest").agg(F.min("license").alias("license"))
 
 
 def scan_licenses(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,10 +147,11 @@ def _sql_canonical(x: str) -> str:
     return f"trim(regexp_replace({out}, '[^a-z0-9]+', ' ', 'g'))"
 
 
+_DIGESTS = ", ".join(f"('{b}', '{a}')" for a, b in DIGESTS)
 _VALUES = ", ".join("('" + a + "', '" + b.replace("'", "''") + "')" for a, b in KNOWN)
 ORACLE = {
     "op2_license_scan": f"""
-WITH known AS (SELECT sha256({_sql_canonical('t')}) AS digest, min(license) AS license FROM (VALUES {_VALUES}) v(license, t) GROUP BY 1),
+WITH known AS (SELECT digest, min(license) AS license FROM (SELECT sha256({_sql_canonical('t')}) AS digest, license FROM (VALUES {_VALUES}) v(license, t) UNION ALL FROM (VALUES {_DIGESTS}) x(digest, license)) GROUP BY 1),
 d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 whole AS (SELECT d.rid, k.license FROM d JOIN known k ON sha256({_sql_canonical('d.text')}) = k.digest),
 lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d),

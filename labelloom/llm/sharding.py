@@ -1,8 +1,10 @@
 """Sharding by a Hilbert curve over document metadata. DataFrame and SQL functions only.
 
-Three metadata dimensions (source, language, size) are quantised to four bits each. Their cell on a
-three-dimensional Hilbert curve orders the rows, and the ordered rows are cut into runs of equal length, so
-that a shard covers a compact box of metadata values and a reader can skip files on any of the dimensions.
+Three metadata dimensions (source, language, size) are quantised to four bits each: texts (source, language) by
+sixteenths of the rows in the order of their values, numbers (size) by powers of two, so neighbouring codes are
+neighbouring values. Their cell on a three-dimensional Hilbert curve orders the rows, and the ordered rows are cut into
+runs of equal length: a shard covers a compact box of metadata values. ``write_shards`` writes them with the least and
+greatest value of each dimension, and ``read_shards`` skips the shards that a filter rules out on any dimension.
 
 The global position of a row comes from counts, not from one sorted partition: rows of a curve cell are
 dealt over ``subs`` hash sub-cells, a window ranks the rows inside each sub-cell, and running sums over the
@@ -19,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from labelloom.session import table
+from labelloom.operators.ranks import dealt_ranges, running_sums
+from labelloom.session import table, written
 
 BITS, LAW = 4, "rows"
 
@@ -87,19 +90,59 @@ def hilbert_shards(docs: DataFrame, dims: dict[str, Column], shards: int = 16, s
     return out.select(*keep, "cell", "position", "shard", (F.col("position") - first).cast("long").alias("slot"))
 
 
-def document_dims() -> dict[str, Column]:
-    """Source and language by hash, text size by power of two."""
+def quantile_cuts(docs: DataFrame, col: str, codes: int = 16) -> list:
+    """At most ``codes`` - 1 values of ``col`` that cut the rows into parts as equal as whole values allow."""
+    counts = written(docs.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    placed = running_sums(dealt_ranges(counts, "value"), (), ("value",), {"before": F.col("n")})
+    total = counts.agg(F.sum("n").alias("total"))
+    # the middle of a value's rows decides
+    code = F.expr(f"CAST(({codes} * (2 * before + n)) DIV (2 * total) AS INT)")
+    parts = placed.crossJoin(F.broadcast(total)).groupBy(code.alias("code")).agg(F.min("value").alias("first"))
+    # a row for each code
+    return [r["first"] for r in parts.orderBy("code").collect()][1:]
+
+
+def code_of(value: Column, cuts: list) -> Column:
+    """How many of the ``cuts`` a value has reached; null has reached none."""
+    return F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c <= value)), F.lit(0)) if cuts else F.lit(0)
+
+
+def document_dims(docs: DataFrame) -> dict[str, Column]:
+    """Source and language by sixteenths of the rows, text size by power of two."""
     return {
-        "source": F.pmod(F.crc32(F.coalesce(F.col("source"), F.lit("")).cast("binary")), F.lit(16)),
-        "lang": F.pmod(F.crc32(F.coalesce(F.col("lang"), F.lit("")).cast("binary")), F.lit(16)),
+        "source": code_of(F.col("source"), quantile_cuts(docs, "source")),
+        "lang": code_of(F.col("lang"), quantile_cuts(docs, "lang")),
         "size": F.least(F.lit(15), F.floor(F.log2(F.col("size").cast("double")))),
     }
 
 
+def write_shards(sharded: DataFrame, path: str, dims: tuple[str, ...] = ("source", "lang", "size")) -> None:
+    """Write rows with ``shard``, ``slot`` and the columns ``dims``: a folder for each shard under ``path``/rows, and
+    per shard the number of rows and the least and greatest value of each dimension under ``path``/ranges."""
+    sharded.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(f"{path}/rows")
+    back = sharded.sparkSession.read.schema(sharded.schema).parquet(f"{path}/rows")
+    ends = [f(c).alias(f"{name}_{c}") for c in dims for name, f in (("least", F.min), ("most", F.max))]
+    nulls = [F.bool_or(F.col(c).isNull()).alias(f"null_{c}") for c in dims]
+    back.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), *ends, *nulls).coalesce(1).write.parquet(f"{path}/ranges")
+
+
+def read_shards(spark: SparkSession, path: str, **wanted: tuple) -> DataFrame:
+    """The rows whose dimensions lie between the two values ``wanted`` of each (inclusive); other shards aren't opened."""
+    ranges = spark.read.parquet(f"{path}/ranges")
+    for c, (low, high) in wanted.items():
+        ranges = ranges.filter((F.col(f"least_{c}") <= F.lit(high)) & (F.col(f"most_{c}") >= F.lit(low)))
+    # a number for each shard
+    shards = [r["shard"] for r in ranges.select("shard").collect()]
+    rows = spark.read.parquet(f"{path}/rows").filter(F.col("shard").isin(shards))
+    for c, (low, high) in wanted.items():
+        rows = rows.filter(F.col(c).between(low, high))
+    return rows
+
+
 def op9_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    out = hilbert_shards(docs, document_dims(), keep=("doc_id", "text_crc32", "size"))
+    out = hilbert_shards(docs, document_dims(docs), keep=("doc_id", "text_crc32", "size"))
     return out.select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), F.col("cell").alias("curve_cell"))
 
 

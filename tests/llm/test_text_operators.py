@@ -320,7 +320,7 @@ def test_licenses(spark):
 
 
 def test_license_lists_of_any_kind(spark, monkeypatch):
-    mine = licenses.known_digests(spark, (("X", "All rights reserved."), ("Y", "Second text\nof two lines")))
+    mine = licenses.known_digests(spark, (("X", "All rights reserved."), ("Y", "Second text\nof two lines")), ())
     texts = ["intro\nALL rights reserved\nend", "second  text, of two lines!", "all rights reserved", None, "x" * 200_000, "intro\nALL rights reserved\nend"]
     df = docs(spark, texts).withColumnRenamed("doc_id", "license").withColumn("digest", F.lit(1)).withColumn("__lines", F.lit(2))
     want = {(0, None, 1, "X"), (1, "Y", 1, "Y"), (2, "X", 1, "X"), (3, None, 0, ""), (4, None, 0, ""), (5, None, 1, "X")}
@@ -329,6 +329,25 @@ def test_license_lists_of_any_kind(spark, monkeypatch):
         assert {tuple(r) for r in licenses.scan_licenses(df, mine, "license").collect()} == want
 
 
+def test_long_licenses_are_known_by_digest(spark):
+    from pathlib import Path
+
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    found = {k: (folder / k).read_text() for k in names if (folder / k).is_file()}
+    if not found:
+        pytest.skip("no licence texts here")
+    whole = list(found.values())
+    other = [t.upper().replace(" ", "  ").replace(",", " ,") for t in whole]
+    cut = [t[: t.index("END OF TERMS AND CONDITIONS") + 27] for k, t in found.items() if k in ("Apache-2.0", "GPL-2", "GPL-3")]
+    less = [t[:-200] for t in whole]
+    rows = {r.doc_id: r.text_license for r in licenses.scan_licenses(docs(spark, whole + other + cut + less), licenses.known_digests(spark)).collect()}
+    want = [names[k] for k in found]
+    n = len(want)
+    assert [rows[i] for i in range(2 * n)] == want * 2 and [rows[2 * n + i] for i in range(len(cut))] == [names[k] for k in found if k in ("Apache-2.0", "GPL-2", "GPL-3")]
+    assert all(rows[2 * n + len(cut) + i] is None for i in range(n))
+
+
 def test_every_known_license(spark):
     """One altered copy of each known text is found under its name."""
     texts = ["(c) 1999 Nobody\n" + t.upper().replace(".", " . ").replace("LICENSE", "LICENCE") for _, t in licenses.KNOWN]
@@ -338,7 +357,7 @@ def test_every_known_license(spark):
 
 def test_sharding(spark):
     df = docs(spark, ODD * 7).withColumn("size", F.length(F.coalesce("text", F.lit(""))) + 1)
-    rows = sharding.hilbert_shards(df, sharding.document_dims()).collect()
+    rows = sharding.hilbert_shards(df, sharding.document_dims(df)).collect()
     n = len(ODD) * 7
     assert sorted(r.position for r in rows) == list(range(n))
     counts = {}
@@ -348,7 +367,54 @@ def test_sharding(spark):
     assert set(counts) == set(range(16)) and max(counts.values()) - min(counts.values()) <= 1
     cells = [r.cell for r in sorted(rows, key=lambda r: r.position)]
     assert cells == sorted(cells)
-    assert sharding.hilbert_shards(df.limit(0), sharding.document_dims()).count() == 0
+    assert sharding.hilbert_shards(df.limit(0), sharding.document_dims(df.limit(0))).count() == 0
+
+
+def test_cuts_follow_the_rows(spark):
+    df = spark.createDataFrame([(x,) for x in ["hot"] * 60 + [f"s{i:02d}" for i in range(40)] + [None] * 3], "source string")
+    cuts = sharding.quantile_cuts(df, "source")
+    assert cuts == sorted(cuts) and len(cuts) <= 15 and cuts[0] > "hot"
+    codes = {r.source: r.c for r in df.select("source", sharding.code_of(F.col("source"), cuts).alias("c")).collect()}
+    assert codes[None] == 0 and codes["hot"] == 0 and [codes[f"s{i:02d}"] for i in range(40)] == sorted(codes[f"s{i:02d}"] for i in range(40))
+    assert max(list(codes.values()).count(c) for c in set(codes.values()) - {0}) <= 8
+    assert sharding.quantile_cuts(df.limit(0), "source") == [] and sharding.quantile_cuts(df.filter("source IS NULL"), "source") == []
+
+
+def test_shards_are_written_and_skipped(spark, tmp_path):
+    import random
+
+    rng = random.Random(3)
+    rows = [(i, rng.choice(["hot"] * 5 + [f"s{k}" for k in range(9)] + [None]), rng.choice(["en", "en", "de", "fr"]), 2 ** rng.randrange(12) + rng.randrange(9), f"t{i}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, size long, text string")
+    keep = ("doc_id", "source", "lang", "size", "text")
+    path = f"file://{tmp_path}/shards"
+    sharding.write_shards(sharding.hilbert_shards(df, sharding.document_dims(df), 64, keep=keep), path)
+    everything = sharding.read_shards(spark, path)
+    assert {tuple(r[c] for c in keep) for r in everything.collect()} == set(rows)
+    skipped = []
+    for wanted in ({"source": ("s1", "s2")}, {"size": (1, 4)}, {"lang": ("fr", "fr"), "size": (500, 9999)}, {"source": ("s8", "s8"), "lang": ("de", "de"), "size": (1, 40)}, {"source": ("x", "z")}):
+        found = sharding.read_shards(spark, path, **wanted)
+        at = dict(zip(keep, range(5), strict=True))
+        assert {r.doc_id for r in found.collect()} == {r[0] for r in rows if all(r[at[c]] is not None and a <= r[at[c]] <= b for c, (a, b) in wanted.items())}
+        skipped.append(64 - len({f.split("shard=")[1].split("/")[0] for f in found.inputFiles()}))
+    assert skipped[-1] == 64 and min(skipped) > 0 and skipped[3] > 32, skipped
+    # slots of the shards on disk
+    per = {}
+    for r in everything.collect():
+        per.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(v) == list(range(len(v))) for v in per.values())
+
+
+def test_op9_by_its_contract(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
+    rows = sharding.op9_hilbert_shards(spark, sf_dir).collect()
+    data = lambda t: (t or "").encode()
+    assert sorted((r.doc_id, r["size"], r.text_crc32) for r in rows) == sorted((d.doc_id, len(data(d.text)) + 1, zlib.crc32(data(d.text))) for d in table)
+    per = {}
+    for r in rows:
+        per.setdefault(r.shard, []).append(r.slot)
+        assert r.law == "rows" and r.grown_shard is None and 0 <= r.shard < 16
+    assert all(sorted(v) == list(range(len(v))) for v in per.values()) and max(map(len, per.values())) - min(map(len, per.values())) <= 1
 
 
 def test_hilbert_curve_is_continuous(spark):
