@@ -126,14 +126,19 @@ def write_shards(sharded: DataFrame, path: str, dims: tuple[str, ...] = ("source
     back.groupBy("shard").agg(F.count(F.lit(1)).alias("rows"), *ends, *nulls).coalesce(1).write.parquet(f"{path}/ranges")
 
 
-def read_shards(spark: SparkSession, path: str, **wanted: tuple) -> DataFrame:
-    """The rows whose dimensions lie between the two values ``wanted`` of each (inclusive); other shards aren't opened."""
+def shards_left(spark: SparkSession, path: str, **wanted: tuple) -> list[int]:
+    """The shards whose ranges meet what is ``wanted``: by dimension, a least and a greatest value."""
     ranges = spark.read.parquet(f"{path}/ranges")
     for c, (low, high) in wanted.items():
         ranges = ranges.filter((F.col(f"least_{c}") <= F.lit(high)) & (F.col(f"most_{c}") >= F.lit(low)))
     # a number for each shard
-    shards = [r["shard"] for r in ranges.select("shard").collect()]
-    rows = spark.read.parquet(f"{path}/rows").filter(F.col("shard").isin(shards))
+    return sorted(r["shard"] for r in ranges.select("shard").collect())
+
+
+def read_shards(spark: SparkSession, path: str, **wanted: tuple) -> DataFrame:
+    """The rows whose dimensions lie between the two values ``wanted`` of each (inclusive). Shards that can't hold any
+    are other partitions, which the scan doesn't open."""
+    rows = spark.read.parquet(f"{path}/rows").filter(F.col("shard").isin(shards_left(spark, path, **wanted)))
     for c, (low, high) in wanted.items():
         rows = rows.filter(F.col(c).between(low, high))
     return rows

@@ -396,7 +396,9 @@ def test_shards_are_written_and_skipped(spark, tmp_path):
         found = sharding.read_shards(spark, path, **wanted)
         at = dict(zip(keep, range(5), strict=True))
         assert {r.doc_id for r in found.collect()} == {r[0] for r in rows if all(r[at[c]] is not None and a <= r[at[c]] <= b for c, (a, b) in wanted.items())}
-        skipped.append(64 - len({f.split("shard=")[1].split("/")[0] for f in found.inputFiles()}))
+        skipped.append(64 - len(sharding.shards_left(spark, path, **wanted)))
+        scan = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "PartitionFilters" in x]
+        assert all("shard" in x.split("PartitionFilters")[1].split("]")[0] for x in scan)
     assert skipped[-1] == 64 and min(skipped) > 0 and skipped[3] > 32, skipped
     # slots of the shards on disk
     per = {}
