@@ -1,2 +1,3 @@
 """Operators for training-data pipelines: dedup, scans, packing, token files, formatting, PII, quality,
-decontamination, sharding and media. Nothing else in the library imports this subpackage."""
+decontamination, sharding, media, mixing, manifests and vector codes. Nothing else in the library imports this
+subpackage."""
