@@ -219,7 +219,7 @@ def brute_hits(texts, items):
     return out
 
 
-@pytest.mark.parametrize("block", [500_000, 3])
+@pytest.mark.parametrize("block", [500_000, 12])
 def test_decontamination(spark, block):
     import random
 
@@ -241,7 +241,7 @@ def test_decontamination(spark, block):
     assert decontaminate.scan(docs(spark, []), bench).count() == 0
 
 
-@pytest.mark.parametrize("block", [500_000, 7])
+@pytest.mark.parametrize("block", [500_000, 50])
 def test_benchmark_of_many_blocks_and_odd_items(spark, block):
     import random
 
