@@ -1,22 +1,19 @@
 """Bulk-synchronous best-fit packing of token sequences.
 
-Documents are encoded to ids; those over the capacity are cut into full pieces and a rest. The pieces are
-range-sorted by length, so that each piece has a rank among the pieces of its length, and equal pieces form
-runs: (length, count). Gaps of open sequences form runs as well: (gap, first sequence, count). Rounds repeat
-until every piece has a place:
-
-1. sweep: runs of waiting pieces and of gaps, sorted by size, are swept from large to small; a piece takes its
-   successor, the smallest free gap that holds it;
-2. conflicts over a gap are settled by rank: pieces before others by length, then by rank in their run, gaps
-   by sequence number;
-3. all matched gaps are updated together, and new sequences are opened for pieces that fit in no gap, no more
-   than their volume needs.
-
-Long pieces go first (those over half the capacity, then over a quarter and so on), which leaves the short
-ones to fill up the ends. Runs make a round's work independent of the corpus: there are at most as many runs
-of pieces as different lengths (4,096), and it is these that a round sweeps, on the driver. What grows with
-the corpus, encoding, sorting, ranking and placing the pieces, is done by Spark; a piece finds its place by
-joining its length and rank to the plan.
+Documents are encoded to ids; those over the capacity are cut into full pieces and a rest. A piece over half the
+capacity opens a sequence of its own. The others, first those over a quarter of the capacity, then the rest, find
+their places in rounds, each of them a few Spark jobs over tables of waiting pieces and of gaps:
+
+1. sweep: pieces and gaps are range-sorted together by falling size. A piece takes its successor, the smallest
+   free gap that holds it, which is a match of brackets: gaps open, pieces close. Every range is matched by a
+   task of its own; what stays open or unclosed there is numbered, and the counts of each range (all that the
+   driver sees) tell which numbers of which ranges meet;
+2. conflicts over a gap are settled by rank in that order: length, then number of the piece;
+3. update: what a sequence took is subtracted from its gap. New sequences are opened for pieces that fit in no
+   gap, no more than their volume needs.
+
+A gap that holds the longest waiting piece several times offers as many equal slots, so that short pieces fill a
+long gap in one round instead of one a round. The rounds needed grow with the capacity, hardly with the documents.
 
 Cases: null or empty text is one piece with the end id only; repeated rows are packed as separate documents;
 an empty table gives no rows; other columns are ignored.
@@ -25,7 +22,9 @@ an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +38,8 @@ from labelloom.session import small_batches, table, written
 
 CAPACITY = 4096
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-PLAN = "length long, rank_from long, rank_to long, sequence_from long, place long"
+SWEPT = "n long, length long, sequence_id long, part int, at long"
+MEETINGS = "part int, at_from long, at_to long, slot_part int, slot_last long"
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", memory: int = tokens.MEMORY) -> DataFrame:
@@ -66,118 +66,137 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(run, PIECES)
 
 
-def sweep(waiting: dict[int, list[int]], gaps: dict[int, list[tuple[int, int]]], least: int) -> list[tuple[int, int, int, int, int]]:
-    """One round over pieces longer than ``least``: (length, rank, count, sequence, gap) of the matches.
+def swept_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``SWEPT`` from one range of (size, kind, id): slots have kind 0, pieces 1.
 
-    waiting: length -> [next rank, count]; gaps: size -> runs (first sequence, count). Both are updated.
+    Pieces come out with the sequence they take, or without one and with their number among such (``at``); slots
+    that stay free follow, without ``n``, numbered in their order.
     """
-    matches, opened = [], []
-    free: list[list[int]] = []  # gap runs passed so far; the smallest is on top
-    sizes = sorted((g for g in gaps if g > least), reverse=True)
-    k = 0
-    for length in sorted((n for n in waiting if n > least), reverse=True):
-        while k < len(sizes) and sizes[k] >= length:
-            free += [[sizes[k], s, n] for s, n in reversed(gaps.pop(sizes[k]))]
-            k += 1
-        rank, count = waiting[length]
-        while count and free:
-            gap, sequence, n = free[-1]
-            take = min(n, count)
-            matches.append((length, rank, take, sequence, gap))
-            opened.append((gap - length, sequence, take))
-            rank, count = rank + take, count - take
-            if take == n:
-                free.pop()
+    part, free, missed = TaskContext.get().partitionId(), array("q"), 0
+
+    def rows(n: pa.Array, length: pa.Array, sequence: pa.Array, at: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([n, length, sequence, pa.array(np.full(len(at), part, np.int32)), pa.array(at)], names=["n", "length", "sequence_id", "part", "at"])
+
+    for b in batches:
+        piece = b.column(1).to_numpy() == 1
+        took: list[int | None] = []
+        for is_piece, i in zip(piece.tolist(), b.column(2).to_pylist(), strict=True):
+            if not is_piece:
+                free.append(i)
             else:
-                free[-1] = [gap, sequence + take, n - take]
-        if count:
-            waiting[length] = [rank, count]
-        else:
-            del waiting[length]
-    for gap, sequence, n in [*map(tuple, free), *opened]:
-        if gap:
-            gaps.setdefault(gap, []).append((sequence, n))
-    for runs in gaps.values():
-        runs.sort()
-        merged = [runs[0]]
-        for s, n in runs[1:]:  # neighbours become one run
-            if merged[-1][0] + merged[-1][1] == s:
-                merged[-1] = (merged[-1][0], merged[-1][1] + n)
+                took.append(free.pop() if free else None)
+        sequence = pa.array(took, pa.int64())
+        none = sequence.is_null().to_numpy(zero_copy_only=False)
+        at = np.where(none, missed + np.cumsum(none) - 1, -1).astype(np.int64)
+        missed += int(none.sum())
+        mask = pa.array(piece)
+        yield rows(b.column(2).filter(mask), b.column(0).filter(mask), sequence, at)
+    for lo in range(0, len(free), 1 << 16):
+        left = free[lo : lo + (1 << 16)]
+        none = pa.nulls(len(left), pa.int64())
+        yield rows(none, none, pa.array(np.array(left, np.int64)), np.arange(lo, lo + len(left)))
+
+
+def meetings(totals: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Rows of ``MEETINGS`` from (part, missed pieces, free slots) of each range: at most two for each range.
+
+    Piece ``at_from + i`` of a range takes slot ``slot_last - i`` of an earlier one.
+    """
+    free: list[list[int]] = []
+    out = []
+    for part, missed, slots in sorted(totals):
+        at = 0
+        while at < missed and free:
+            other, left = free[-1]
+            take = min(left, missed - at)
+            out.append((part, at, at + take, other, left - 1))
+            at += take
+            if take == left:
+                free.pop()
             else:
-                merged.append((s, n))
-        runs[:] = merged
-    return matches
+                free[-1][1] -= take
+        if slots:
+            free.append([part, slots])
+    return out
 
 
-def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
-    """Places for ``counts[length]`` pieces of each length: rows of ``PLAN``.
+def settle(waiting: DataFrame, slots: DataFrame, parts: int | None = None) -> DataFrame:
+    """One sweep: (n, length, sequence_id) of every row of ``waiting`` (n, length); sequence_id is null if no slot of
+    ``slots`` (sequence_id, size) is left for it.
 
-    Piece ``rank_from + i`` of a length goes to ``sequence_from + i``, at ``place``.
+    parts: number of ranges, if Spark is not to choose it.
     """
-    waiting = {n: [0, c] for n, c in counts.items() if c}
-    gaps: dict[int, list[tuple[int, int]]] = {}
-    used, rows, least = 0, [], capacity // 2
-    while waiting:
-        while any(n > least for n in waiting):
-            matches = sweep(waiting, gaps, least)
-            rows += [(n, rank, rank + c, s, capacity - gap) for n, rank, c, s, gap in matches]
-            widest = max(gaps, default=0)
-            homeless = [(n, c) for n, (_, c) in waiting.items() if n > least and n > widest]
-            if homeless:
-                volume = sum(n * c for n, c in homeless)
-                opened = max(-(-volume // capacity), sum(c for n, c in homeless if 2 * n > capacity))
-                gaps.setdefault(capacity, []).append((used, opened))
-                used += opened
-        least //= 2
-    return rows
-
-
-def ranked(rows: DataFrame) -> DataFrame:
-    """``rows`` of ``PIECES`` range-sorted by length, with ``rank`` among the rows of a length, from 0.
-
-    A length that a third of the pieces share is spread over as many tasks as its rows need; only counts per
-    task and length are summed over tasks.
+    spark = waiting.sparkSession
+    events = slots.select("size", F.lit(0).alias("kind"), F.col("sequence_id").alias("id")).union(waiting.select("length", F.lit(1), "n"))
+    order = [F.desc("size"), F.asc("kind"), F.asc("id")]
+    dealt = events.repartitionByRange(parts, *order) if parts else events.repartitionByRange(*order)
+    swept = written(dealt.sortWithinPartitions(*order).mapInArrow(swept_range, SWEPT), "swept")
+    # one row for each range
+    totals = swept.filter("at >= 0").groupBy("part").agg(F.count("n").alias("missed"), F.count_if(F.col("n").isNull()).alias("slots")).collect()
+    meet = meetings([tuple(t) for t in totals])
+    pieces_ = swept.filter("n IS NOT NULL")
+    if not meet:
+        return pieces_.select("n", "length", "sequence_id")
+    spots = F.broadcast(spark.createDataFrame(meet, MEETINGS))  # two rows for each range at most
+    missed = pieces_.filter("at >= 0").alias("p").join(spots.alias("m"), F.expr("p.part = m.part AND p.at >= m.at_from AND p.at < m.at_to"), "left")
+    missed = missed.selectExpr("p.n", "p.length", "m.slot_part", "m.slot_last - (p.at - m.at_from) AS slot")
+    free = swept.filter("n IS NULL").selectExpr("part AS slot_part", "at AS slot", "sequence_id")
+    across = missed.join(free, ["slot_part", "slot"], "left").select("n", "length", "sequence_id")
+    return written(pieces_.filter("at < 0").select("n", "length", "sequence_id").union(across), "settled")
+
+
+def slots_of(gaps: DataFrame, shortest: int, longest: int, most: int) -> DataFrame:
+    """(sequence_id, size): a gap as up to ``most`` equal slots that hold ``longest``, or as one if it doesn't hold it twice."""
+    n = F.greatest(F.lit(1), F.least(F.floor(F.col("gap") / longest), F.lit(most))).cast("int")
+    split = gaps.filter(F.col("gap") >= shortest).select("sequence_id", "gap", n.alias("slots"))
+    return split.select("sequence_id", F.floor(F.col("gap") / F.col("slots")).alias("size"), F.explode(F.array_repeat(F.lit(0), F.col("slots")))).select("sequence_id", "size")
+
+
+def place(rows: DataFrame, capacity: int, parts: int | None = None) -> DataFrame:
+    """(n, sequence_id) for all of ``rows`` (n, length; n unique and not negative).
+
+    A sequence has the number of the piece that opened it, or a negative one if it was opened for several.
     """
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen = TaskContext.get().partitionId(), {}
-        for b in batches:
-            length = b.column(3).to_numpy()
-            edges = np.flatnonzero(np.diff(length)) + 1
-            first = np.concatenate([[0], edges]) if len(length) else np.zeros(0, np.int64)
-            run = np.diff(np.concatenate([first, [len(length)]]))
-            inside = np.arange(len(length)) - np.repeat(first, run)
-            if len(length):
-                inside[: run[0]] += seen.get(int(length[0]), 0)
-                last = int(length[-1])
-                seen = {last: int(inside[-1]) + 1}
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(len(length), part), pa.int32()), pa.array(inside, pa.int64())], names=[*b.schema.names, "part", "inside"])
-
-    order = ("length", "doc_id", "piece", "ids_crc32")
-    out = rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(number, PIECES + ", part int, inside long")
-    out = written(out, "ranked-pieces")
-    counts = out.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
-    before = counts.select("length", "part", (F.sum("n").over(W.partitionBy("length").orderBy("part")) - F.col("n")).alias("before"))
-    # one row for each task and length in it: lengths plus tasks, at most
-    return out.join(F.broadcast(before), ["length", "part"]).withColumn("rank", F.col("inside") + F.col("before")).drop("part", "inside", "before")
-
-
-def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``rows`` of ``PIECES`` with ``sequence_id`` and ``offset``."""
     spark = rows.sparkSession
-    out = ranked(rows)
-    # one row for each length up to the capacity
-    counts = {r["length"]: r["n"] for r in out.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    places = spark.createDataFrame(plan(counts, capacity), PLAN)
-    # the plan's size depends on lengths and rounds, not on documents
-    joined = out.join(F.broadcast(places), (out["length"] == places["length"]) & (out["rank"] >= places["rank_from"]) & (out["rank"] < places["rank_to"]))
-    return joined.select("doc_id", "piece", "start", out["length"], "ids_crc32", (F.col("sequence_from") + F.col("rank") - F.col("rank_from")).alias("sequence_id"), F.col("place").alias("offset"))
+    long_ = F.col("length") > capacity // 2
+    placed = [rows.filter(long_).select("n", F.col("n").alias("sequence_id"))]
+    gaps = rows.filter(long_ & (F.col("length") < capacity)).select(F.col("n").alias("sequence_id"), (capacity - F.col("length")).alias("gap"))
+    opened, above = 0, capacity // 2
+    for least in dict.fromkeys((capacity // 4, 0)):
+        waiting = rows.filter((F.col("length") > least) & (F.col("length") <= above)).select("n", "length")
+        while True:
+            count, shortest, longest = waiting.agg(F.count(F.lit(1)), F.min("length"), F.max("length")).first()
+            if not count:
+                break
+            widest, wide = gaps.agg(F.coalesce(F.max("gap"), F.lit(0)), F.count_if(F.col("gap") >= longest)).first()
+            if widest < longest:
+                homeless = waiting.filter(F.col("length") > widest).agg(F.sum("length")).first()[0]
+                new = -(-homeless // capacity)
+                fresh = spark.range(opened, opened + new).select((-1 - F.col("id")).alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"))
+                gaps, opened, wide = gaps.union(fresh), opened + new, wide + new
+            settled = settle(waiting, slots_of(gaps, shortest, longest, -(-count // wide)), parts)
+            found = settled.filter("sequence_id IS NOT NULL")
+            placed.append(found.select("n", "sequence_id"))
+            taken = gaps.union(found.select("sequence_id", -F.col("length")))
+            gaps = written(taken.groupBy("sequence_id").agg(F.sum("gap").alias("gap")).filter("gap > 0"), "gaps")
+            waiting = settled.filter("sequence_id IS NULL").select("n", "length")
+        above = least
+    return reduce(DataFrame.union, placed)
+
+
+def pack(rows: DataFrame, capacity: int = CAPACITY, parts: int | None = None) -> DataFrame:
+    """``rows`` of ``PIECES`` with ``sequence_id`` and ``offset``."""
+    rows = written(rows.withColumn("n", F.monotonically_increasing_id()), "pieces")
+    out = rows.join(place(rows.select("n", "length"), capacity, parts), "n")
+    # a sequence has as many pieces as its capacity at most
+    before = W.partitionBy("sequence_id").orderBy("n").rowsBetween(W.unboundedPreceding, -1)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"))
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", memory: int = tokens.MEMORY) -> DataFrame:
     """Encode, cut and pack all rows of ``docs``."""
     small_batches(docs.sparkSession)
-    return pack(written(pieces(docs, tokenizer, capacity, id_col, text_col, memory), "pieces"), capacity)
+    return pack(pieces(docs, tokenizer, capacity, id_col, text_col, memory), capacity)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import bisect
 import hashlib
 import json
 import re
@@ -87,25 +88,60 @@ def test_packing(spark):
     assert packing.pack_documents(docs(spark, []), tokens.default_path()).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_plan_fills_sequences(seed):
+def best_fit(slots, lengths):
+    """Sequential best fit: (slot, length) of each match, the longest first; slots are used once."""
+    free, out = sorted(slots), []
+    for n in sorted(lengths, reverse=True):
+        k = bisect.bisect_left(free, n)
+        if k < len(free):
+            out.append((free.pop(k), n))
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("seed", "parts"), [(0, 1), (1, 7), (2, 7), (3, 20)])
+def test_sweep_is_sequential_best_fit(spark, seed, parts):
     rng = np.random.default_rng(seed)
-    sizes = np.minimum(4096, rng.geometric(1 / [30, 300, 1500, 3000][seed], 5000))
-    counts = {int(n): int(c) for n, c in zip(*np.unique(sizes, return_counts=True), strict=True)}
-    rows = packing.plan(counts)
-    fill, placed = {}, {}
-    for length, lo, hi, sequence, place in rows:
-        placed.setdefault(length, []).extend(range(lo, hi))
-        for i in range(hi - lo):
-            fill.setdefault(sequence + i, []).append((place, length))
-    assert all(sorted(v) == list(range(counts[n])) for n, v in placed.items()) and set(placed) == set(counts)
-    for parts in fill.values():
-        at = 0
-        for place, length in sorted(parts):
-            assert place == at
-            at += length
-        assert at <= 4096
-    assert len(fill) <= max(-(-int(sizes.sum()) // 4096) * 1.01 + 1, int((sizes > 2048).sum()))
+    slots = [int(x) for x in rng.integers(1, [500, 500, 20, 500][seed], 300)]
+    lengths = [int(x) for x in rng.integers(1, [500, 300, 20, 700][seed], 400)]
+    waiting = spark.createDataFrame(list(enumerate(lengths)), "n long, length long")
+    free = spark.createDataFrame(list(enumerate(slots)), "sequence_id long, size long")
+    got = packing.settle(waiting, free, parts).collect()
+    assert sorted((r.n, r.length) for r in got) == list(enumerate(lengths))
+    used = [r.sequence_id for r in got if r.sequence_id is not None]
+    assert len(set(used)) == len(used)
+    assert sorted((slots[r.sequence_id], r.length) for r in got if r.sequence_id is not None) == best_fit(slots, lengths)
+
+
+def test_sweep_without_slots_or_pieces(spark):
+    none = spark.createDataFrame([], "n long, length long")
+    free = spark.createDataFrame([(3, 5)], "sequence_id long, size long")
+    assert packing.settle(none, free).collect() == []
+    assert [tuple(r) for r in packing.settle(spark.createDataFrame([(0, 6)], "n long, length long"), free).collect()] == [(0, 6, None)]
+
+
+@pytest.mark.parametrize(("mean", "parts"), [(30, None), (300, 5), (3000, 5)])
+def test_packing_needs_no_more_than_best_fit_decreasing(spark, mean, parts):
+    sizes = np.minimum(4096, np.random.default_rng(mean).geometric(1 / mean, 3000)).tolist()
+    rows = spark.createDataFrame([(i, 0, 0, n, 0) for i, n in enumerate(sizes)], packing.PIECES)
+    fill = {}
+    for r in sorted(packing.pack(rows, parts=parts).collect(), key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == fill.get(r.sequence_id, 0) and r.length == sizes[r.doc_id]
+        fill[r.sequence_id] = r.offset + r.length
+    assert sum(fill.values()) == sum(sizes) and max(fill.values()) <= 4096
+    gaps = []  # best fit decreasing, one after the other
+    for n in sorted(sizes, reverse=True):
+        k = bisect.bisect_left(gaps, n)
+        bisect.insort(gaps, (gaps.pop(k) if k < len(gaps) else 4096) - n)
+    assert len(fill) <= len(gaps) * 1.002 + 1
+
+
+def test_equal_pieces_fill_sequences_in_few_rounds(spark, monkeypatch):
+    rounds, settle = [], packing.settle
+    monkeypatch.setattr(packing, "settle", lambda *a: rounds.append(1) or settle(*a))
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "0 AS piece", "0L AS start", "IF(id % 3 = 0, 20L, 1L) AS length", "0L AS ids_crc32")
+    out = packing.pack(rows)
+    assert out.count() == 20_000 and out.select("sequence_id").distinct().count() == -(-146_676 // 4096)
+    assert len(rounds) <= 6
 
 
 def test_coder_round_trip():
