@@ -10,7 +10,8 @@ their places in rounds, each of them a few Spark jobs over tables of waiting pie
    driver sees) tell which numbers of which ranges meet;
 2. conflicts over a gap are settled by rank in that order: length, then number of the piece;
 3. update: what a sequence took is subtracted from its gap. New sequences are opened for pieces that fit in no
-   gap, no more than their volume needs.
+   gap: enough to take them all at once while the volume of all pieces needs as many anyway, else as many as
+   their own volume needs.
 
 A gap that holds the longest waiting piece several times offers as many equal slots, so that short pieces fill a
 long gap in one round instead of one a round. The rounds needed grow with the capacity, hardly with the documents.
@@ -161,6 +162,8 @@ def place(rows: DataFrame, capacity: int, parts: int | None = None) -> DataFrame
     long_ = F.col("length") > capacity // 2
     placed = [rows.filter(long_).select("n", F.col("n").alias("sequence_id"))]
     gaps = rows.filter(long_ & (F.col("length") < capacity)).select(F.col("n").alias("sequence_id"), (capacity - F.col("length")).alias("gap"))
+    own, total = rows.agg(F.count_if(long_), F.coalesce(F.sum("length"), F.lit(0))).first()
+    needed = -(-total // capacity) - own
     opened, above = 0, capacity // 2
     for least in dict.fromkeys((capacity // 4, 0)):
         waiting = rows.filter((F.col("length") > least) & (F.col("length") <= above)).select("n", "length")
@@ -170,8 +173,8 @@ def place(rows: DataFrame, capacity: int, parts: int | None = None) -> DataFrame
                 break
             widest, wide = gaps.agg(F.coalesce(F.max("gap"), F.lit(0)), F.count_if(F.col("gap") >= longest)).first()
             if widest < longest:
-                homeless = waiting.filter(F.col("length") > widest).agg(F.sum("length")).first()[0]
-                new = -(-homeless // capacity)
+                homeless, volume = waiting.filter(F.col("length") > widest).agg(F.count(F.lit(1)), F.sum("length")).first()
+                new = max(-(-volume // capacity), min(-(-homeless // (capacity // longest)), needed - opened))
                 fresh = spark.range(opened, opened + new).select((-1 - F.col("id")).alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"))
                 gaps, opened, wide = gaps.union(fresh), opened + new, wide + new
             settled = settle(waiting, slots_of(gaps, shortest, longest, -(-count // wide)), parts)
