@@ -50,5 +50,7 @@ def median_bits(vector: Column) -> Column:
     """Signature of a vector of up to 64 numbers: one bit for each value above the median."""
     sorted_values = F.array_sort(F.transform(vector, lambda v: v.cast("double")))
     n = F.size(vector)
-    median = (F.get(sorted_values, F.floor((n - 1) / 2).cast("int")) + F.get(sorted_values, F.floor(n / 2).cast("int"))) / 2
-    return F.aggregate(vector, F.lit(0).cast("long"), lambda acc, v: F.shiftleft(acc, 1).bitwiseOR(F.when(v.cast("double") > median, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))))
+    median = F.get(F.transform(F.array(sorted_values), lambda s: (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / 2), F.lit(0))
+    bits = lambda m: F.aggregate(vector, F.lit(0).cast("long"), lambda acc, v: F.shiftleft(acc, 1).bitwiseOR(F.when(v.cast("double") > m, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))))
+    # the sort runs once for a vector, not once for each of its numbers
+    return F.get(F.transform(F.array(median), bits), F.lit(0))

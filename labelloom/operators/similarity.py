@@ -9,6 +9,10 @@ first band, at its own middle. No pairs outside of shared values are formed.
 A value that very many hashes share (all black images, say) is not joined. Its hashes go on to another level, which
 cuts the bits outside the band the same way, for the distance that the band leaves. (Distances to pivots would
 split such a group worse: over 40 or more free bits, they hardly differ.)
+
+Wide distances over many hashes (16 of 64 bits, 100,000 hashes: 1,000 listed values each) make the index dearer than
+comparing all hashes, which takes two nanoseconds a pair. There the hashes are dealt to blocks, and each pair of blocks is
+compared by a task (see ``block_pairs``): exact, in bounded memory, and spread over the cluster.
 """
 
 from __future__ import annotations
@@ -18,11 +22,14 @@ from functools import reduce
 from itertools import combinations
 from math import comb
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelloom.functions.boxes import hamming
-from labelloom.session import written
+from labelloom.session import small_batches, written
 
 BITS = tuple(range(64))
 #: Pairs that one value may make before its hashes go to the next level.
@@ -30,6 +37,12 @@ CROWDED = 100_000_000
 LEVELS = 4
 #: Values that one level lists a hash under at most.
 LISTED = 20_000
+#: Rows listed and met up to which the index is used in any case, and what comparing a pair in a block costs against one.
+INDEXED, COMPARED = 10_000_000, 0.004
+#: Blocks that all hashes are dealt to, and the least and most hashes of a block.
+BLOCKS, BLOCK = 48, (1024, 65_536)
+#: Pairs found that a task holds before it hands them on.
+FOUND = 100_000
 
 
 def radii(budget: int, bands: int) -> list[int]:
@@ -127,8 +140,66 @@ def listings(nodes: DataFrame, distance: int, crowded: int = CROWDED) -> Iterato
             return
 
 
-def hamming_candidates(nodes: DataFrame, distance: int, crowded: int = CROWDED) -> DataFrame:
+def in_blocks(distance: int, hashes: int, indexed: int = INDEXED) -> bool:
+    """Whether comparing blocks costs less than an index of so many hashes."""
+    budget = min(distance, 64)
+    index = min(effort(BITS, budget, n, hashes) for n in range(1, min(budget + 1, len(BITS)) + 1))
+    return index > max(indexed, hashes + hashes**2 / 2 * COMPARED)
+
+
+def block_pairs(nodes: DataFrame, distance: int, hashes: int, block: int | None = None) -> DataFrame:
+    """(a, ha, b, hb) of hashes at most ``distance`` apart, each pair once, by comparing all blocks of hashes.
+
+    A block is one row; each pair of blocks is joined by its numbers and compared by itself. What is shuffled grows with
+    the hashes times ``BLOCKS``, until blocks are at their largest.
+    """
+    small_batches(nodes.sparkSession)
+    block = block or min(max(hashes // BLOCKS, BLOCK[0]), BLOCK[1])
+    n = max(1, -(-hashes // block))
+    dealt = nodes.select(F.pmod(F.xxhash64("h"), F.lit(n)).cast("int").alias("block"), F.struct("id", "h").alias("node"))
+    blocks = written(dealt.groupBy("block").agg(F.collect_list("node").alias("held")), "hash-blocks")
+    tasks = min(400, n * (n + 1) // 2)
+    left = blocks.select(F.col("block").alias("low"), F.explode(F.sequence("block", F.lit(n - 1))).alias("high"), F.col("held").alias("left"))
+    right = blocks.select(F.explode(F.sequence(F.lit(0), "block")).alias("low"), F.col("block").alias("high"), F.col("held").alias("right"))
+    both = left.repartition(tasks, "low", "high").join(right.repartition(tasks, "low", "high"), ["low", "high"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                (ids, hashes), (other_ids, others) = ([nodes.field(c) for c in ("id", "h")] for side in ("left", "right") for nodes in [batch.column(side).slice(k, 1).flatten()])
+                same = batch.column("low")[k].as_py() == batch.column("high")[k].as_py()
+                for i, j in near(hashes.to_numpy(), others.to_numpy(), distance, same):
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(i)), hashes.take(pa.array(i)), other_ids.take(pa.array(j)), others.take(pa.array(j))], ["x", "hx", "y", "hy"])
+
+    kind = nodes.schema["id"].dataType
+    out = T.StructType([T.StructField("x", kind), T.StructField("hx", T.LongType()), T.StructField("y", kind), T.StructField("hy", T.LongType())])
+    met, first = both.mapInArrow(compare, out), F.col("x") < F.col("y")
+    pick = lambda a, b, name: F.when(first, F.col(a)).otherwise(F.col(b)).alias(name)
+    return met.select(pick("x", "y", "a"), pick("hx", "hy", "ha"), pick("y", "x", "b"), pick("hy", "hx", "hb"))
+
+
+def near(left: np.ndarray, right: np.ndarray, distance: int, same: bool, step: int = 32) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of hashes at most ``distance`` apart, in parts; of a block with itself (``same``), each pair once."""
+    held, size = [], 0
+    for lo in range(0, len(left), step):
+        i, j = np.nonzero(np.bitwise_count(left[lo : lo + step, None].view(np.uint64) ^ right[None].view(np.uint64)) <= distance)
+        i = i + lo
+        if same:
+            i, j = i[i < j], j[i < j]
+        if len(i):
+            held, size = [*held, (i, j)], size + len(i)
+        if size > FOUND:
+            yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+            held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+
+
+def hamming_candidates(nodes: DataFrame, distance: int, crowded: int = CROWDED, indexed: int = INDEXED) -> DataFrame:
     """(a, ha, b, hb) of hashes at most ``distance`` apart, each pair once."""
+    hashes = max(nodes.count(), 1)
+    if in_blocks(distance, hashes, indexed):
+        return block_pairs(nodes, distance, hashes)
     found = []
     for index, checks in listings(nodes, distance, crowded):
         left = index.filter("side = 0").select("way", "path", F.col("id").alias("a"), F.col("h").alias("ha"), F.col("flips").alias("fa"))

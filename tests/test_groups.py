@@ -8,7 +8,7 @@ from labelloom.functions.boxes import bool_text, hamming, hex_hash, median_bits
 from labelloom.operators import checks, dedup, splits
 from labelloom.operators.components import connected_components
 from labelloom.operators.ranks import dense_positions
-from labelloom.operators.similarity import BITS, best_bands, hamming_candidates, hamming_pairs, listings
+from labelloom.operators.similarity import BITS, best_bands, block_pairs, hamming_candidates, hamming_pairs, in_blocks, listings
 
 
 def naive_components(nodes, edges):
@@ -81,6 +81,25 @@ def test_wide_distances_meet_few_pairs(spark):
     assert meetings(nodes, 12) < 3000 * 2999 // 2 / 2
 
 
+@pytest.mark.parametrize("block", [7, 300, 5000])
+def test_blocks_of_hashes_are_exact(spark, block):
+    rng = random.Random(block)
+    values = sorted({(b ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(20)))) & (1 << 64) - 1 for b in (0, (1 << 64) - 1, rng.getrandbits(64)) for _ in range(100)})
+    rows = [(f"n{i:03d}", v - (1 << 64 if v >> 63 else 0)) for i, v in enumerate(values)]
+    got = [tuple(r) for r in block_pairs(spark.createDataFrame(rows, "id string, h long"), 16, len(rows), block).collect()]
+    want = {(*rows[i], *rows[j]) for i in range(len(rows)) for j in range(i + 1, len(rows)) if bin(values[i] ^ values[j]).count("1") <= 16}
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_wide_distances_over_many_hashes_list_nothing(spark):
+    # an index at 16 bits would list 1,000 values for each of 100,000 hashes
+    assert in_blocks(16, 100_000) and not in_blocks(2, 10**7) and not in_blocks(16, 1000)
+    values = [random.Random(i).getrandbits(63) for i in range(500)]
+    nodes = spark.createDataFrame(list(enumerate(values)), "id long, h long")
+    got = {(r.a, r.b) for r in hamming_candidates(nodes, 20, indexed=0).collect()}
+    assert got == {(i, j) for i in range(500) for j in range(i + 1, 500) if bin(values[i] ^ values[j]).count("1") <= 20}
+
+
 def meetings(nodes, distance):
     total = 0
     for index, _ in listings(nodes, distance):
