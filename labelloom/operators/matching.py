@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,18 +135,54 @@ def match_line(p: Column | None, hit_gt: Column, hit_i: Column, threshold: float
     return [c("pred_idx").alias("pred_idx"), hit_gt.alias("gt_idx"), c("class_id").alias("class_id"), c("confidence").alias("confidence"), best.alias("best_iou"), F.when(confused, c("true_class")).alias("true_class"), outcome.alias("outcome")]
 
 
+def crowded_images(gt: DataFrame, pred: DataFrame, crowded: int) -> DataFrame | None:
+    """The images of more than ``crowded`` boxes, or None."""
+    many = gt.select("image_id").unionAll(pred.select("image_id")).groupBy("image_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowded).select("image_id")
+    many = written(many, "crowded")
+    return None if many.isEmpty() else many
+
+
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that is worked out once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def per_image(gt: DataFrame, pred: DataFrame) -> DataFrame:
+    """(image_id, p, t): the detections of an image in their order, with the candidates of ``ranked_candidates``, and its
+    truths. Both sides are dealt by image only, and not at all if they are already; null images meet none.
+    """
+    truths = gt.groupBy("image_id").agg(F.collect_list(F.struct("gt_idx", "class_id", *CORNERS)).alias("t"))
+    row = F.struct((-F.col("confidence")).alias("order"), "pred_idx", "class_id", "confidence", *CORNERS)
+    found = pred.groupBy("image_id").agg(F.array_sort(F.collect_list(row)).alias("p"))
+
+    def candidates(p: Column) -> Column:
+        # boxes that don't overlap can't decide anything and go before the division
+        met = F.filter("t", lambda g: (F.least(g["x2"], p["x2"]) > F.greatest(g["x1"], p["x1"])) & (F.least(g["y2"], p["y2"]) > F.greatest(g["y1"], p["y1"])))
+        met = F.transform(met, lambda g: F.struct(iou([g[c] for c in CORNERS], [p[c] for c in CORNERS]).alias("iou"), (-g["gt_idx"]).alias("i"), g["class_id"].alias("c")))
+        return once(F.filter(met, lambda m: m["iou"] > 0), lambda near: once(F.array_sort(F.transform(F.filter(near, lambda m: m["c"] == p["class_id"]), lambda m: F.struct((-m["iou"]).alias("i"), (-m["i"]).alias("gt_idx")))), lambda same: line(p, near, same)))
+
+    def line(p: Column, near: Column, same: Column) -> Column:
+        best = F.coalesce(-F.get(same, F.lit(0))["i"], F.lit(0.0))
+        return once(F.array_max(near), lambda top: F.struct(*[p[k].alias(k) for k in ("pred_idx", "class_id", "confidence")], same.alias("same"), best.alias("best_same"), F.coalesce(top["iou"], F.lit(0.0)).alias("best_any"), top["c"].alias("true_class")))
+
+    none = lambda name, kind: F.coalesce(name, F.array().cast(kind)).alias(name)
+    both = found.join(truths, "image_id", "full_outer")
+    both = both.select("image_id", none("p", both.schema["p"].dataType), none("t", both.schema["t"].dataType))
+    return both.select("image_id", F.transform("p", candidates).alias("p"), "t")
+
+
 def match_detections(gt: DataFrame, pred: DataFrame, threshold: float = 0.5, floor: float = 0.1, crowded: int = CROWDED) -> DataFrame:
     """One row per detection and per missed truth: image_id, pred_idx, gt_idx, class_id, confidence, best_iou,
     true_class, outcome.
 
     Detections of an image take their best free truth of the same class by falling confidence (ties: index).
     The order inside an image is a fold over its detections, which stays in the JVM; images of more than
-    ``crowded`` detections are settled in rounds (see ``take_in_rounds``), without a list of theirs.
+    ``crowded`` boxes are settled in rounds (see ``take_in_rounds``), without a list of theirs. Both inputs are read more
+    than once (images are counted first): write them before if they are dear.
     """
     check_threshold(threshold)
-    few, many = split_crowded(written(ranked_candidates(gt, pred, crowded), "candidates"), ("image_id",), crowded)
-    row = F.struct((-F.col("confidence")).alias("order"), "pred_idx", "class_id", "confidence", "same", "best_same", "best_any", "true_class")
-    per = few.groupBy("image_id").agg(F.array_sort(F.collect_list(row)).alias("p"))
+    many = crowded_images(gt, pred, crowded)
+    few = (gt, pred) if many is None else [x.join(many, "image_id", "left_anti") for x in (gt, pred)]
     taken = "array<int>"
     result = "array<struct<pred_idx:int,gt_idx:int,class_id:int,confidence:double,best_iou:double,true_class:int,outcome:string>>"
 
@@ -155,19 +193,28 @@ def match_detections(gt: DataFrame, pred: DataFrame, threshold: float = 0.5, flo
             line = F.struct(*match_line(p, hit["gt_idx"], hit["i"], threshold, floor))
             return F.struct(F.when(hit["gt_idx"].isNotNull(), F.array_append(state["taken"], hit["gt_idx"])).otherwise(state["taken"]).alias("taken"), F.array_append(state["rows"], line).alias("rows"))
 
-        return F.get(F.transform(F.array(free), settle), F.lit(0))
+        return once(free, settle)
+
+    def missed(state: Column) -> Column:
+        left = F.filter("t", lambda g: ~F.coalesce(F.array_contains(state["taken"], g["gt_idx"]), F.lit(False)))
+        return F.concat(state["rows"], F.transform(left, lambda g: F.struct(*missed_line(g["gt_idx"], g["class_id"]))).cast(result))
 
     start = F.struct(F.array().cast(taken).alias("taken"), F.array().cast(result).alias("rows"))
-    rows = per.select("image_id", F.explode(F.aggregate("p", start, step, lambda s: s["rows"])).alias("__row")).select("image_id", "__row.*")
-    if many is not None:
-        wanted = many.select("image_id", "pred_idx", (-F.col("confidence")).alias("order"), F.explode("same").alias("s")).select("image_id", "pred_idx", "order", "s.gt_idx", "s.i")
-        won = take_in_rounds(wanted.filter(F.col("i") <= -threshold)).withColumnsRenamed({"gt_idx": "__gt", "i": "__i"})
-        rows = rows.unionByName(many.join(won, ["image_id", "pred_idx"], "left").select("image_id", *match_line(None, F.col("__gt"), F.col("__i"), threshold, floor)))
-    rows = written(rows, "settled")
-    missed = gt.join(rows.filter("gt_idx IS NOT NULL").select("image_id", "gt_idx"), ["image_id", "gt_idx"], "left_anti")
+    rows = per_image(*few).select("image_id", F.explode(F.aggregate("p", start, step, missed)).alias("__row")).select("image_id", "__row.*")
+    if many is None:
+        return rows
+    gt, pred = [written(x.join(many, "image_id", "left_semi"), "crowded-boxes") for x in (gt, pred)]
+    ranked = written(ranked_candidates(gt, pred, crowded), "candidates")
+    wanted = ranked.select("image_id", "pred_idx", (-F.col("confidence")).alias("order"), F.explode("same").alias("s")).select("image_id", "pred_idx", "order", "s.gt_idx", "s.i")
+    won = take_in_rounds(wanted.filter(F.col("i") <= -threshold)).withColumnsRenamed({"gt_idx": "__gt", "i": "__i"})
+    settled = written(ranked.join(won, ["image_id", "pred_idx"], "left").select("image_id", *match_line(None, F.col("__gt"), F.col("__i"), threshold, floor)), "settled")
+    left = gt.join(settled.filter("gt_idx IS NOT NULL").select("image_id", "gt_idx"), ["image_id", "gt_idx"], "left_anti")
+    return rows.unionByName(settled).unionByName(left.select("image_id", *missed_line(F.col("gt_idx"), F.col("class_id"))))
+
+
+def missed_line(gt_idx: Column, class_id: Column) -> list[Column]:
     null = lambda k: F.lit(None).cast(k)
-    missed = missed.select("image_id", null("int").alias("pred_idx"), "gt_idx", "class_id", null("double").alias("confidence"), null("double").alias("best_iou"), null("int").alias("true_class"), F.lit(OUTCOMES[5]).alias("outcome"))
-    return rows.unionByName(missed)
+    return [null("int").alias("pred_idx"), gt_idx.alias("gt_idx"), class_id.alias("class_id"), null("double").alias("confidence"), null("double").alias("best_iou"), null("int").alias("true_class"), F.lit(OUTCOMES[5]).alias("outcome")]
 
 
 def error_rows(matches: DataFrame, manifest: DataFrame | None = None, keep: tuple[str, ...] = ("output_image", "source", "is_negative")) -> DataFrame:
@@ -188,8 +235,9 @@ def size_recall(matches: DataFrame, gt: DataFrame, sizes: DataFrame) -> DataFram
     sizes: image_id, width, height.
     """
     hit = matches.filter(F.col("outcome") == OUTCOMES[0]).select("image_id", "gt_idx", F.lit(1).alias("hit"))
-    rows = gt.join(sizes.select("image_id", "width", "height"), "image_id").join(hit, ["image_id", "gt_idx"], "left")
-    rows = rows.groupBy(size_class([F.col(c) for c in CORNERS], F.col("width"), F.col("height")).alias("size")).agg(F.count(F.lit(1)).alias("total"), F.count("hit").alias("recalled"))
+    # the size goes to the join instead of the box
+    rows = gt.join(sizes.select("image_id", "width", "height"), "image_id").select("image_id", "gt_idx", size_class([F.col(c) for c in CORNERS], F.col("width"), F.col("height")).alias("size"))
+    rows = rows.join(hit, ["image_id", "gt_idx"], "left").groupBy("size").agg(F.count(F.lit(1)).alias("total"), F.count("hit").alias("recalled"))
     every = gt.sparkSession.createDataFrame([(s,) for s in SIZES], "size string").join(rows, "size", "left")
     zero = F.lit(0).cast("long")
     out = every.select("size", F.coalesce("total", zero).alias("total"), F.coalesce("recalled", zero).alias("recalled"))

@@ -5,26 +5,29 @@ class by falling confidence; over all images, detections are ranked by confidenc
 precision is made non-increasing and averaged over 101 recall points.
 
 A detection is one row with a hit or none for each threshold. The rows of all classes are range-sorted once; running
-counts and the best precision from a row on are worked out inside the ranges and carried over them.
+counts are worked out inside the ranges and carried over them.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from labelloom.operators.matching import CROWDED, ranked_candidates, split_crowded, take_in_rounds
-from labelloom.operators.ranks import dealt_ranges, later_maxima, running_sums
-from labelloom.session import written
+from labelloom.operators.matching import CROWDED, crowded_images, per_image, ranked_candidates, take_in_rounds
+from labelloom.operators.ranks import dealt_ranges
+from labelloom.session import broadcast_if_small, written
 
+#: Hits that one number holds.
+BITS = 62
 THRESHOLDS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
 
 
 def hits(gt: DataFrame, pred: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, crowded: int = CROWDED) -> DataFrame:
     """(image_id, pred_idx, class_id, confidence, hits): an array of 1 or 0 for each threshold."""
-    few, many = split_crowded(written(ranked_candidates(gt, pred, crowded), "candidates"), ("image_id",), crowded)
-    row = F.struct((-F.col("confidence")).alias("order"), "pred_idx", "class_id", "confidence", "same")
-    per = few.groupBy("image_id").agg(F.array_sort(F.collect_list(row)).alias("p"))
+    crowds = crowded_images(gt, pred, crowded)
+    few = (gt, pred) if crowds is None else [x.join(crowds, "image_id", "left_anti") for x in (gt, pred)]
+    per = per_image(*few).filter(F.size("p") > 0)
     at = F.array(*[F.lit(float(t)) for t in thresholds])
     result = "array<struct<pred_idx:int,class_id:int,confidence:double,hits:array<int>>>"
 
@@ -42,8 +45,10 @@ def hits(gt: DataFrame, pred: DataFrame, thresholds: tuple[float, ...] = THRESHO
 
     start = F.struct(F.array_repeat(F.array().cast("array<int>"), len(thresholds)).alias("taken"), F.array().cast(result).alias("rows"))
     rows = per.select("image_id", F.explode(F.aggregate("p", start, step, lambda s: s["rows"])).alias("__row")).select("image_id", "__row.*")
-    if many is None:
+    if crowds is None:
         return rows
+    gt, pred = [written(x.join(crowds, "image_id", "left_semi"), "crowded-boxes") for x in (gt, pred)]
+    many = written(ranked_candidates(gt, pred, crowded), "candidates")
     wanted = many.select("image_id", "pred_idx", (-F.col("confidence")).alias("order"), F.explode("same").alias("s")).select("image_id", "pred_idx", "order", "s.gt_idx", "s.i")
     wanted = wanted.withColumn("t", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(t)).alias("least")) for k, t in enumerate(thresholds)]))).filter(-F.col("i") >= F.col("t.least")).select("image_id", "t.k", "pred_idx", "order", "gt_idx", "i")
     won = take_in_rounds(wanted, ("image_id", "k")).groupBy("image_id", "pred_idx").agg(F.collect_set("k").alias("__k"))
@@ -60,22 +65,34 @@ def true_positives(gt: DataFrame, pred: DataFrame, thresholds: tuple[float, ...]
 def average_precision(gt: DataFrame, pred: DataFrame, thresholds: tuple[float, ...] = THRESHOLDS, found: DataFrame | None = None) -> DataFrame:
     """(class_id, threshold, ap) of every class with truths. found: ``hits`` of the same, if known.
 
-    No task holds a class: running counts and envelopes are carried over the ranges of one sort.
+    No task holds a class: counts are carried over the ranges of one sort. A recall point takes the best precision of the
+    rows that reach it, so rows meet at the highest of the 101 points they reach, and the rest is over points.
     """
     n = range(len(thresholds))
-    key, order = ("class_id",), ("order", "image_id", "pred_idx")
+    key, order, part = "class_id", ("order", "image_id", "pred_idx"), ("class_id", "__part")
+    truths = written(gt.groupBy(key).agg(F.count(F.lit(1)).alias("truths")), "truths")
     found = written(hits(gt, pred, thresholds), "hits") if found is None else found
-    rows = found.select("class_id", (-F.col("confidence")).alias("order"), "image_id", "pred_idx", *[F.col("hits")[k].alias(f"hit{k}") for k in n])
-    rows = running_sums(dealt_ranges(rows, *key, *order), key, order, {"seen": F.lit(1), **{f"hits{k}": F.col(f"hit{k}") for k in n}})
-    rows = written(rows.withColumn("seen", F.col("seen") + 1).withColumns({f"hits{k}": F.col(f"hits{k}") + F.col(f"hit{k}") for k in n}), "running-hits")
-    rows = later_maxima(rows, key, order, {f"envelope{k}": F.col(f"hits{k}") / F.col("seen") for k in n})
-    truths = gt.groupBy("class_id").agg(F.count(F.lit(1)).alias("truths"))
-    # the k-th hit reaches the recall points over (k - 1) / truths up to k / truths
-    points = lambda h: F.expr(f"CAST((100 * {h}) DIV truths - CASE WHEN {h} = 1 THEN -1 ELSE (100 * ({h} - 1)) DIV truths END AS DOUBLE)")
-    area = lambda k: F.sum(F.when(F.col(f"hit{k}") == 1, points(f"hits{k}") * F.col(f"envelope{k}"))) / 101
-    per = rows.join(truths, "class_id").groupBy("class_id").agg(*[area(k).alias(f"ap{k}") for k in n])
-    every = F.explode(F.array(*[F.struct(F.lit(float(t)).alias("threshold"), F.coalesce(f"ap{k}", F.lit(0.0)).alias("ap")) for k, t in enumerate(thresholds)]))
-    return truths.join(per, "class_id", "left").select("class_id", every.alias("e")).select("class_id", "e.threshold", "e.ap")
+    # a row carries its hits as the bits of a number
+    masks = [sum((F.shiftleft(F.col("hits")[k].cast("long"), k % BITS) for k in n if k // BITS == j), F.lit(0).cast("long")).alias(f"mask{j}") for j in range(-(-len(thresholds) // BITS))]
+    dealt = dealt_ranges(found.select(key, (-F.col("confidence")).alias("order"), "image_id", "pred_idx", *masks), key, *order)
+    bit = lambda k: F.shiftright(F.col(f"mask{k // BITS}"), k % BITS).bitwiseAND(F.lit(1).cast("long"))
+    values = {"seen": F.lit(1).cast("long"), **{f"hits{k}": bit(k) for k in n}}
+    earlier = W.partitionBy(key).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    before = dealt.groupBy(*part).agg(*[F.sum(v).alias(name) for name, v in values.items()])
+    before = before.select(*part, *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"__{name}") for name in values]).join(truths, key)
+    # dealt before the bits become columns, and joined with a row for each range and class
+    rows = dealt.repartition(*part).join(broadcast_if_small(written(before, "range-counts")), list(part)).withColumns(values)
+    inside = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    rows = rows.withColumns({f"run_{name}": F.sum(name).over(inside) + F.col(f"__{name}") for name in values})
+    point = lambda k: F.struct(F.lit(k).alias("k"), F.expr(f"CAST((100 * run_hits{k}) DIV truths AS INT)").alias("point"), (F.col(f"run_hits{k}") / F.col("run_seen")).alias("precision"))
+    best = rows.select(key, F.explode(F.array(*[F.when(F.col(f"hits{k}") == 1, point(k)) for k in n])).alias("e")).filter("e IS NOT NULL")
+    best = best.groupBy(key, F.col("e.k").alias("k"), F.col("e.point").alias("point")).agg(F.max("e.precision").alias("precision"))
+    along = W.partitionBy(key, "k").orderBy("point")
+    envelope = F.max("precision").over(W.partitionBy(key, "k").orderBy(F.desc("point")).rowsBetween(W.unboundedPreceding, 0))
+    area = F.sum((F.col("point") - F.col("last")) * F.col("envelope")) / 101
+    per = best.withColumn("envelope", envelope).withColumn("last", F.coalesce(F.lag("point").over(along), F.lit(-1))).groupBy(key, "k").agg(area.alias("ap"))
+    every = truths.select(key, F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(float(t)).alias("threshold")) for k, t in enumerate(thresholds)])).alias("e")).select(key, "e.k", "e.threshold")
+    return every.join(per, [key, "k"], "left").select(key, "threshold", F.coalesce("ap", F.lit(0.0)).alias("ap"))
 
 
 def rates(gt: DataFrame, rows: DataFrame) -> DataFrame:

@@ -310,7 +310,8 @@ matches AS (SELECT image_id, pred_idx, gt_idx, class_id, best_iou, true_class, o
 
 
 def both(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return written(views.truth(spark, sf_dir), "truth"), written(views.detections(spark, sf_dir), "detections")
+    """Not written: one shuffle of the table serves both, and they are dealt by image already."""
+    return views.truth(spark, sf_dir), views.detections(spark, sf_dir)
 
 
 @query(f"WITH {PAIRED} SELECT image_id, gt_idx, pred_idx, gc AS gt_class, pc AS pred_class, {q6('iou')} AS iou6 FROM pairs")

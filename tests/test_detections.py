@@ -71,6 +71,17 @@ def test_match_against_naive(spark, seed):
     assert counts.tp + counts.fn == len(gt) and counts.tp + counts.fp == len(pred)
 
 
+def test_one_shuffle_of_the_boxes(spark, sf_dir):
+    """Truths and detections that are dealt by image already are not dealt again, nor written in between."""
+    from labelloom.plans import catalogue
+
+    df = catalogue.QUERIES["match_errors"](spark, sf_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    shuffles = [x for x in plan.splitlines() if " Exchange " in x and "Reused" not in x]
+    assert len(shuffles) == 1 and "ReusedExchange" in plan, plan
+
+
 def outcomes(spark, gt, pred):
     rows = matching.match_detections(*frames(spark, gt, pred)).filter("pred_idx IS NOT NULL").collect()
     return {(r.image_id, r.pred_idx): r.outcome for r in rows}
@@ -153,6 +164,16 @@ def test_average_precision_against_naive(spark):
     assert {"precision", "recall", "ap50", "ap50_95"} <= set(per_class.columns) and metrics.overall_metrics(per_class).count() == 1
 
 
+def test_more_thresholds_than_one_number_holds(spark):
+    gt, pred = some(8)
+    at = tuple((k + 20) / 100 for k in range(70))
+    got = {(r.class_id, r.threshold): r.ap for r in metrics.average_precision(*frames(spark, gt, pred), at).collect()}
+    assert len(got) == 140
+    for t in (0.2, 0.5, 0.81, 0.82, 0.89):
+        for c in (0, 1):
+            assert math.isclose(got[c, t], naive_ap(gt, pred, c, t), abs_tol=1e-9)
+
+
 def test_summaries(spark):
     images = spark.createDataFrame([(1,), (2,), (3,)], "image_id long")
     pred = spark.createDataFrame([(1, 0, 0, 0.9, 0.0, 0.0, 32.0, 64.0), (1, 1, 1, 0.5, 0.0, 0.0, 1.0, 1.0), (2, 0, 1, 0.7, 0.0, 0.0, 64.0, 64.0)], PRED)
