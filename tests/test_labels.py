@@ -24,6 +24,14 @@ def test_every_spelling_of_a_class_is_known(spark):
         assert spark.range(1).select(canonical_class(F.lit(name[:-2]))).first()[0] is None
 
 
+@pytest.mark.parametrize("name", ["label_errors_by_code", "label_box_dedup", "image_status"])
+def test_a_line_is_cut_and_read_once(spark, sf_dir, name):
+    from labelloom.plans import catalogue
+
+    plan = catalogue.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.lower().count("try_cast") + plan.lower().count("rlike") <= 3
+
+
 def test_class_map(spark):
     got = class_map(spark, {"a": ["x", "brown spot", "Bacterial Leaf Blight"]}, ["Bacterial_Leaf_Blight", "Brown_Spot"]).collect()
     assert {(r.old_id, r.class_id) for r in got} == {(1.0, 1), (2.0, 0)}
