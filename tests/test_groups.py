@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelloom.functions.boxes import bool_text, hamming, hex_hash, median_bits
-from labelloom.operators import checks, dedup, splits
+from labelloom.operators import checks, dedup, similarity, splits
 from labelloom.operators.components import connected_components
 from labelloom.operators.ranks import dense_positions
 from labelloom.operators.similarity import BITS, best_bands, block_pairs, hamming_candidates, hamming_pairs, in_blocks, listings
@@ -100,6 +100,22 @@ def test_wide_distances_over_many_hashes_list_nothing(spark):
     assert got == {(i, j) for i in range(500) for j in range(i + 1, 500) if bin(values[i] ^ values[j]).count("1") <= 20}
 
 
+def test_groups_over_blocks_of_hashes(spark, monkeypatch):
+    # as variant_groups and near_duplicate_links run from 0.5 GB on
+    monkeypatch.setattr(similarity, "in_blocks", lambda *_: True)
+    monkeypatch.setattr(similarity, "BLOCK", (40, 40))
+    rng = random.Random(5)
+    bases = [rng.getrandbits(63) for _ in range(20)]
+    rows = [(i, f"k{rng.randrange(150)}", rng.choice(bases) ^ sum(1 << b for b in rng.sample(range(63), rng.randrange(12)))) for i in range(300)]
+    rows += [(300, "", None), (301, "k1", None), (302, "other", rows[0][2])]
+    records = spark.createDataFrame(rows, "ord long, original_key string, phash long")
+    same_key = [(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and a[1] == b[1] != ""]
+    near = [(a[0], b[0]) for a in rows for b in rows if a[0] < b[0] and None not in (a[2], b[2]) and bin(a[2] ^ b[2]).count("1") <= 16]
+    origins, want = (naive_components([r[0] for r in rows], e) for e in (same_key, same_key + near))
+    assert {r.ord: r.group_ord for r in dedup.variant_groups(records, distance=16).collect()} == want
+    assert dedup.links_made(records, distance=16) == len(set(origins.values())) - len(set(want.values()))
+
+
 def meetings(nodes, distance):
     total = 0
     for index, _ in listings(nodes, distance):
