@@ -30,7 +30,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -121,11 +121,21 @@ def meetings(totals: list[tuple[int, int, int]]) -> list[tuple[int, int, int, in
     return out
 
 
-def settle(waiting: DataFrame, slots: DataFrame, parts: int | None = None) -> DataFrame:
+def measures(lengths: Column, name: str = "") -> list[Column]:
+    """Number, least and greatest of those ``lengths`` that are not null."""
+    return [F.count(lengths).alias(f"count{name}"), F.min(lengths).alias(f"shortest{name}"), F.max(lengths).alias(f"longest{name}")]
+
+
+def room(longest: int | None) -> list[Column]:
+    """The widest gap, and how many gaps hold ``longest``."""
+    return [F.coalesce(F.max("gap"), F.lit(0)).alias("widest"), F.count_if(F.col("gap") >= (longest or 0)).alias("wide")]
+
+
+def settle(waiting: DataFrame, slots: DataFrame, parts: int | None = None, left: Observation | None = None) -> DataFrame:
     """One sweep: (n, length, sequence_id) of every row of ``waiting`` (n, length); sequence_id is null if no slot of
     ``slots`` (sequence_id, size) is left for it.
 
-    parts: number of ranges, if Spark is not to choose it.
+    parts: number of ranges, if Spark is not to choose it. left: observes the ``measures`` of what still waits.
     """
     spark = waiting.sparkSession
     events = slots.select("size", F.lit(0).alias("kind"), F.col("sequence_id").alias("id")).union(waiting.select("length", F.lit(1), "n"))
@@ -137,13 +147,18 @@ def settle(waiting: DataFrame, slots: DataFrame, parts: int | None = None) -> Da
     meet = meetings([tuple(t) for t in totals])
     pieces_ = swept.filter("n IS NOT NULL")
     if not meet:
-        return pieces_.select("n", "length", "sequence_id")
+        settled = pieces_.select("n", "length", "sequence_id")
+        return written(observed(settled, left), "settled") if left else settled
     spots = F.broadcast(spark.createDataFrame(meet, MEETINGS))  # two rows for each range at most
     missed = pieces_.filter("at >= 0").alias("p").join(spots.alias("m"), F.expr("p.part = m.part AND p.at >= m.at_from AND p.at < m.at_to"), "left")
     missed = missed.selectExpr("p.n", "p.length", "m.slot_part", "m.slot_last - (p.at - m.at_from) AS slot")
     free = swept.filter("n IS NULL").selectExpr("part AS slot_part", "at AS slot", "sequence_id")
     across = missed.join(free, ["slot_part", "slot"], "left").select("n", "length", "sequence_id")
-    return written(pieces_.filter("at < 0").select("n", "length", "sequence_id").union(across), "settled")
+    return written(observed(pieces_.filter("at < 0").select("n", "length", "sequence_id").union(across), left), "settled")
+
+
+def observed(settled: DataFrame, left: Observation | None) -> DataFrame:
+    return settled.observe(left, *measures(F.when(F.col("sequence_id").isNull(), F.col("length")))) if left else settled
 
 
 def slots_of(gaps: DataFrame, shortest: int, longest: int, most: int) -> DataFrame:
@@ -162,28 +177,30 @@ def place(rows: DataFrame, capacity: int, parts: int | None = None) -> DataFrame
     long_ = F.col("length") > capacity // 2
     placed = [rows.filter(long_).select("n", F.col("n").alias("sequence_id"))]
     gaps = rows.filter(long_ & (F.col("length") < capacity)).select(F.col("n").alias("sequence_id"), (capacity - F.col("length")).alias("gap"))
-    own, total = rows.agg(F.count_if(long_), F.coalesce(F.sum("length"), F.lit(0))).first()
-    needed = -(-total // capacity) - own
-    opened, above = 0, capacity // 2
-    for least in dict.fromkeys((capacity // 4, 0)):
-        waiting = rows.filter((F.col("length") > least) & (F.col("length") <= above)).select("n", "length")
-        while True:
-            count, shortest, longest = waiting.agg(F.count(F.lit(1)), F.min("length"), F.max("length")).first()
-            if not count:
-                break
-            widest, wide = gaps.agg(F.coalesce(F.max("gap"), F.lit(0)), F.count_if(F.col("gap") >= longest)).first()
+    classes = [(capacity // 4, capacity // 2), (0, capacity // 4)] if capacity >= 4 else [(0, capacity // 2)]
+    within = [(F.col("length") > least) & (F.col("length") <= above) for least, above in classes]
+    sizes = rows.agg(F.count_if(long_).alias("own"), F.coalesce(F.sum("length"), F.lit(0)).alias("total"), *[m for i, x in enumerate(within) for m in measures(F.when(x, F.col("length")), f"_{i}")]).first()
+    needed, opened = -(-sizes["total"] // capacity) - sizes["own"], 0
+    for i, x in enumerate(within):
+        waiting = rows.filter(x).select("n", "length")
+        count, shortest, longest = (sizes[f"{k}_{i}"] for k in ("count", "shortest", "longest"))
+        widest, wide = gaps.agg(*room(longest)).first() if count else (0, 0)
+        # what the next round asks of pieces and gaps is observed while they are written
+        while count:
             if widest < longest:
                 homeless, volume = waiting.filter(F.col("length") > widest).agg(F.count(F.lit(1)), F.sum("length")).first()
                 new = max(-(-volume // capacity), min(-(-homeless // (capacity // longest)), needed - opened))
                 fresh = spark.range(opened, opened + new).select((-1 - F.col("id")).alias("sequence_id"), F.lit(capacity).cast("long").alias("gap"))
                 gaps, opened, wide = gaps.union(fresh), opened + new, wide + new
-            settled = settle(waiting, slots_of(gaps, shortest, longest, -(-count // wide)), parts)
+            left, free = Observation(), Observation()
+            settled = settle(waiting, slots_of(gaps, shortest, longest, -(-count // wide)), parts, left)
+            count, shortest, longest = (left.get[k] for k in ("count", "shortest", "longest"))
             found = settled.filter("sequence_id IS NOT NULL")
             placed.append(found.select("n", "sequence_id"))
             taken = gaps.union(found.select("sequence_id", -F.col("length")))
-            gaps = written(taken.groupBy("sequence_id").agg(F.sum("gap").alias("gap")).filter("gap > 0"), "gaps")
+            gaps = written(taken.groupBy("sequence_id").agg(F.sum("gap").alias("gap")).filter("gap > 0").observe(free, *room(longest)), "gaps")
+            widest, wide = (free.get[k] for k in ("widest", "wide"))
             waiting = settled.filter("sequence_id IS NULL").select("n", "length")
-        above = least
     return reduce(DataFrame.union, placed)
 
 

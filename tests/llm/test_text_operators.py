@@ -144,6 +144,20 @@ def test_equal_pieces_fill_sequences_in_few_rounds(spark, monkeypatch):
     assert len(rounds) <= 6
 
 
+def test_a_round_of_packing_takes_few_jobs(spark, monkeypatch):
+    # the driver keeps a record of every job: what a round asks of its tables is observed while they are written
+    rounds, settle, context = [], packing.settle, spark.sparkContext
+    monkeypatch.setattr(packing, "settle", lambda *a: rounds.append(1) or settle(*a))
+    sizes = np.random.default_rng(5).integers(1, 2049, 2000).tolist()
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "n long, length long")
+    context.setJobGroup("packing-rounds", "")
+    placed = packing.place(rows, 4096)
+    jobs = len(context.statusTracker().getJobIdsForGroup("packing-rounds"))
+    context.setJobGroup("", "")
+    assert placed.count() == 2000 and len(rounds) >= 4
+    assert jobs <= 10 * len(rounds)
+
+
 def test_coder_round_trip():
     rng = np.random.default_rng(2)
     for n in (0, 1, 31, 33, 5000, 40000):
