@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelloom.operators.components import connected_components
-from labelloom.operators.similarity import equal_links, hamming_pairs
+from labelloom.operators.similarity import equal_links, hamming_links
 
 
 def annotation_signature(boxes: Column) -> Column:
@@ -42,7 +42,7 @@ def variant_groups(records: DataFrame, id_col: str = "ord", origin_col: str = "o
         raise ValueError("distance must not be negative")
     edges = equal_links(records, id_col, origin_col)
     if distance is not None:
-        edges = edges.union(equal_links(records, id_col, hash_col)).union(hamming_pairs(records, id_col, hash_col, distance).select("a", "b"))
+        edges = edges.union(equal_links(records, id_col, hash_col)).union(hamming_links(records, id_col, hash_col, distance))
     found = connected_components(edges)
     out = records.join(found.select(F.col("id").alias(id_col), F.col("component").alias("__c")), id_col, "left")
     out = out.withColumn("group_ord", F.coalesce("__c", F.col(id_col))).drop("__c")

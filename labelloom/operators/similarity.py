@@ -43,6 +43,8 @@ INDEXED, COMPARED = 10_000_000, 0.004
 BLOCKS, BLOCK = 48, (1024, 65_536)
 #: Pairs found that a task holds before it hands them on.
 FOUND = 100_000
+#: Pairs that a task compares at least, where that leaves each core a few tasks, and the most tasks.
+COMPARES, TASKS = 200_000_000, 400
 
 
 def radii(budget: int, bands: int) -> list[int]:
@@ -147,18 +149,19 @@ def in_blocks(distance: int, hashes: int, indexed: int = INDEXED) -> bool:
     return index > max(indexed, hashes + hashes**2 / 2 * COMPARED)
 
 
-def block_pairs(nodes: DataFrame, distance: int, hashes: int, block: int | None = None) -> DataFrame:
+def block_pairs(nodes: DataFrame, distance: int, hashes: int, block: int | None = None, spanning: bool = False) -> DataFrame:
     """(a, ha, b, hb) of hashes at most ``distance`` apart, each pair once, by comparing all blocks of hashes.
 
     A block is one row; each pair of blocks is joined by its numbers and compared by itself. What is shuffled grows with
-    the hashes times ``BLOCKS``, until blocks are at their largest.
+    the hashes times ``BLOCKS``, until blocks are at their largest. ``spanning``: of each pair of blocks only pairs
+    that connect what is not connected there (see ``forest``), fewer than its hashes however many are near.
     """
     small_batches(nodes.sparkSession)
     block = block or min(max(hashes // BLOCKS, BLOCK[0]), BLOCK[1])
     n = max(1, -(-hashes // block))
     dealt = nodes.select(F.pmod(F.xxhash64("h"), F.lit(n)).cast("int").alias("block"), F.struct("id", "h").alias("node"))
     blocks = written(dealt.groupBy("block").agg(F.collect_list("node").alias("held")), "hash-blocks")
-    tasks = min(400, n * (n + 1) // 2)
+    tasks = min(TASKS, n * (n + 1) // 2, max(4 * nodes.sparkSession.sparkContext.defaultParallelism, hashes**2 // (2 * COMPARES)))
     left = blocks.select(F.col("block").alias("low"), F.explode(F.sequence("block", F.lit(n - 1))).alias("high"), F.col("held").alias("left"))
     right = blocks.select(F.explode(F.sequence(F.lit(0), "block")).alias("low"), F.col("block").alias("high"), F.col("held").alias("right"))
     both = left.repartition(tasks, "low", "high").join(right.repartition(tasks, "low", "high"), ["low", "high"])
@@ -168,7 +171,8 @@ def block_pairs(nodes: DataFrame, distance: int, hashes: int, block: int | None
             for k in range(batch.num_rows):
                 (ids, hashes), (other_ids, others) = ([nodes.field(c) for c in ("id", "h")] for side in ("left", "right") for nodes in [batch.column(side).slice(k, 1).flatten()])
                 same = batch.column("low")[k].as_py() == batch.column("high")[k].as_py()
-                for i, j in near(hashes.to_numpy(), others.to_numpy(), distance, same):
+                found = near(hashes.to_numpy(), others.to_numpy(), distance, same)
+                for i, j in forest(found, len(hashes), 0 if same else len(hashes), len(others)) if spanning else found:
                     yield pa.RecordBatch.from_arrays([ids.take(pa.array(i)), hashes.take(pa.array(i)), other_ids.take(pa.array(j)), others.take(pa.array(j))], ["x", "hx", "y", "hy"])
 
     kind = nodes.schema["id"].dataType
@@ -195,11 +199,31 @@ def near(left: np.ndarray, right: np.ndarray, distance: int, same: bool, step: i
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-def hamming_candidates(nodes: DataFrame, distance: int, crowded: int = CROWDED, indexed: int = INDEXED) -> DataFrame:
-    """(a, ha, b, hb) of hashes at most ``distance`` apart, each pair once."""
+def forest(found: Iterator[tuple[np.ndarray, np.ndarray]], left: int, after: int, right: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of the pairs found of a block of ``left`` places with one of ``right`` (numbered from ``after``; 0: the same
+    block), as many as connect all that they connect: a spanning forest, held as one root for each place."""
+    root = np.arange(max(left, after + right))
+    for i, j in found:
+        while True:
+            a, b = root[i], root[j + after]
+            apart = a != b
+            if not apart.any():
+                break
+            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+            # each root hooks on to a smaller one, by one of its pairs, so no circle forms
+            tops, first = np.unique(np.maximum(a, b), return_index=True)
+            root[tops] = np.minimum(a, b)[first]
+            yield i[first], j[first]
+            while (root[root] != root).any():
+                root = root[root]
+
+
+def hamming_candidates(nodes: DataFrame, distance: int, crowded: int = CROWDED, indexed: int = INDEXED, spanning: bool = False) -> DataFrame:
+    """(a, ha, b, hb) of hashes at most ``distance`` apart, each pair once; ``spanning``: where blocks are compared, only
+    as many as connect the same hashes."""
     hashes = max(nodes.count(), 1)
     if in_blocks(distance, hashes, indexed):
-        return block_pairs(nodes, distance, hashes)
+        return block_pairs(nodes, distance, hashes, spanning=spanning)
     found = []
     for index, checks in listings(nodes, distance, crowded):
         left = index.filter("side = 0").select("way", "path", F.col("id").alias("a"), F.col("h").alias("ha"), F.col("flips").alias("fa"))
@@ -227,11 +251,25 @@ def hamming_pairs(df: DataFrame, id_col: str, hash_col: str, distance: int = 2,
 
     ``a`` and ``b`` are the smallest ids of their hash (equal hashes are one node: see ``equal_links``).
     """
+    met = hamming_candidates(distinct_hashes(df, id_col, hash_col, distance), distance, crowded)
+    return met.select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance"))
+
+
+def hamming_links(df: DataFrame, id_col: str, hash_col: str, distance: int = 2) -> DataFrame:
+    """(a, b): pairs of ``hamming_pairs`` that connect all that those connect.
+
+    A cluster of near hashes makes pairs with the square of its size; where blocks are compared, each pair of blocks hands on
+    fewer than its hashes.
+    """
+    return hamming_candidates(distinct_hashes(df, id_col, hash_col, distance), distance, spanning=True).select("a", "b")
+
+
+def distinct_hashes(df: DataFrame, id_col: str, hash_col: str, distance: int) -> DataFrame:
+    """(h, id): each hash with its smallest id, written."""
     if distance < 0:
         raise ValueError("distance must not be negative")
     nodes = df.filter(F.col(hash_col).isNotNull()).groupBy(F.col(hash_col).cast("long").alias("h")).agg(F.min(id_col).alias("id"))
-    met = hamming_candidates(written(nodes, "hashes"), distance, crowded)
-    return met.select("a", "b", hamming(F.col("ha"), F.col("hb")).alias("distance"))
+    return written(nodes, "hashes")
 
 
 def equal_links(df: DataFrame, id_col: str, key_col: str) -> DataFrame:

@@ -116,6 +116,37 @@ def test_groups_over_blocks_of_hashes(spark, monkeypatch):
     assert dedup.links_made(records, distance=16) == len(set(origins.values())) - len(set(want.values()))
 
 
+def test_a_cluster_of_near_hashes_makes_few_links(spark, monkeypatch):
+    # 300 hashes of three set bits each, all within 6 bits, and 200 far from all others; blocks of 100
+    monkeypatch.setattr(similarity, "in_blocks", lambda *_: True)
+    monkeypatch.setattr(similarity, "BLOCK", (100, 100))
+    rng = random.Random(6)
+    values = list(dict.fromkeys(sum(1 << b for b in rng.sample(range(63), 3)) for _ in range(320)))[:300]
+    values += [rng.getrandbits(63) for _ in range(200)]
+    records = spark.createDataFrame([(i, f"k{i}", v) for i, v in enumerate(values)], "ord long, original_key string, phash long")
+    edges = []
+    monkeypatch.setattr(dedup, "connected_components", lambda e: edges.append(e.persist()) or connected_components(edges[-1]))
+    got = {r.ord: r.group_ord for r in dedup.variant_groups(records, distance=8).collect()}
+    pairs = {(i, j) for i in range(500) for j in range(i + 1, 500) if bin(values[i] ^ values[j]).count("1") <= 8}
+    links = [tuple(r) for r in edges[0].collect()]
+    assert len(pairs) >= 300 * 299 / 2 and set(links) <= pairs
+    # each of 15 pairs of blocks hands on fewer than its hashes
+    assert len(links) == len(set(links)) < 15 * 200
+    assert got == naive_components(range(500), pairs)
+
+
+@pytest.mark.parametrize(("left", "after", "right"), [(50, 0, 50), (40, 40, 30)])
+def test_forest_connects_what_pairs_connect(left, after, right):
+    rng = random.Random(left)
+    pairs = [(i, j) for i in range(left) for j in range(right) if (i < j or after) and rng.random() < 0.04]
+    parts = [np.array(pairs[k : k + 9]).T for k in range(0, len(pairs), 9)]
+    kept = [(int(a), int(b)) for i, j in similarity.forest(iter(parts), left, after, right) for a, b in zip(i, j, strict=True)]
+    places = range(max(left, after + right))
+    want = naive_components(places, [(a, b + after) for a, b in pairs])
+    assert set(kept) <= set(pairs) and len(kept) == len(places) - len(set(want.values()))
+    assert naive_components(places, [(a, b + after) for a, b in kept]) == want
+
+
 def meetings(nodes, distance):
     total = 0
     for index, _ in listings(nodes, distance):
